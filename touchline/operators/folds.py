@@ -108,17 +108,13 @@ def ratings(
     ).withColumnRenamed("after", "rating").drop("before")
 
 
-def current_ratings(rated: DataFrame, saved: DataFrame | None = None) -> DataFrame:
+def current_ratings(rated: DataFrame) -> DataFrame:
     """Last rating of every player seen; players never seen stand at the start value.
 
     A known player is rated from the outset, an unknown one from the first match played.
     """
     seen = rated.filter(F.col("known") | F.col("contribution").isNotNull())
-    latest = seen.groupBy("player_id").agg(F.max_by("rating", F.struct(*ORDER)).alias("rating"))
-    if saved is None:
-        return latest
-    kept = saved.select("player_id", "rating").join(latest, "player_id", "left_anti")
-    return kept.unionByName(latest)
+    return seen.groupBy("player_id").agg(F.max_by("rating", F.struct(*ORDER)).alias("rating"))
 
 
 def _same_direction(x: Column, y: Column) -> Column:
@@ -180,7 +176,7 @@ def chemistry(
     """Chemistry of every pair that met; a pair that never met stands at the start value.
 
     Steps are clamped to [0, 1] one after the other in match order. `saved` (p_lo, p_hi, chem, meetings)
-    continues an earlier run.
+    continues an earlier run; only pairs that met in this one are returned.
     """
     fold = clamped_sum()
     steps = chemistry_steps(rated, first_team_delta)
@@ -192,15 +188,14 @@ def chemistry(
             fold.apply(F.col("__map"), F.lit(START_CHEMISTRY)).alias("chem"),
             F.col("__map.n").alias("meetings"),
         )
-    both = saved.select(
+    old = saved.select(
         "p_lo", "p_hi", F.col("chem").alias("__old"), F.col("meetings").alias("__n")
-    ).join(maps, ["p_lo", "p_hi"], "full")
+    )
+    both = maps.join(old, ["p_lo", "p_hi"], "left")
     start = F.coalesce("__old", F.lit(START_CHEMISTRY))
-    moved = fold.apply(F.col("__map"), start)
-    none = F.lit(0).cast("bigint")
     return both.select(
         "p_lo",
         "p_hi",
-        F.when(F.col("__map").isNull(), start).otherwise(moved).alias("chem"),
-        (F.coalesce("__n", none) + F.coalesce("__map.n", none)).alias("meetings"),
+        fold.apply(F.col("__map"), start).alias("chem"),
+        (F.coalesce("__n", F.lit(0).cast("bigint")) + F.col("__map.n")).alias("meetings"),
     )

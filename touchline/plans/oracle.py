@@ -513,3 +513,7 @@ ORACLE["model_round_trip"] = ORACLE["predicted_rating"]
 ORACLE["source_doodles"] = ORACLE["doodle_valid_count"]
 ORACLE["source_ranks"] = ORACLE["pagerank_step"]
 ORACLE["source_stroke_stats"] = ORACLE["stroke_country_counts"]
+ORACLE["stream_ratings"] = ORACLE["current_rating"]
+ORACLE["stream_state"] = ORACLE["chemistry"]
+ORACLE["stream_metrics"] = ORACLE["profile"]
+ORACLE["stream_model"] = ORACLE["rating_regression"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.operators import doodles, folds, graph, matches, metrics, model
 from touchline.plans import fixtures as fx
 from touchline.plans import requests as rq
-from touchline.session import shared_folder, scratch_path, stored, tune
+from touchline.session import scratch_path, stored, tune
 from touchline.sources import readers, writers
 from touchline.streaming import framing, ingest
 
@@ -633,3 +633,44 @@ def event_framing(spark, sf):
     return framed.groupBy("match_id").agg(
         F.count("*").alias("events"), F.min("position").alias("first"), F.max("position").alias("last")
     )
+
+
+def _season_as_stream(spark: SparkSession, sf: str, parts: int = 3) -> ingest.Engine:
+    """The season fed to the engine in parts, each a restart of the stream, then flushed."""
+    at = scratch_path(spark, "stream")
+    lines = stored(fx.stream_lines(spark, sf), "lines")
+    size = lines.agg(F.max("position")).first()[0] // parts + 1
+    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"))
+    for part in range(parts):
+        piece = lines.filter(F.expr(f"position div {size} = {part}")).select("value")
+        piece.write.mode("append").text(f"{at}/lines")
+        stream = ingest.open_lines(spark, f"{at}/lines")
+        ingest.start_ingest(stream, engine, f"{at}/checkpoint", available_now=True).awaitTermination()
+    engine.flush()
+    return engine
+
+
+@query
+def stream_ratings(spark, sf):
+    return _season_as_stream(spark, sf).current_ratings().select("player_id", r6("rating"))
+
+
+@query
+def stream_state(spark, sf):
+    """Chemistry as the stream leaves it."""
+    out = _season_as_stream(spark, sf).current_chemistry()
+    return out.select("p_lo", "p_hi", r6("chem"), "meetings")
+
+
+@query
+def stream_metrics(spark, sf):
+    """Profile as the stream leaves it."""
+    return _season_as_stream(spark, sf).current_profile().select(
+        "player_id", "name", "fouls", "goals", "own_goals", r6("pass_acc"), r6("shot_acc"), "matches"
+    )
+
+
+@query
+def stream_model(spark, sf):
+    line = _season_as_stream(spark, sf).current_model()
+    return line.select(r6("slope"), r6("intercept"))

@@ -1 +1,229 @@
-"""placeholder"""
+"""The running engine: a text stream of match headers and events, folded into state tables.
+
+Each micro-batch is framed, appended to the archive, and the matches that came to an end in it (a
+newer header followed in their source) go through the batch operators, continuing from the state the
+batches before it left. Folds follow arrival: matches of one batch in (seq, match_id) order, batches
+one after the other. Nothing is kept in the driver between batches, so a restart resumes where the
+checkpoint stands.
+"""
+
+from __future__ import annotations
+
+import time
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from touchline import schemas
+from touchline.operators import folds, matches, metrics, model
+from touchline.session import stored
+from touchline.streaming.framing import frame, framed_events, framed_matches, parse_lines
+from touchline.streaming.state import KeyedState, VersionedTable, folder_versions
+
+TRIGGER = "5 seconds"
+MATCH_LIMIT = 380
+
+_HISTORY = (
+    "match_id bigint, seq int, match_date date, team_ord int, team_id bigint, player_id bigint, "
+    "known boolean, on_roster boolean, minutes int, full_time int, contribution double, "
+) + ", ".join(f"{c} bigint" for c in metrics.COUNTERS)
+
+
+@dataclass
+class Engine:
+    spark: SparkSession
+    state_dir: str
+    players: DataFrame
+    retrain: bool = True
+    options: dict = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        at = self.state_dir.rstrip("/")
+        self.matches = VersionedTable(f"{at}/match", schemas.MATCH)
+        self.events = VersionedTable(f"{at}/event", schemas.EVENT)
+        self.history = VersionedTable(f"{at}/history", _HISTORY)
+        self.done = VersionedTable(f"{at}/done", "match_id bigint")
+        self.open = KeyedState(
+            f"{at}/open", ("source",), "source string, position bigint, match_id bigint, since int"
+        )
+        self.ratings = KeyedState(f"{at}/rating", ("player_id",), "player_id bigint, rating double")
+        self.totals = KeyedState(
+            f"{at}/totals",
+            ("player_id",),
+            "player_id bigint, " + ", ".join(f"{c} bigint" for c in metrics.PROFILE_SUMS),
+        )
+        self.chemistry = KeyedState(
+            f"{at}/chemistry",
+            ("p_lo", "p_hi"),
+            "p_lo bigint, p_hi bigint, chem double, meetings bigint",
+        )
+        self.training = KeyedState(
+            f"{at}/training",
+            ("player_id",),
+            "player_id bigint, seq int, match_id bigint, diff int, rating double",
+        )
+
+    # Versions are even for stream batches; a flush after one takes the odd number behind it.
+
+    def process(self, lines: DataFrame, batch_id: int) -> None:
+        """The foreachBatch callback; safe to run twice for one batch."""
+        if lines.isEmpty():
+            return
+        self._step(parse_lines(lines), 2 * batch_id)
+
+    def flush(self) -> None:
+        """Process the matches still open at the end of the streams."""
+        versions = folder_versions(self.spark, self.open.path)
+        if not versions:
+            return
+        version = versions[-1][0] // 2 * 2 + 1
+        waiting = self.open.read(self.spark, version).filter(F.col("match_id").isNotNull())
+        self._fold(waiting, version)
+        closed = waiting.withColumn("match_id", F.lit(None).cast("bigint"))
+        self.open.write(self.spark, closed, version)
+
+    def _step(self, records: DataFrame, version: int) -> None:
+        spark = self.spark
+        carried = self.open.read(spark, version)
+        framed = stored(self._framed(records, carried, version), "framed")
+        self.matches.write(framed_matches(framed.filter("since IS NOT NULL")), version)
+        self.events.write(framed_events(framed), version)
+
+        headers = (
+            framed.filter("is_match")
+            .select("source", "position", "match_id", "since")
+            .unionByName(carried)
+        )
+        last = headers.groupBy("source").agg(
+            F.max_by(F.struct("position", "match_id", "since"), "position").alias("h")
+        )
+        self.open.write(spark, last.select("source", "h.*"), version)
+        opened = self.open.read(spark, version + 1)
+        ended = headers.filter(F.col("match_id").isNotNull()).join(
+            opened, ["source", "position"], "left_anti"
+        )
+        self._fold(ended, version)
+
+    def _framed(self, records: DataFrame, carried: DataFrame, version: int) -> DataFrame:
+        """Records with their match; the headers still open take part, but are not records."""
+        columns = records.columns
+        known = {"source", "position", "match_id"}
+        blank = [
+            F.lit(None).cast(kind).alias(name)
+            for name, kind in records.dtypes
+            if name not in known | {"matchId", "is_match"}
+        ]
+        kept = carried.select(
+            "source", "position", F.col("match_id").alias("matchId"), F.lit(True).alias("is_match"), *blank
+        ).select(*columns)
+        rows = records.withColumn("since", F.lit(version)).unionByName(
+            kept.withColumn("since", F.lit(None).cast("int"))
+        )
+        return frame(rows).filter(F.col("since").isNotNull())
+
+    def _fold(self, ended: DataFrame, version: int) -> None:
+        """Metrics, ratings, chemistry, profile and model for the matches that ended."""
+        spark = self.spark
+        span = ended.agg(F.count("*").alias("n"), F.min("since").alias("since")).first()
+        if not span["n"]:
+            return
+        ids = ended.select("match_id")
+        # Folders older than the oldest of these headers are not opened at all.
+        records = self.matches.read(spark, version + 1, span["since"]).join(ids, "match_id", "left_semi")
+        events = self.events.read(spark, version + 1, span["since"]).join(ids, "match_id", "left_semi")
+        history = metrics.player_history(
+            matches.appearances(records), metrics.event_metrics(events), self.players
+        )
+        self.history.write(history, version)
+        history = self.history.read(spark, version + 1, version).drop("version")
+
+        rated = stored(
+            folds.ratings(
+                history,
+                saved_ratings=self._seen(self.ratings, history, version),
+                saved_totals=self._seen(self.totals, history, version),
+            ),
+            "rated",
+        )
+        chemistry = folds.chemistry(rated, saved=self.chemistry.read(spark, version))
+        totals = metrics.profile_totals(history, self._seen(self.totals, history, version))
+        self.chemistry.write(spark, chemistry, version)
+        self.totals.write(spark, totals, version)
+        self.training.write(
+            spark, model.training_frame(rated, self.players), version
+        )
+        self.ratings.write(spark, folds.current_ratings(rated), version)
+        if self.retrain:
+            frame_rows = stored(self.training.read(spark, version + 1), "training")
+            fitted = model.fit_rating(frame_rows)
+            model.save_model(fitted, f"{self.state_dir.rstrip('/')}/model/version={version}")
+        self.done.write(ids, version)
+
+    def _seen(self, state: KeyedState, history: DataFrame, version: int) -> DataFrame:
+        """Saved rows of the players at hand."""
+        here = history.select("player_id").distinct()
+        return state.read(self.spark, version).join(here, "player_id", "left_semi")
+
+    # State as of now.
+
+    _NOW = 2**31 - 1
+
+    def current_ratings(self) -> DataFrame:
+        return self.ratings.read(self.spark, self._NOW)
+
+    def current_chemistry(self) -> DataFrame:
+        return self.chemistry.read(self.spark, self._NOW)
+
+    def current_profile(self) -> DataFrame:
+        names = self.players.select(F.col("Id").alias("player_id"), "name")
+        view = metrics.profile_view(self.totals.read(self.spark, self._NOW))
+        return view.join(names, "player_id").select("player_id", "name", *metrics.PROFILE_COLUMNS)
+
+    def current_model(self) -> DataFrame:
+        """Slope and intercept of the newest model."""
+        path = f"{self.state_dir.rstrip('/')}/model"
+        versions = sorted({v for v, _ in self._model_versions(path)})
+        return model.model_line(self.spark, model.load_model(f"{path}/version={versions[-1]}"))
+
+    def _model_versions(self, path: str) -> list[tuple[int, bool]]:
+        done = {v for v, _ in folder_versions(self.spark, self.done.path)}
+        return [(v, False) for v in done]
+
+    def matches_done(self) -> int:
+        return self.done.read(self.spark, self._NOW).count()
+
+
+def open_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """JSON lines arriving as files in a folder."""
+    reader = spark.readStream.format("text")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path)
+
+
+def start_ingest(
+    lines: DataFrame, engine: Engine, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Start the stream; `lines` is any streaming frame with a text column `value`."""
+    writer = lines.writeStream.foreachBatch(engine.process).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)
+    return writer.start()
+
+
+def run_until(
+    query: StreamingQuery, engine: Engine, limit: int = MATCH_LIMIT, poll_seconds: float = 5.0
+) -> None:
+    """Stop the stream once more than `limit` matches are done, after the batch at hand."""
+    seen = -1
+    while query.isActive:
+        progress = query.lastProgress
+        batch = progress["batchId"] if progress else -1
+        if batch != seen:
+            seen = batch
+            if engine.matches_done() > limit:
+                query.stop()
+                return
+        time.sleep(poll_seconds)
+    query.awaitTermination()
