@@ -402,6 +402,11 @@ ORACLE: dict[str, str] = {
         """SELECT player_id, name, fouls, goals, own_goals, round(pass_acc, 6) AS pass_acc,
         round(shot_acc, 6) AS shot_acc, matches FROM prof"""
     ),
+    "stream_metrics": _fold(
+        """SELECT player_id, name, fouls, goals, own_goals, round(pass_acc, 6) AS pass_acc,
+        round(shot_acc, 6) AS shot_acc, matches, round(final, 6) AS rating FROM prof
+        JOIN (SELECT player_id, arg_max(rating, d) AS final FROM rated GROUP BY player_id) USING (player_id)"""
+    ),
     "training_frame": _fold("SELECT match_id, player_id, diff, round(rating, 6) AS rating FROM train"),
     "training_latest": _fold("SELECT player_id, match_id, diff, round(rating, 6) AS rating FROM latest"),
     "training_last_match": _fold(
@@ -513,7 +518,5 @@ ORACLE["model_round_trip"] = ORACLE["predicted_rating"]
 ORACLE["source_doodles"] = ORACLE["doodle_valid_count"]
 ORACLE["source_ranks"] = ORACLE["pagerank_step"]
 ORACLE["source_stroke_stats"] = ORACLE["stroke_country_counts"]
-ORACLE["stream_ratings"] = ORACLE["current_rating"]
 ORACLE["stream_state"] = ORACLE["chemistry"]
-ORACLE["stream_metrics"] = ORACLE["profile"]
 ORACLE["stream_model"] = ORACLE["rating_regression"]

@@ -635,12 +635,12 @@ def event_framing(spark, sf):
     )
 
 
-def _season_as_stream(spark: SparkSession, sf: str, parts: int = 3) -> ingest.Engine:
+def _season_as_stream(spark: SparkSession, sf: str, retrain: bool = False, parts: int = 2) -> ingest.Engine:
     """The season fed to the engine in parts, each a restart of the stream, then flushed."""
     at = scratch_path(spark, "stream")
     lines = stored(fx.stream_lines(spark, sf), "lines")
     size = lines.agg(F.max("position")).first()[0] // parts + 1
-    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"))
+    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"), retrain)
     for part in range(parts):
         piece = lines.filter(F.expr(f"position div {size} = {part}")).select("value")
         piece.write.mode("append").text(f"{at}/lines")
@@ -650,11 +650,6 @@ def _season_as_stream(spark: SparkSession, sf: str, parts: int = 3) -> ingest.En
     return engine
 
 
-@query
-def stream_ratings(spark, sf):
-    return _season_as_stream(spark, sf).current_ratings().select("player_id", r6("rating"))
-
-
 @query
 def stream_state(spark, sf):
     """Chemistry as the stream leaves it."""
@@ -664,13 +659,24 @@ def stream_state(spark, sf):
 
 @query
 def stream_metrics(spark, sf):
-    """Profile as the stream leaves it."""
-    return _season_as_stream(spark, sf).current_profile().select(
-        "player_id", "name", "fouls", "goals", "own_goals", r6("pass_acc"), r6("shot_acc"), "matches"
+    """Profile and rating as the stream leaves them."""
+    engine = _season_as_stream(spark, sf)
+    out = engine.current_profile().join(engine.current_ratings(), "player_id")
+    return out.select(
+        "player_id",
+        "name",
+        "fouls",
+        "goals",
+        "own_goals",
+        r6("pass_acc"),
+        r6("shot_acc"),
+        "matches",
+        r6("rating"),
     )
 
 
 @query
 def stream_model(spark, sf):
-    line = _season_as_stream(spark, sf).current_model()
+    """The line refitted as matches end."""
+    line = _season_as_stream(spark, sf, retrain=True).current_model()
     return line.select(r6("slope"), r6("intercept"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.matches import with_match_order
@@ -22,27 +22,37 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return rows.filter(F.col("is_match") | F.col("eventId").isNotNull())
 
 
-def frame(
-    records: DataFrame, span: int = FRAME_SPAN, radix: int = FRAME_RADIX
-) -> DataFrame:
-    """Add `match_id`: that of the record itself, else of the last header before it in its source.
+def header_id() -> Column:
+    """A header's match: its own id, else one named after its place in the stream."""
+    return F.coalesce("matchId", F.xxhash64("source", "position"))
 
-    A header without an id is named after its place in the stream.
-    """
-    own = F.coalesce("matchId", F.xxhash64("source", "position"))
-    opened = records.withColumn("__opens", F.when(F.col("is_match"), own))
+
+def frame(records: DataFrame, span: int = FRAME_SPAN, radix: int = FRAME_RADIX) -> DataFrame:
+    """Add `match_id`: that of the record itself, else of the last header before it in its source."""
+    opened = records.withColumn("__opens", F.when(F.col("is_match"), header_id()))
     framed = carry_last(opened, ["source"], "position", "__opens", "__open", span, radix)
     return framed.withColumn("match_id", F.coalesce("matchId", "__open")).drop("__opens", "__open")
 
 
-def framed_matches(framed: DataFrame) -> DataFrame:
-    rows = framed.filter("is_match").select(
-        "match_id", "dateutc", "label", "winner", "gameweek", "duration", "venue", "teamsData"
+def header_rows(records: DataFrame) -> DataFrame:
+    """Match records of the stream; they need no framing."""
+    rows = records.filter("is_match").select(
+        "source",
+        "position",
+        header_id().alias("match_id"),
+        "dateutc",
+        "label",
+        "winner",
+        "gameweek",
+        "duration",
+        "venue",
+        "teamsData",
     )
     return with_match_order(rows)
 
 
-def framed_events(framed: DataFrame) -> DataFrame:
+def event_rows(framed: DataFrame) -> DataFrame:
+    """Event records with their match; events before any header belong to none and are dropped."""
     rows = framed.filter(~F.col("is_match") & F.col("match_id").isNotNull()).select(
         "match_id",
         F.col("position").alias("seq"),

@@ -10,7 +10,7 @@ checkpoint stands.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from touchline import schemas
 from touchline.operators import folds, matches, metrics, model
 from touchline.session import stored
-from touchline.streaming.framing import frame, framed_events, framed_matches, parse_lines
+from touchline.streaming.framing import event_rows, frame, header_rows, parse_lines
 from touchline.streaming.state import KeyedState, VersionedTable, folder_versions
 
 TRIGGER = "5 seconds"
@@ -37,11 +37,12 @@ class Engine:
     state_dir: str
     players: DataFrame
     retrain: bool = True
-    options: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         at = self.state_dir.rstrip("/")
-        self.matches = VersionedTable(f"{at}/match", schemas.MATCH)
+        self.matches = VersionedTable(
+            f"{at}/match", schemas.MATCH + ", source string, position bigint"
+        )
         self.events = VersionedTable(f"{at}/event", schemas.EVENT)
         self.history = VersionedTable(f"{at}/history", _HISTORY)
         self.done = VersionedTable(f"{at}/done", "match_id bigint")
@@ -87,13 +88,12 @@ class Engine:
     def _step(self, records: DataFrame, version: int) -> None:
         spark = self.spark
         carried = self.open.read(spark, version)
-        framed = stored(self._framed(records, carried, version), "framed")
-        self.matches.write(framed_matches(framed.filter("since IS NOT NULL")), version)
-        self.events.write(framed_events(framed), version)
+        self.matches.write(header_rows(records), version)
+        self.events.write(event_rows(frame(self._with_open(records, carried))), version)
 
         headers = (
-            framed.filter("is_match")
-            .select("source", "position", "match_id", "since")
+            self.matches.read(spark, version + 1, version)
+            .select("source", "position", "match_id", F.col("version").alias("since"))
             .unionByName(carried)
         )
         last = headers.groupBy("source").agg(
@@ -106,22 +106,18 @@ class Engine:
         )
         self._fold(ended, version)
 
-    def _framed(self, records: DataFrame, carried: DataFrame, version: int) -> DataFrame:
-        """Records with their match; the headers still open take part, but are not records."""
-        columns = records.columns
-        known = {"source", "position", "match_id"}
-        blank = [
-            F.lit(None).cast(kind).alias(name)
-            for name, kind in records.dtypes
-            if name not in known | {"matchId", "is_match"}
-        ]
-        kept = carried.select(
-            "source", "position", F.col("match_id").alias("matchId"), F.lit(True).alias("is_match"), *blank
-        ).select(*columns)
-        rows = records.withColumn("since", F.lit(version)).unionByName(
-            kept.withColumn("since", F.lit(None).cast("int"))
+    def _with_open(self, records: DataFrame, carried: DataFrame) -> DataFrame:
+        """The records, and in front of them the header still open in each source."""
+        known = {"source", "position", "matchId", "is_match"}
+        blank = [F.lit(None).cast(k).alias(n) for n, k in records.dtypes if n not in known]
+        kept = carried.filter(F.col("match_id").isNotNull()).select(
+            "source",
+            "position",
+            F.col("match_id").alias("matchId"),
+            F.lit(True).alias("is_match"),
+            *blank,
         )
-        return frame(rows).filter(F.col("since").isNotNull())
+        return records.unionByName(kept)
 
     def _fold(self, ended: DataFrame, version: int) -> None:
         """Metrics, ratings, chemistry, profile and model for the matches that ended."""
@@ -183,13 +179,9 @@ class Engine:
 
     def current_model(self) -> DataFrame:
         """Slope and intercept of the newest model."""
-        path = f"{self.state_dir.rstrip('/')}/model"
-        versions = sorted({v for v, _ in self._model_versions(path)})
-        return model.model_line(self.spark, model.load_model(f"{path}/version={versions[-1]}"))
-
-    def _model_versions(self, path: str) -> list[tuple[int, bool]]:
-        done = {v for v, _ in folder_versions(self.spark, self.done.path)}
-        return [(v, False) for v in done]
+        newest = folder_versions(self.spark, self.done.path)[-1][0]
+        path = f"{self.state_dir.rstrip('/')}/model/version={newest}"
+        return model.model_line(self.spark, model.load_model(path))
 
     def matches_done(self) -> int:
         return self.done.read(self.spark, self._NOW).count()
