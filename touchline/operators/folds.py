@@ -6,34 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import START_CHEMISTRY, START_RATING, pair_key
-from touchline.operators.scan import RADIX, SPAN, affine, clamped_sum, fold_maps, fold_trace, running_total
+from touchline.operators.scan import (
+    BLOCK,
+    LIMIT,
+    affine,
+    clamped_sum,
+    fold_maps,
+    fold_trace,
+    long_keys,
+    running_total,
+    with_blocks,
+)
 
 ORDER = ["seq", "match_id"]
 
 
+def in_blocks(history: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """The history, cut into blocks for players with more than `limit` appearances, if any."""
+    long = long_keys(history, ["player_id"], limit)
+    return history if long is None else with_blocks(history, ["player_id"], ORDER, long)
+
+
 def prior_totals(
-    history: DataFrame, saved: DataFrame | None = None, span: int = SPAN, radix: int = RADIX
+    history: DataFrame, saved: DataFrame | None = None, limit: int = LIMIT
 ) -> DataFrame:
     """Fouls and own goals of the player's roster matches before this one."""
-    counted = history.withColumn(
+    return _prior_totals(in_blocks(history, limit), saved, limit).drop(BLOCK)
+
+
+def _prior_totals(rows: DataFrame, saved: DataFrame | None, limit: int) -> DataFrame:
+    counted = rows.withColumn(
         "__fouls", F.when(F.col("on_roster"), F.col("fouls")).otherwise(F.lit(0))
     ).withColumn("__own", F.when(F.col("on_roster"), F.col("own_goals")).otherwise(F.lit(0)))
-    out = running_total(
-        counted,
-        ["player_id"],
-        ORDER,
-        {"prior_fouls": "__fouls", "prior_own_goals": "__own"},
-        span,
-        radix,
-    ).drop("__fouls", "__own")
+    sums = {"prior_fouls": "__fouls", "prior_own_goals": "__own"}
+    out = running_total(counted, ["player_id"], ORDER, sums, limit).drop("__fouls", "__own")
     if saved is None:
         return out
     before = saved.select(
         "player_id", F.col("fouls").alias("__f"), F.col("own_goals").alias("__o")
     )
-    joined = out.join(before, "player_id", "left")
-    return joined.select(
-        *history.columns,
+    return out.join(before, "player_id", "left").select(
+        *rows.columns,
         (F.col("prior_fouls") + F.coalesce("__f", F.lit(0))).alias("prior_fouls"),
         (F.col("prior_own_goals") + F.coalesce("__o", F.lit(0))).alias("prior_own_goals"),
     )
@@ -54,15 +67,14 @@ def ratings(
     penalty: str = "prior_total",
     saved_ratings: DataFrame | None = None,
     saved_totals: DataFrame | None = None,
-    span: int = SPAN,
-    radix: int = RADIX,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """Rating after every appearance, and its change; a match not played changes nothing.
 
     `penalty` takes fouls and own goals either from the matches before ("prior_total") or from the
     match itself ("match"). `saved_ratings` (player_id, rating) continues an earlier run.
     """
-    rows = prior_totals(history, saved_totals, span, radix)
+    rows = _prior_totals(in_blocks(history, limit), saved_totals, limit)
     if penalty == "prior_total":
         fouls, own = F.col("prior_fouls"), F.col("prior_own_goals")
     elif penalty == "match":
@@ -92,16 +104,16 @@ def ratings(
     start = None
     if saved_ratings is not None:
         start = saved_ratings.select("player_id", F.col("rating").alias("state"))
+    block = [c for c in rows.columns if c == BLOCK]
     traced = fold_trace(
-        rows.select("player_id", *ORDER, *payload),
+        rows.select("player_id", *ORDER, *block, *payload),
         ["player_id"],
         ORDER,
         payload,
         affine(),
         start,
         START_RATING,
-        span,
-        radix,
+        limit,
     )
     return traced.drop("a", "b").withColumn(
         "change", F.col("after") - F.col("before")
@@ -170,8 +182,7 @@ def chemistry(
     rated: DataFrame,
     first_team_delta: str = "sum",
     saved: DataFrame | None = None,
-    span: int = SPAN,
-    radix: int = RADIX,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """Chemistry of every pair that met; a pair that never met stands at the start value.
 
@@ -179,8 +190,19 @@ def chemistry(
     continues an earlier run; only pairs that met in this one are returned.
     """
     fold = clamped_sum()
+    pair = ["p_lo", "p_hi"]
     steps = chemistry_steps(rated, first_team_delta)
-    maps = fold_maps(steps, ["p_lo", "p_hi"], ORDER, ["step"], fold, span, radix)
+    often = long_keys(rated.filter("on_roster"), ["player_id"], limit)
+    if often is not None:
+        # A pair meets at most as often as either of the two appears.
+        ids = often.select("player_id")
+        among = steps.join(ids.withColumnRenamed("player_id", "p_lo"), "p_lo", "left_semi").join(
+            ids.withColumnRenamed("player_id", "p_hi"), "p_hi", "left_semi"
+        )
+        long = long_keys(among, pair, limit)
+        if long is not None:
+            steps = with_blocks(steps, pair, ORDER, long)
+    maps = fold_maps(steps, pair, ORDER, ["step"], fold, limit)
     if saved is None:
         return maps.select(
             "p_lo",

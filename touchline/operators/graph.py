@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import join_with_hot_keys
-from touchline.session import cut, stored
+from touchline.session import cut, stored_in_buckets
 
 DAMPING = 0.85
 BASE = 0.15
@@ -21,7 +21,8 @@ HOT_PARTS = 128
 
 def _part_of(dst: Column, parts: Column) -> Column:
     """A stable spread of targets over parts, the same on every engine that has md5."""
-    return F.conv(F.substring(F.md5(dst), 1, 8), 16, 10).cast("bigint") % parts
+    digest = F.conv(F.substring(F.md5(dst), 1, 8), 16, 10).cast("bigint")
+    return F.when(parts == 1, F.lit(0).cast("bigint")).otherwise(digest % parts)
 
 
 def edge_copies(edges: DataFrame) -> DataFrame:
@@ -58,29 +59,14 @@ def initial_ranks(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
 
 
-def _node_parts(lists: DataFrame) -> DataFrame:
-    return lists.groupBy("src").agg(F.max("parts").alias("parts"))
-
-
-def contributions(lists: DataFrame, ranks: DataFrame) -> DataFrame:
-    """What each target receives: rank / out-degree along every edge, summed."""
-    # The few rows per node are repeated once per part, so the join key is never hot.
-    spread = ranks.join(_node_parts(lists), ranks["node"] == F.col("src")).select(
-        "src", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "rank"
-    )
-    sent = lists.join(spread, ["src", "part"]).select(
-        F.explode("targets").alias("t"), (F.col("rank") / F.col("outdeg")).alias("share")
-    )
-    return sent.groupBy(F.col("t.dst").alias("node")).agg(
-        F.sum(F.col("share") * F.col("t.copies")).alias("received")
-    )
+def _received(sent: DataFrame, share: Column, copies: Column) -> DataFrame:
+    return sent.groupBy(F.col("dst").alias("node")).agg(F.sum(share * copies).alias("received"))
 
 
-def rank_step_on(
-    lists: DataFrame, ranks: DataFrame, damping: float = DAMPING, round_digits: int | None = None
+def _updated(
+    ranks: DataFrame, received: DataFrame, damping: float, round_digits: int | None
 ) -> DataFrame:
-    """One step on prepared lists. Only ranked nodes keep a rank; what others receive is lost."""
-    received = contributions(lists, ranks)
+    """Only ranked nodes keep a rank; what others receive is lost."""
     rank = F.lit(BASE) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
     if round_digits is not None:
         rank = F.round(rank, round_digits)
@@ -92,9 +78,40 @@ def rank_step(
     ranks: DataFrame,
     damping: float = DAMPING,
     round_digits: int | None = None,
-    part_size: int = PART_SIZE,
 ) -> DataFrame:
-    return rank_step_on(adjacency(edges, part_size), ranks, damping, round_digits)
+    """One step from an edge list: every edge carries rank / out-degree of its source."""
+    copies = edge_copies(edges)
+    shares = (
+        out_degrees(copies)
+        .join(ranks.withColumnRenamed("node", "src"), "src")
+        .select("src", "parts", (F.col("rank") / F.col("outdeg")).alias("share"))
+    )
+    sent = join_with_hot_keys(copies, shares, "src", F.col("parts") > HOT_PARTS)
+    received = _received(sent, F.col("share"), F.col("copies"))
+    return _updated(ranks, received, damping, round_digits)
+
+
+def rank_step_on(
+    lists: DataFrame,
+    parts: DataFrame,
+    ranks: DataFrame,
+    damping: float = DAMPING,
+    round_digits: int | None = None,
+) -> DataFrame:
+    """One step on prepared adjacency lists; `parts` says into how many each source's is cut."""
+    # A node's rank is repeated once per part of its list, so the join key is never hot.
+    spread = ranks.join(parts, ranks["node"] == parts["src"]).select(
+        "src", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "rank"
+    )
+    sent = lists.join(spread, ["src", "part"]).select(
+        F.inline("targets"), (F.col("rank") / F.col("outdeg")).alias("share")
+    )
+    received = _received(sent, F.col("share"), F.col("copies"))
+    return _updated(ranks, received, damping, round_digits)
+
+
+def list_parts(lists: DataFrame) -> DataFrame:
+    return lists.groupBy("src").agg(F.max("parts").alias("parts"))
 
 
 def rank_iterate(
@@ -107,22 +124,20 @@ def rank_iterate(
 ) -> DataFrame:
     """Repeat the step a fixed number of times, or until no rank moves by `tol` or more.
 
-    The lists are written once as a table in the shared folder and every round is checkpointed
-    there: the plan stays one step long and a lost executor costs at most one round.
+    The lists are written once to the shared folder, bucketed on the join key, so a round moves
+    ranks and sums but never edges. Every round is checkpointed: the plan stays one step long and a
+    lost executor costs at most one round.
     """
-    lists = stored(adjacency(edges, part_size), "adjacency")
+    lists = stored_in_buckets(adjacency(edges, part_size), "adjacency", ["src", "part"])
+    parts = cut(list_parts(lists))
     ranks = cut(initial_ranks(edges))
     for _ in range(max_iter):
-        new = cut(rank_step_on(lists, ranks, damping, round_digits))
+        new = cut(rank_step_on(lists, parts, ranks, damping, round_digits))
+        moved = None
         if tol is not None:
-            moved = (
-                new.join(ranks.withColumnRenamed("rank", "old"), "node")
-                .agg(F.max(F.abs(F.col("rank") - F.col("old"))))
-                .first()[0]
-            )
-            ranks = new
-            if moved is None or moved < tol:
-                break
-        else:
-            ranks = new
+            both = new.join(ranks.withColumnRenamed("rank", "old"), "node")
+            moved = both.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
+        ranks = new
+        if moved is not None and moved < tol:
+            break
     return ranks

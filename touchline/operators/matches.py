@@ -6,11 +6,10 @@ team sit in the same record, so minutes need no join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import date_part, day_number, label_title, positive_count
-from touchline.operators.scan import running_total
 from touchline.schemas import ENTRY
 
 FULL_TIME, FULL_TIME_EXTRA = 90, 120
@@ -259,16 +258,11 @@ def match_counter(matches: DataFrame) -> DataFrame:
 
     The running sum goes over one row per calendar day, which a calendar bounds.
     """
-    days = (
-        matches.groupBy(date_part(F.col("dateutc")).alias("match_date"))
-        .agg(F.count("*").alias("matches"))
-        .withColumn("day", day_number(F.col("match_date")))
-        .withColumn("all", F.lit(1))
-    )
-    total = running_total(days, ["all"], ["day"], {"earlier": "matches"})
-    return total.select(
-        "match_date", "matches", (F.col("earlier") + F.col("matches")).alias("match_count")
+    days = matches.groupBy(date_part(F.col("dateutc")).alias("match_date")).agg(
+        F.count("*").alias("matches")
     )
+    upto = Window.orderBy("match_date").rowsBetween(Window.unboundedPreceding, 0)
+    return days.select("match_date", "matches", F.sum("matches").over(upto).alias("match_count"))
 
 
 def titled(matches: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Ordered folds that split a long history into blocks.
-
-A running value over one key's rows is usually a window over the key, which puts the whole history
-of a hot key into one task. Here `order` (a whole number) is cut into blocks of `radix` values. Each
-(key, block) is worked on by itself, the block results are folded one level up, and the state at
-the start of every block is joined back. No group holds more than `radix` order values, however
-uneven the keys are. `span` bounds max(order) - min(order) at 0-based scale and sets the number of
-levels; the defaults cover day numbers (two levels reach 262,144 days).
+"""Ordered folds over the rows of a key, safe against keys with very long histories.
+
+A running value over one key is a window over that key, and a fold with an irregular step a sorted
+list of its rows: both put the whole history of a key into one task. So the rows per key are counted
+first. Keys within `limit` take the direct way. The rows of longer keys are put in order by a range
+partitioning, which cuts through keys, and numbered; every `RADIX` numbers make a block. Blocks are
+worked on by themselves, the block results of a key are folded one level up (by the same functions,
+so any length is reached) and the state at the start of each block is joined back. No rows are left
+out, and no task ever holds more than `limit` rows of a key.
 """
 
 from __future__ import annotations
@@ -16,18 +17,44 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import stored
+
 RADIX = 512
-SPAN = RADIX * RADIX
+LIMIT = 4096
+ROWS_PER_TASK = 500_000
+
+BLOCK = "__block"
 
-_BLOCK = "__block"
 
+def long_keys(df: DataFrame, keys: list[str], limit: int = LIMIT) -> DataFrame | None:
+    """Keys with more than `limit` rows and how many they have; None where there are none.
 
-def _levels_left(span: int, radix: int) -> int:
-    return -(-span // radix)
+    The answer has at most rows / limit rows, and is written so that it is counted once.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > limit)
+    found = stored(counts, "long-keys")
+    return None if found.isEmpty() else found
 
 
-def _block(order: str, radix: int) -> Column:
-    return F.expr(f"`{order}` div {radix}")
+def with_blocks(
+    df: DataFrame, keys: list[str], order: list[str], long: DataFrame, radix: int = RADIX
+) -> DataFrame:
+    """Add `__block`: 0 for ordinary keys, rising with `order` for long ones, `radix` rows at most.
+
+    Numbers depend on how the rows were partitioned, so the rows of long keys are written with them.
+    """
+    only = long.select(*keys)
+    rows = long.agg(F.sum("__n")).first()[0]
+    tasks = max(1, -(-rows // ROWS_PER_TASK))
+    place = F.monotonically_increasing_id()
+    numbered = (
+        df.join(only, keys, "left_semi")
+        .repartitionByRange(tasks, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn(BLOCK, F.floor(place / F.lit(radix)) + 1)
+    )
+    short = df.join(only, keys, "left_anti").withColumn(BLOCK, F.lit(0).cast("bigint"))
+    return short.unionByName(stored(numbered, "blocks"))
 
 
 def running_total(
@@ -35,33 +62,29 @@ def running_total(
     keys: list[str],
     order: list[str],
     sums: dict[str, str],
-    span: int = SPAN,
-    radix: int = RADIX,
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """Add, for each `out: column` of `sums`, the total of the key's earlier rows (0 at the first)."""
-    before = (Window.unboundedPreceding, -1)
-    if span <= radix:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*before)
-        return df.select(
-            "*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(out) for out, c in sums.items()]
-        )
-    blocked = df.withColumn(_BLOCK, _block(order[0], radix))
-    w = Window.partitionBy(*keys, _BLOCK).orderBy(*order).rowsBetween(*before)
-    within = blocked.select(
+    """Add, for each `out: column` of `sums`, the total of the key's earlier rows (0 at the first).
+
+    Where `df` has blocks (see `with_blocks`) the totals are taken by block and carried over.
+    """
+    blocked = BLOCK in df.columns
+    by = [*keys, BLOCK] if blocked else keys
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = df.select(
         "*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(out) for out, c in sums.items()]
     )
-    totals = blocked.groupBy(*keys, _BLOCK).agg(
-        *[F.sum(c).alias(f"__t_{out}") for out, c in sums.items()]
-    ).withColumnRenamed(_BLOCK, "__order")
+    if not blocked:
+        return within
+    totals = df.groupBy(*by).agg(*[F.sum(c).alias(f"__t_{out}") for out, c in sums.items()])
+    totals = totals.withColumnRenamed(BLOCK, "__order")
+    long = long_keys(totals, keys, limit)
+    if long is not None:
+        totals = with_blocks(totals, keys, ["__order"], long)
     carried = running_total(
-        totals,
-        keys,
-        ["__order"],
-        {f"__c_{out}": f"__t_{out}" for out in sums},
-        _levels_left(span, radix),
-        radix,
-    ).select(*keys, F.col("__order").alias(_BLOCK), *[f"__c_{out}" for out in sums])
-    return within.join(carried, [*keys, _BLOCK]).select(
+        totals, keys, ["__order"], {f"__c_{out}": f"__t_{out}" for out in sums}, limit
+    ).select(*keys, F.col("__order").alias(BLOCK), *[f"__c_{out}" for out in sums])
+    return within.join(carried, by).select(
         *df.columns, *[(F.col(out) + F.col(f"__c_{out}")).alias(out) for out in sums]
     )
 
@@ -73,31 +96,35 @@ def carry_last(
     value: str,
     out: str,
     span: int,
-    radix: int = RADIX,
+    radix: int,
     upto: int = 0,
 ) -> DataFrame:
-    """Add the key's latest non-NULL `value` up to each row; `upto=-1` leaves the row itself out."""
+    """Add the key's latest non-NULL `value` up to each row; `upto=-1` leaves the row itself out.
+
+    `order` is a whole number below `span` that is unique within a key, so blocks of `radix` numbers
+    hold at most that many rows.
+    """
     frame = (Window.unboundedPreceding, upto)
     if span <= radix:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*frame)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    blocked = df.withColumn(_BLOCK, _block(order, radix))
-    w = Window.partitionBy(*keys, _BLOCK).orderBy(order).rowsBetween(*frame)
+    blocked = df.withColumn(BLOCK, F.expr(f"`{order}` div {radix}"))
+    w = Window.partitionBy(*keys, BLOCK).orderBy(order).rowsBetween(*frame)
     within = blocked.withColumn("__own", F.last(value, ignorenulls=True).over(w))
-    ends = blocked.groupBy(*keys, _BLOCK).agg(
+    ends = blocked.groupBy(*keys, BLOCK).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("__end")
     )
     entering = carry_last(
-        ends.withColumnRenamed(_BLOCK, "__order"),
+        ends.withColumnRenamed(BLOCK, "__order"),
         keys,
         "__order",
         "__end",
         "__before",
-        _levels_left(span, radix),
+        -(-span // radix),
         radix,
         upto=-1,
-    ).select(*keys, F.col("__order").alias(_BLOCK), "__before")
-    return within.join(entering, [*keys, _BLOCK]).select(
+    ).select(*keys, F.col("__order").alias(BLOCK), "__before")
+    return within.join(entering, [*keys, BLOCK]).select(
         *df.columns, F.coalesce("__own", "__before").alias(out)
     )
 
@@ -166,47 +193,49 @@ def _sorted_groups(df: DataFrame, by: list[str], order: list[str], payload: list
     return df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__rows"))
 
 
-def _composed(groups: DataFrame, by: list[str], fold: Fold, lift: Callable[[Column], Column]) -> DataFrame:
+def _composed(groups: DataFrame, by: list[str], fold: Fold) -> DataFrame:
     return groups.select(
         *by,
         F.aggregate(
-            "__rows", fold.identity(), lambda acc, row: fold.compose(acc, lift(row))
+            "__rows", fold.identity(), lambda acc, row: fold.compose(acc, fold.lift(row))
         ).alias("__map"),
     )
 
 
+def _of_maps(fold: Fold) -> Fold:
+    """The same fold over rows that hold finished maps."""
+    return Fold(lambda row: row["__map"], fold.compose, fold.apply, fold.identity)
+
+
 def fold_maps(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     payload: list[str],
     fold: Fold,
-    span: int = SPAN,
-    radix: int = RADIX,
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """One composed map per key, in `__map`."""
-    lift = fold.lift
-    while span > radix:
-        by = [*keys, _BLOCK]
-        groups = _sorted_groups(df.withColumn(_BLOCK, _block(order[0], radix)), by, order, payload)
-        df = _composed(groups, by, fold, lift).withColumnRenamed(_BLOCK, "__order")
-        order, payload = ["__order"], ["__map"]
-        lift = lambda row: row["__map"]
-        span = _levels_left(span, radix)
-    return _composed(_sorted_groups(df, keys, order, payload), keys, fold, lift)
-
-
-def _states(groups: DataFrame, keep: list[str], start: Column, step) -> DataFrame:
+    """One composed map per key, in `__map`. `df` has blocks where it has long keys."""
+    if BLOCK not in df.columns:
+        return _composed(_sorted_groups(df, keys, order, payload), keys, fold)
+    by = [*keys, BLOCK]
+    maps = _composed(_sorted_groups(df, by, order, payload), by, fold)
+    maps = maps.withColumnRenamed(BLOCK, "__order")
+    long = long_keys(maps, keys, limit)
+    if long is not None:
+        maps = with_blocks(maps, keys, ["__order"], long)
+    return fold_maps(maps, keys, ["__order"], ["__map"], _of_maps(fold), limit)
+
+
+def _states(groups: DataFrame, keep: list[str], start: Column, fold: Fold) -> DataFrame:
     """Explode each group into its rows with the state before and after each."""
     row_type = groups.schema["__rows"].dataType.elementType.simpleString()
     out_type = f"array<struct<row:{row_type},before:double,after:double>>"
     acc0 = F.struct(start.alias("state"), F.array().cast(out_type).alias("out"))
 
     def merge(acc: Column, row: Column) -> Column:
-        after = step(row, acc["state"])
-        emitted = F.struct(
-            row.alias("row"), acc["state"].alias("before"), after.alias("after")
-        )
+        after = fold.apply(fold.lift(row), acc["state"])
+        emitted = F.struct(row.alias("row"), acc["state"].alias("before"), after.alias("after"))
         return F.struct(
             after.alias("state"), F.concat(acc["out"], F.array(emitted)).alias("out")
         )
@@ -223,43 +252,31 @@ def fold_trace(
     fold: Fold,
     start: DataFrame | None,
     default: float,
-    span: int = SPAN,
-    radix: int = RADIX,
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """The state `before` and `after` every row.
+    """The state `before` and `after` every row. `df` has blocks where it has long keys.
 
     `start` holds (keys, `state`) saved from an earlier run; keys absent from it begin at `default`.
     """
-    lift = fold.lift
-
-    def begin(groups: DataFrame) -> tuple[DataFrame, Column]:
-        if start is None:
-            return groups, F.lit(float(default))
-        joined = groups.join(start.select(*keys, F.col("state").alias("__start")), keys, "left")
-        return joined, F.coalesce("__start", F.lit(float(default)))
-
-    if span <= radix:
-        groups, first = begin(_sorted_groups(df, keys, order, payload))
-        out = _states(groups, keys, first, lambda row, x: fold.apply(lift(row), x))
+    if BLOCK not in df.columns:
+        groups = _sorted_groups(df, keys, order, payload)
+        first = F.lit(float(default))
+        if start is not None:
+            saved = start.select(*keys, F.col("state").alias("__start"))
+            groups = groups.join(saved, keys, "left")
+            first = F.coalesce("__start", first)
+        out = _states(groups, keys, first, fold)
     else:
-        by = [*keys, _BLOCK]
-        groups = _sorted_groups(df.withColumn(_BLOCK, _block(order[0], radix)), by, order, payload)
-        maps = _composed(groups, by, fold, lift)
-        upper = Fold(lambda row: row["__map"], fold.compose, fold.apply, fold.identity)
+        by = [*keys, BLOCK]
+        groups = _sorted_groups(df, by, order, payload)
+        maps = _composed(groups, by, fold).withColumnRenamed(BLOCK, "__order")
+        long = long_keys(maps, keys, limit)
+        if long is not None:
+            maps = with_blocks(maps, keys, ["__order"], long)
         entries = fold_trace(
-            maps.withColumnRenamed(_BLOCK, "__order"),
-            keys,
-            ["__order"],
-            ["__map"],
-            upper,
-            start,
-            default,
-            _levels_left(span, radix),
-            radix,
-        ).select(*keys, F.col("__order").alias(_BLOCK), F.col("before").alias("__entry"))
-        out = _states(
-            groups.join(entries, by), keys, F.col("__entry"), lambda row, x: fold.apply(lift(row), x)
-        )
+            maps, keys, ["__order"], ["__map"], _of_maps(fold), start, default, limit
+        ).select(*keys, F.col("__order").alias(BLOCK), F.col("before").alias("__entry"))
+        out = _states(groups.join(entries, by), keys, F.col("__entry"), fold)
     return out.select(
         *keys,
         *[F.col(f"__e.row.{c}").alias(c) for c in (*order, *payload)],

@@ -129,13 +129,13 @@ def initial_ranks(spark, sf):
 @query
 def pagerank_step(spark, sf):
     edges = fx.edges(spark, sf)
-    ranks = graph.rank_step(edges, graph.initial_ranks(edges), part_size=GRAPH_PART)
+    ranks = graph.rank_step(edges, graph.initial_ranks(edges))
     return ranks.select("node", r6("rank"))
 
 
 @query
 def pagerank_3(spark, sf):
-    ranks = graph.rank_iterate(fx.edges(spark, sf), max_iter=3)
+    ranks = graph.rank_iterate(fx.edges(spark, sf), max_iter=3, part_size=GRAPH_PART)
     return ranks.select("node", r6("rank"))
 
 
@@ -590,7 +590,7 @@ def source_ranks(spark, sf):
     writers.write_ranks(readers.read_table(spark, f"{path}/ranks"), f"{path}/ranks.csv")
     lists = readers.read_table(spark, f"{path}/adjacency")
     ranks = readers.read_ranks(spark, f"{path}/ranks.csv")
-    return graph.rank_step_on(lists, ranks).select("node", r6("rank"))
+    return graph.rank_step_on(lists, graph.list_parts(lists), ranks).select("node", r6("rank"))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import START_CHEMISTRY, label_title, pair_key
@@ -97,24 +97,25 @@ def mean_chemistry(
     )
 
 
-def _positions(lineups: DataFrame) -> DataFrame:
-    """Place of each player in the side's id order, from 0. A side is one request's name list."""
-    ids = lineups.groupBy(*SIDE).agg(F.array_sort(F.collect_set("player_id")).alias("ids"))
-    return ids.select(*SIDE, F.posexplode("ids").alias("pos", "player_id"), "ids")
+def _placed(lineups: DataFrame) -> DataFrame:
+    """Place of each player in the side's id order, from 0."""
+    w = Window.partitionBy(*SIDE).orderBy("player_id")
+    return lineups.select(*SIDE, "player_id", (F.row_number().over(w) - 1).alias("pos"))
 
 
 def _mates(lineups: DataFrame, traversal: str) -> DataFrame:
-    placed = _positions(lineups)
+    """Each scored player with those of the same side it is scored against."""
     if traversal == "all":
-        rest = F.array_remove("ids", F.col("player_id"))
-        return placed.select(*SIDE, "player_id", F.explode(rest).alias("mate"))
-    # Even places up to and including one's own are already used up.
-    rest = F.filter(
-        F.transform("ids", lambda p, i: F.struct(p.alias("p"), i.alias("i"))),
-        lambda x: ~((x["i"] % 2 == 0) & (x["i"] <= F.col("pos"))),
-    )
-    scored = placed.filter(F.col("pos") % 2 == 0)
-    return scored.select(*SIDE, "player_id", F.explode(F.transform(rest, lambda x: x["p"])).alias("mate"))
+        left = right = lineups.select(*SIDE, "player_id")
+        meets = F.col("player_id") != F.col("mate")
+    else:
+        placed = _placed(lineups)
+        left = placed.filter(F.col("pos") % 2 == 0)
+        right = placed.withColumnRenamed("pos", "mate_pos")
+        # Even places up to and including one's own are already used up.
+        meets = ~((F.col("mate_pos") % 2 == 0) & (F.col("mate_pos") <= F.col("pos")))
+    right = right.withColumnRenamed("player_id", "mate")
+    return left.join(right, SIDE).filter(meets).select(*SIDE, "player_id", "mate")
 
 
 def cluster_fallback(
@@ -128,9 +129,9 @@ def cluster_fallback(
     """Strength lent to a side for each of its inexperienced players by the scored players of the
     same cluster: sum of rating x coefficient over the size of the cluster."""
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    placed = _positions(lineups).select(*SIDE, "pos", "player_id")
+    placed = lineups.select(*SIDE, "player_id")
     if traversal == "alternate":
-        placed = placed.filter(F.col("pos") % 2 == 0)
+        placed = _placed(lineups).filter(F.col("pos") % 2 == 0)
     seasoned = profile.filter(F.col("matches") >= MIN_MATCHES).select("player_id")
     fresh = (
         placed.join(seasoned, "player_id", "left_anti")

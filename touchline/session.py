@@ -69,3 +69,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_in_buckets(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Like `stored`, but hashed on `keys` into as many buckets as a shuffle has partitions.
+
+    A later join on `keys` then moves only its other side, however often it is repeated. `df` should
+    come out of a grouping by `keys`, so that each bucket is written by one task.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = os.path.basename(path).replace("-", "_")
+    df.write.option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
