@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import league as L
+import pytest
+
+from touchline import schemas
+from touchline.operators import graph
+from touchline.session import shared_folder
+from touchline.sources import readers, writers
+
+
+def put(tmp_path, name, text):
+    (tmp_path / name).write_text(text)
+    return str(tmp_path / name)
+
+
+def test_edges_skip_comments_and_keep_copies(spark, tmp_path):
+    path = put(tmp_path, "e.txt", "# from\tto\n# second\n1\t2\n1\t2\n02\t1\n")
+    assert sorted(tuple(r) for r in readers.read_edges(spark, path).collect()) == [("02", "1"), ("1", "2"), ("1", "2")]
+
+
+def test_ranks_skip_short_lines(spark, tmp_path):
+    path = put(tmp_path, "r.txt", "a,0.5\n\nb\n,\nc,1.00000\n")
+    assert {tuple(r) for r in readers.read_ranks(spark, path).collect()} == {("a", 0.5), ("c", 1.0)}
+
+
+def test_doodles_keep_leading_zeros(spark, tmp_path):
+    line = (
+        '{"word":"cat","countrycode":"IN","recognized":true,"key_id":"0000000000000001",'
+        '"timestamp":"2017-03-05 10:00:00.12345 UTC","drawing":[[[1,2],[3,4.5]]],"extra":1}'
+    )
+    row = readers.read_doodles(spark, put(tmp_path, "d.json", line + "\n")).first()
+    assert row["key_id"] == "0000000000000001" and row["drawing"] == [[[1.0, 2.0], [3.0, 4.5]]]
+
+
+def test_tables_with_headers(spark, tmp_path):
+    text = "Id,name,birthDate,birthArea,foot,role,height,weight\n7,Ann,1990-02-03,Town,left,GK,180,\n"
+    row = readers.read_players(spark, put(tmp_path, "p.csv", text)).first()
+    assert (row["Id"], row["birthDate"], row["weight"]) == (7, dt.date(1990, 2, 3), None)
+    assert readers.read_teams(spark, put(tmp_path, "t.csv", "Id,name\n1,Reds\n")).collect() == [(1, "Reds")]
+    stats = readers.read_stroke_stats(spark, put(tmp_path, "s.csv", "key_id,word,recognized,Total_Strokes\n007,cat,TRUE,3\n"))
+    assert stats.first()["key_id"] == "007"
+
+
+def test_graph_tables_round_trip(spark, tmp_path):
+    edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "a")], schemas.EDGE)
+    writers.write_graph(graph.adjacency(edges), graph.initial_ranks(edges), str(tmp_path))
+    lists = readers.read_table(spark, f"{tmp_path}/adjacency")
+    assert {r["src"]: r["outdeg"] for r in lists.collect()} == {"a": 2, "b": 1}
+    assert readers.read_table(spark, f"{tmp_path}/ranks").count() == 2
+
+
+def test_archive_is_partitioned_by_week(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    writers.append_matches(L.matches(spark, [L.match(1, 1, L.side([1]), L.side([2]))]), path)
+    writers.append_matches(L.matches(spark, [L.match(2, 2, L.side([1]), L.side([2]))]), path)
+    archive = readers.read_table(spark, path)
+    assert archive.count() == 2
+    plan = archive.filter("gameweek = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(gameweek" in plan
+
+
+def test_requests_from_json(spark, tmp_path):
+    text = '{"request_id":1,"date":"2018-01-02","team1":{"name":"A","p1":"X"},"team2":{"name":"B"}}\n'
+    row = readers.read_requests(spark, put(tmp_path, "q.json", text), schemas.WIN_REQUEST).first()
+    assert row["date"] == dt.date(2018, 1, 2) and row["team1"] == {"name": "A", "p1": "X"}
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: None)})
+
+        class sparkContext:
+            master = "spark://host"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError):
+        shared_folder(Cluster)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_folder(spark) == configured
