@@ -31,15 +31,20 @@ def prior_totals(
     history: DataFrame, saved: DataFrame | None = None, limit: int = LIMIT
 ) -> DataFrame:
     """Fouls and own goals of the player's roster matches before this one."""
-    return _prior_totals(in_blocks(history, limit), saved, limit).drop(BLOCK)
+    rows = _with_priors(in_blocks(history, limit), saved, limit)
+    return rows.select(*history.columns, "prior_fouls", "prior_own_goals")
 
 
-def _prior_totals(rows: DataFrame, saved: DataFrame | None, limit: int) -> DataFrame:
-    counted = rows.withColumn(
-        "__fouls", F.when(F.col("on_roster"), F.col("fouls")).otherwise(F.lit(0))
-    ).withColumn("__own", F.when(F.col("on_roster"), F.col("own_goals")).otherwise(F.lit(0)))
-    sums = {"prior_fouls": "__fouls", "prior_own_goals": "__own"}
-    out = running_total(counted, ["player_id"], ORDER, sums, limit).drop("__fouls", "__own")
+def _with_priors(rows: DataFrame, saved: DataFrame | None, limit: int) -> DataFrame:
+    """Add the prior totals, and `prior_played`, how often the player has played before."""
+    counted = rows.select(
+        "*",
+        F.when(F.col("on_roster"), F.col("fouls")).otherwise(F.lit(0)).alias("__fouls"),
+        F.when(F.col("on_roster"), F.col("own_goals")).otherwise(F.lit(0)).alias("__own"),
+        F.col("contribution").isNotNull().cast("bigint").alias("__played"),
+    )
+    sums = {"prior_fouls": "__fouls", "prior_own_goals": "__own", "prior_played": "__played"}
+    out = running_total(counted, ["player_id"], ORDER, sums, limit).drop(*sums.values())
     if saved is None:
         return out
     before = saved.select(
@@ -49,16 +54,7 @@ def _prior_totals(rows: DataFrame, saved: DataFrame | None, limit: int) -> DataF
         *rows.columns,
         (F.col("prior_fouls") + F.coalesce("__f", F.lit(0))).alias("prior_fouls"),
         (F.col("prior_own_goals") + F.coalesce("__o", F.lit(0))).alias("prior_own_goals"),
-    )
-
-
-def _first_of_unknown(rows: DataFrame, rated: DataFrame | None) -> DataFrame:
-    """First contribution of each unknown player: it only opens the rating, without moving it."""
-    unknown = rows.filter(~F.col("known") & F.col("contribution").isNotNull())
-    if rated is not None:
-        unknown = unknown.join(rated.select("player_id"), "player_id", "left_anti")
-    return unknown.groupBy("player_id").agg(F.min(F.struct(*ORDER)).alias("__f")).select(
-        "player_id", "__f.seq", "__f.match_id", F.lit(True).alias("__opens")
+        "prior_played",
     )
 
 
@@ -74,20 +70,26 @@ def ratings(
     `penalty` takes fouls and own goals either from the matches before ("prior_total") or from the
     match itself ("match"). `saved_ratings` (player_id, rating) continues an earlier run.
     """
-    rows = _prior_totals(in_blocks(history, limit), saved_totals, limit)
+    rows = _with_priors(in_blocks(history, limit), saved_totals, limit)
     if penalty == "prior_total":
         fouls, own = F.col("prior_fouls"), F.col("prior_own_goals")
     elif penalty == "match":
         fouls, own = F.col("fouls"), F.col("own_goals")
     else:
         raise ValueError("penalty is 'prior_total' or 'match'")
+    # The first match of an unknown player only opens the rating, without moving it.
+    opens = ~F.col("known") & (F.col("prior_played") == 0)
+    if saved_ratings is not None:
+        rated = saved_ratings.select("player_id", F.lit(True).alias("__rated"))
+        rows = rows.join(rated, "player_id", "left")
+        opens = opens & F.col("__rated").isNull()
     c = F.col("contribution")
     rows = rows.withColumn("perf", c - (0.005 * fouls * c + 0.05 * own * c))
-    firsts = _first_of_unknown(history, saved_ratings)
-    rows = rows.join(firsts, ["player_id", *ORDER], "left")
-    moves = F.col("perf").isNotNull() & F.col("__opens").isNull()
-    rows = rows.withColumn("a", F.when(moves, 0.5).otherwise(1.0)).withColumn(
-        "b", F.when(moves, F.col("perf") / 2).otherwise(0.0)
+    moves = F.col("perf").isNotNull() & ~opens
+    rows = rows.select(
+        "*",
+        F.when(moves, 0.5).otherwise(1.0).alias("a"),
+        F.when(moves, F.col("perf") / 2).otherwise(0.0).alias("b"),
     )
     payload = [
         "match_date",
@@ -155,11 +157,13 @@ def chemistry_steps(rated: DataFrame, first_team_delta: str = "sum") -> DataFram
     )
     right = people.select(
         "match_id",
+        "seq",
         F.col("team_ord").alias("t2"),
         F.col("player_id").alias("p2"),
         F.col("change").alias("d2"),
     )
-    pairs = left.join(right, "match_id").filter(F.col("p1") < F.col("p2"))
+    # Both sides carry the same columns, so they are shuffled once.
+    pairs = left.join(right, ["match_id", "seq"]).filter(F.col("p1") < F.col("p2"))
     d1, d2 = F.col("d1"), F.col("d2")
     spread = F.abs(F.abs(d1) - F.abs(d2)) / 2
     joint = (F.abs(d1) + F.abs(d2)) / 2

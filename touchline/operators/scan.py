@@ -29,11 +29,10 @@ BLOCK = "__block"
 def long_keys(df: DataFrame, keys: list[str], limit: int = LIMIT) -> DataFrame | None:
     """Keys with more than `limit` rows and how many they have; None where there are none.
 
-    The answer has at most rows / limit rows, and is written so that it is counted once.
+    The answer has at most rows / limit rows.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > limit)
-    found = stored(counts, "long-keys")
-    return None if found.isEmpty() else found
+    return None if counts.isEmpty() else stored(counts, "long-keys")
 
 
 def with_blocks(

@@ -326,12 +326,14 @@ def chemistry_delta(spark, sf):
 
 @query
 def chemistry(spark, sf):
-    return folds.chemistry(_rated(spark, sf)).select("p_lo", "p_hi", r6("chem"), "meetings")
+    rated = stored(_rated(spark, sf), "rated")
+    return folds.chemistry(rated).select("p_lo", "p_hi", r6("chem"), "meetings")
 
 
 @query
 def chemistry_diff(spark, sf):
-    out = folds.chemistry(_rated(spark, sf), first_team_delta="diff")
+    rated = stored(_rated(spark, sf), "rated")
+    out = folds.chemistry(rated, first_team_delta="diff")
     return out.select("p_lo", "p_hi", r6("chem"), "meetings")
 
 
@@ -466,7 +468,7 @@ def retired_players(spark, sf):
 def _mean_chemistry(spark, sf, **options):
     history = _history(spark, sf)
     lineups = rq.request_lineups(fx.win_requests(spark, sf), fx.players(spark, sf))
-    chem = folds.chemistry(folds.ratings(history))
+    chem = folds.chemistry(stored(folds.ratings(history), "rated"))
     out = rq.mean_chemistry(lineups, _profile(spark, sf, history), chem, **options)
     return out.select("request_id", "side", "player_id", r6("coeff"))
 
@@ -481,8 +483,9 @@ def mean_chemistry_alternate(spark, sf):
     return _mean_chemistry(spark, sf, traversal="alternate", coefficient="mean_minus_one")
 
 
-def _win_chance(spark, sf, **options):
-    return rq.win_chance(fx.win_requests(spark, sf), **_season(spark, sf), **options)
+def _requests(spark: SparkSession, sf: str) -> DataFrame:
+    """The request table; an input as far as the queries are concerned."""
+    return stored(fx.win_requests(spark, sf), "requests")
 
 
 @query
@@ -490,7 +493,7 @@ def win_chance(spark, sf):
     """With the cluster term."""
     season = _season(spark, sf)
     groups = model.cluster_players(season["profile"])
-    out = rq.win_chance(fx.win_requests(spark, sf), **season, clusters=groups)
+    out = rq.win_chance(_requests(spark, sf), **season, clusters=groups)
     return out.select(
         "request_id", "team_1", "team_2", "status", r6("chance_1"), r6("chance_2"),
         F.array_join("retired_1", ",").alias("retired_1"), F.array_join("retired_2", ",").alias("retired_2"),
@@ -499,7 +502,7 @@ def win_chance(spark, sf):
 
 @query
 def win_chance_plain(spark, sf):
-    out = _win_chance(spark, sf, cluster_term="none")
+    out = rq.win_chance(_requests(spark, sf), **_season(spark, sf), cluster_term="none")
     return out.select(
         "request_id", "team_1", "team_2", "status", r6("chance_1", 4),
         r6("chance_2", 4),

@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline import schemas
 from touchline.operators import folds, matches, metrics, model
-from touchline.session import stored
 from touchline.streaming.framing import event_rows, frame, header_rows, parse_lines
 from touchline.streaming.state import KeyedState, VersionedTable, folder_versions
 
@@ -30,6 +29,12 @@ _HISTORY = (
     "known boolean, on_roster boolean, minutes int, full_time int, contribution double, "
 ) + ", ".join(f"{c} bigint" for c in metrics.COUNTERS)
 
+_RATED = (
+    "player_id bigint, seq int, match_id bigint, match_date date, team_ord int, known boolean, "
+    "on_roster boolean, contribution double, prior_fouls bigint, prior_own_goals bigint, "
+    "perf double, rating double, change double"
+)
+
 
 @dataclass
 class Engine:
@@ -45,6 +50,7 @@ class Engine:
         )
         self.events = VersionedTable(f"{at}/event", schemas.EVENT)
         self.history = VersionedTable(f"{at}/history", _HISTORY)
+        self.rated = VersionedTable(f"{at}/rated", _RATED)
         self.done = VersionedTable(f"{at}/done", "match_id bigint")
         self.open = KeyedState(
             f"{at}/open", ("source",), "source string, position bigint, match_id bigint, since int"
@@ -135,25 +141,21 @@ class Engine:
         self.history.write(history, version)
         history = self.history.read(spark, version + 1, version).drop("version")
 
-        rated = stored(
-            folds.ratings(
-                history,
-                saved_ratings=self._seen(self.ratings, history, version),
-                saved_totals=self._seen(self.totals, history, version),
-            ),
-            "rated",
+        rated = folds.ratings(
+            history,
+            saved_ratings=self._seen(self.ratings, history, version),
+            saved_totals=self._seen(self.totals, history, version),
         )
+        self.rated.write(rated, version)
+        rated = self.rated.read(spark, version + 1, version).drop("version")
         chemistry = folds.chemistry(rated, saved=self.chemistry.read(spark, version))
         totals = metrics.profile_totals(history, self._seen(self.totals, history, version))
         self.chemistry.write(spark, chemistry, version)
         self.totals.write(spark, totals, version)
-        self.training.write(
-            spark, model.training_frame(rated, self.players), version
-        )
+        self.training.write(spark, model.training_frame(rated, self.players), version)
         self.ratings.write(spark, folds.current_ratings(rated), version)
         if self.retrain:
-            frame_rows = stored(self.training.read(spark, version + 1), "training")
-            fitted = model.fit_rating(frame_rows)
+            fitted = model.fit_rating(self.training.read(spark, version + 1))
             model.save_model(fitted, f"{self.state_dir.rstrip('/')}/model/version={version}")
         self.done.write(ids, version)
 
