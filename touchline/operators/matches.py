@@ -275,3 +275,13 @@ def titled(matches: DataFrame) -> DataFrame:
         F.get(ids, F.lit(0)).alias("first_team"),
         F.get(ids, F.lit(1)).alias("second_team"),
     )
+
+
+def match_titles(matches: DataFrame, teams: DataFrame) -> DataFrame:
+    """Matches titled by their teams, "first-second", where the label is not wanted."""
+    name = lambda side: teams.select(
+        F.col("Id").alias(f"{side}_team"), F.col("name").alias(f"{side}_name")
+    )
+    keyed = titled(matches).select("match_id", "first_team", "second_team")
+    named = keyed.join(name("first"), "first_team").join(name("second"), "second_team")
+    return named.select("match_id", F.concat_ws("-", "first_name", "second_name").alias("title"))

@@ -51,17 +51,21 @@ def _match_of(team: Column, day: Column, teams: int) -> Column:
 
 def tags() -> Column:
     k, kind = F.col("k"), F.col("eventId")
-    ids = F.array_compact(
-        F.array(
-            F.when(k % 2 == 0, 1801),
-            F.when(k % 5 == 0, 302),
-            F.when((k % 2 == 1) & (k % 3 != 0), 1802),
-            F.when(k % 4 == 0, 101),
-            F.when((kind == 1) & (k % 7 != 0), 701 + k % 3),
-            F.when(k == 13, 102),
-        )
+    none = F.array().cast(TAGS)
+
+    def tag(condition: Column, number: Column | int) -> Column:
+        number = F.lit(number) if isinstance(number, int) else number
+        one = F.array(F.struct(number.cast("bigint").alias("id")))
+        return F.when(condition, one).otherwise(none)
+
+    return F.concat(
+        tag(k % 2 == 0, 1801),
+        tag(k % 5 == 0, 302),
+        tag((k % 2 == 1) & (k % 3 != 0), 1802),
+        tag(k % 4 == 0, 101),
+        tag((kind == 1) & (k % 7 != 0), 701 + k % 3),
+        tag(k == 13, 102),
     )
-    return F.transform(ids, lambda i: F.struct(i.cast("bigint").alias("id")))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,9 +246,8 @@ def doodles(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = F.when(k == 95, 15).otherwise(16)
     key = F.lpad(F.col("event_id").cast("string"), width, F.lit("0"))
     n = (k % 4 + 1).cast("int")
-    steps = F.sequence(F.lit(0), n - 1)
-    xs = F.transform(steps, lambda i: v + i)
-    ys = F.transform(steps, lambda i: k * 2.0 + i)
+    xs = F.slice(F.array(*[v + i for i in range(4)]), F.lit(1), n)
+    ys = F.slice(F.array(*[k * 2.0 + i for i in range(4)]), F.lit(1), n)
     second = F.when(k == 96, F.slice(ys, 1, n - 1)).otherwise(ys)
     stroke = F.array(xs, second)
     drawing = (

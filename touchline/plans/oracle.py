@@ -363,6 +363,9 @@ ORACLE: dict[str, str] = {
     + """SELECT match_id, player_id, CAST(minutes AS INT) AS minutes, CAST(full_time AS INT) AS full_time FROM mins""",
     "minutes_with_flag": _TEAMS
     + "SELECT match_id, count(*) AS players, CAST(sum(minutes) AS BIGINT) AS minutes FROM mins GROUP BY match_id",
+    "match_titles": _TEAMS
+    + """SELECT match_id, a.s_name || '-' || b.s_name AS title FROM game
+      JOIN supplier a ON a.s_suppkey = first JOIN supplier b ON b.s_suppkey = second""",
     "match_counter": _TEAMS
     + """SELECT day AS match_date, count(*) AS matches, CAST(sum(count(*)) OVER (ORDER BY day) AS BIGINT) AS match_count
       FROM game GROUP BY day""",

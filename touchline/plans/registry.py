@@ -249,6 +249,11 @@ def minutes_with_flag(spark, sf):
     )
 
 
+@query
+def match_titles(spark, sf):
+    return matches.match_titles(fx.matches(spark, sf), fx.teams(spark, sf))
+
+
 @query
 def match_counter(spark, sf):
     return matches.match_counter(fx.matches(spark, sf))
