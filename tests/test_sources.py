@@ -21,6 +21,20 @@ def test_edges_skip_comments_and_keep_copies(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.read_edges(spark, path).collect()) == [("02", "1"), ("1", "2"), ("1", "2")]
 
 
+def test_unmarked_header_lines(spark, tmp_path):
+    folder = tmp_path / "edges"
+    folder.mkdir()
+    for n in (1, 2):
+        body = "".join(f"{n}{i}\t{i}\n" for i in range(500))
+        (folder / f"{n}.txt").write_text("one\ntwo\tx\nthree\nfour\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = {tuple(r) for r in readers.read_edges(spark, str(folder), header_lines=4).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {(f"{n}{i}", str(i)) for n in (1, 2) for i in range(500)}
+
+
 def test_ranks_skip_short_lines(spark, tmp_path):
     path = put(tmp_path, "r.txt", "a,0.5\n\nb\n,\nc,1.00000\n")
     assert {tuple(r) for r in readers.read_ranks(spark, path).collect()} == {("a", 0.5), ("c", 1.0)}

@@ -68,7 +68,8 @@ def ratings(
     """Rating after every appearance, and its change; a match not played changes nothing.
 
     `penalty` takes fouls and own goals either from the matches before ("prior_total") or from the
-    match itself ("match"). `saved_ratings` (player_id, rating) continues an earlier run.
+    match itself ("match"). `saved_ratings` (player_id, rating) continues an earlier run. The rows
+    per player are counted when this is called, so `history` had better be a written table.
     """
     rows = _with_priors(in_blocks(history, limit), saved_totals, limit)
     if penalty == "prior_total":

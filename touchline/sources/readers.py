@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline import schemas
@@ -12,10 +12,28 @@ def read_doodles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DOODLE).json(path)
 
 
-def read_edges(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated edges; lines starting with `#` are comments."""
-    reader = spark.read.schema(schemas.EDGE).option("sep", "\t").option("comment", "#")
-    return reader.csv(path)
+def read_edges(spark: SparkSession, path: str, header_lines: int = 0) -> DataFrame:
+    """Tab-separated edges; lines starting with `#` are comments.
+
+    `header_lines` instead drops that many lines from the top of each file, for headers without a
+    mark.
+    """
+    if not header_lines:
+        reader = spark.read.schema(schemas.EDGE).option("sep", "\t").option("comment", "#")
+        return reader.csv(path)
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    # A header stands in the first block of its file; only those blocks are put in line order.
+    top = lines.filter("start = 0")
+    order = Window.partitionBy("file").orderBy("at")
+    rest = top.withColumn("line", F.row_number().over(order)).filter(F.col("line") > header_lines)
+    kept = rest.select("value").unionByName(lines.filter("start > 0").select("value"))
+    fields = F.split("value", "\t")
+    return kept.select(F.get(fields, F.lit(0)).alias("src"), F.get(fields, F.lit(1)).alias("dst"))
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
