@@ -138,6 +138,16 @@ def test_retired_and_invalid(spark):
     assert docs[2]["team1_retired_players"] is None and docs[2]["team1"] is None
 
 
+def test_thresholds_are_parameters(spark):
+    requests = ask(spark, [(1, team("A", ONE), team("B", TWO))])
+    answer = lambda **kw: rq.win_chance(
+        requests, people(spark), **state(spark), cluster_term="none", **kw
+    ).first()
+    assert answer(retired_below=0.31)["retired_1"] == [1]
+    nobody = answer(min_matches=10)
+    assert (nobody["chance_1"], nobody["chance_2"]) == (50.0, 50.0)
+
+
 def test_namesakes_all_take_part(spark):
     names = {1: "Same", 2: "Same"}
     requests = ask(spark, [(1, {"name": "A", "p": "Same"}, team("B", [3]))])

@@ -61,9 +61,11 @@ def lineup_validity(lineups: DataFrame) -> DataFrame:
     )
 
 
-def retired_players(lineups: DataFrame, line: DataFrame) -> DataFrame:
+def retired_players(
+    lineups: DataFrame, line: DataFrame, retired_below: float = RETIRED_BELOW
+) -> DataFrame:
     rated = predicted(line, lineups, F.col("date"), F.col("birthDate"))
-    return rated.filter(F.col("predicted") < RETIRED_BELOW).select(*SIDE, "player_id", "predicted")
+    return rated.filter(F.col("predicted") < retired_below).select(*SIDE, "player_id", "predicted")
 
 
 def mean_chemistry(
@@ -72,6 +74,7 @@ def mean_chemistry(
     chemistry: DataFrame,
     traversal: str = "all",
     coefficient: str = "mean",
+    min_matches: int = MIN_MATCHES,
 ) -> DataFrame:
     """Mean chemistry of each experienced player with the rest of the side.
 
@@ -83,7 +86,7 @@ def mean_chemistry(
     if coefficient not in ("mean", "mean_minus_one"):
         raise ValueError("coefficient is 'mean' or 'mean_minus_one'")
     mates = _mates(lineups, traversal)
-    seasoned = profile.filter(F.col("matches") >= MIN_MATCHES).select("player_id")
+    seasoned = profile.filter(F.col("matches") >= min_matches).select("player_id")
     lo, hi = pair_key(F.col("player_id"), F.col("mate"))
     pairs = (
         mates.join(seasoned, "player_id", "left_semi")
@@ -125,6 +128,7 @@ def cluster_fallback(
     ratings: DataFrame,
     clusters: DataFrame,
     traversal: str = "all",
+    min_matches: int = MIN_MATCHES,
 ) -> DataFrame:
     """Strength lent to a side for each of its inexperienced players by the scored players of the
     same cluster: sum of rating x coefficient over the size of the cluster."""
@@ -132,7 +136,7 @@ def cluster_fallback(
     placed = lineups.select(*SIDE, "player_id")
     if traversal == "alternate":
         placed = _placed(lineups).filter(F.col("pos") % 2 == 0)
-    seasoned = profile.filter(F.col("matches") >= MIN_MATCHES).select("player_id")
+    seasoned = profile.filter(F.col("matches") >= min_matches).select("player_id")
     fresh = (
         placed.join(seasoned, "player_id", "left_anti")
         .join(clusters, "player_id")
@@ -164,6 +168,8 @@ def win_chance(
     traversal: str = "all",
     coefficient: str = "mean",
     cluster_term: str = "same_cluster",
+    min_matches: int = MIN_MATCHES,
+    retired_below: float = RETIRED_BELOW,
 ) -> DataFrame:
     """Chance of each side in percent, or why there is none.
 
@@ -176,12 +182,14 @@ def win_chance(
         raise ValueError("cluster_term 'same_cluster' needs clusters")
     lineups = stored(request_lineups(requests, players), "lineups")
     rated = predicted(line, lineups, F.col("date"), F.col("birthDate"))
-    gone = F.when(F.col("predicted") < RETIRED_BELOW, F.col("player_id"))
+    gone = F.when(F.col("predicted") < retired_below, F.col("player_id"))
     sides = rated.groupBy(*SIDE).agg(
         valid_roles().alias("valid"),
         F.array_sort(F.collect_list(gone)).alias("retired"),
     )
-    coefficients = mean_chemistry(lineups, profile, chemistry, traversal, coefficient)
+    coefficients = mean_chemistry(
+        lineups, profile, chemistry, traversal, coefficient, min_matches
+    )
     strength = (
         coefficients.join(rated.select(*SIDE, "player_id", "predicted"), [*SIDE, "player_id"])
         .groupBy(*SIDE)
@@ -190,7 +198,9 @@ def win_chance(
     scored = sides.join(strength, SIDE, "left")
     total = F.coalesce("total", F.lit(0.0))
     if cluster_term == "same_cluster":
-        lent = cluster_fallback(lineups, profile, coefficients, ratings, clusters, traversal)
+        lent = cluster_fallback(
+            lineups, profile, coefficients, ratings, clusters, traversal, min_matches
+        )
         scored = scored.join(lent, SIDE, "left")
         total = total + F.coalesce("term", F.lit(0.0))
     scored = scored.withColumn("strength", total / TEAM_SIZE)
