@@ -518,6 +518,12 @@ for _name in ORACLE.keys() - {"pagerank_step_text"}:
     ORACLE[_name] = _nudged(ORACLE[_name])
 
 ORACLE["model_round_trip"] = ORACLE["predicted_rating"]
+ORACLE["state_snapshot"] = (
+    "SELECT player_id, name, fouls, matches, pass_acc, rating FROM (" + ORACLE["stream_metrics"] + ")"
+)
+ORACLE["answer_documents"] = (
+    "SELECT request_id, match_found, teams_playing, gameweek FROM (" + ORACLE["match_info"] + ")"
+)
 ORACLE["source_doodles"] = ORACLE["doodle_valid_count"]
 ORACLE["source_ranks"] = ORACLE["pagerank_step"]
 ORACLE["source_stroke_stats"] = ORACLE["stroke_country_counts"]

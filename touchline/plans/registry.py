@@ -623,6 +623,33 @@ def source_stroke_stats(spark, sf):
     )
 
 
+@query
+def state_snapshot(spark, sf):
+    """Ratings and profile saved as tables and read back."""
+    path = scratch_path(spark, "snapshot")
+    history = _history(spark, sf)
+    writers.write_table(folds.current_ratings(folds.ratings(history)), f"{path}/rating")
+    writers.write_table(_profile(spark, sf, history), f"{path}/profile")
+    saved = readers.read_table(spark, f"{path}/profile").join(
+        readers.read_table(spark, f"{path}/rating"), "player_id"
+    )
+    return saved.select("player_id", "name", "fouls", "matches", r6("pass_acc"), r6("rating"))
+
+
+@query
+def answer_documents(spark, sf):
+    """Match answers written as JSON replies and read back; a reply says so only if none was found."""
+    path = scratch_path(spark, "answers")
+    answers = rq.match_answers(
+        fx.match_requests(spark, sf), fx.matches(spark, sf), fx.players(spark, sf), fx.teams(spark, sf)
+    )
+    writers.write_answers(rq.match_documents(answers), path)
+    replies = readers.read_requests(
+        spark, path, "request_id bigint, match_found boolean, teams_playing string, gameweek int"
+    )
+    return replies.withColumn("match_found", F.coalesce("match_found", F.lit(True)))
+
+
 @query
 def match_archive(spark, sf):
     """Match records appended to the archive and read back by game week."""
