@@ -56,13 +56,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def portions(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
-    """Slices of `texts` of about `chars` characters each, one text at least."""
+def portions(texts: list[str], chars: int, most: int = 32_768) -> Iterator[tuple[int, int]]:
+    """Slices of `texts` of about `chars` characters each, one text at least and `most` at most."""
     start = held = 0
     for i, text in enumerate(texts):
         held += len(text) + 1
-        if held >= chars:
+        if held >= chars or i + 1 - start >= most:
             yield start, i + 1
             start, held = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+class Memo:
+    """A function that keeps its last `limit` answers; unlike functools', it travels with its code."""
+
+    def __init__(self, function, limit: int):
+        self.function, self.limit, self.kept = function, limit, {}
+
+    def __call__(self, *args):
+        if args not in self.kept:
+            if len(self.kept) >= self.limit:
+                del self.kept[next(iter(self.kept))]
+            self.kept[args] = self.function(*args)
+        return self.kept[args]
+
+    def __getstate__(self):
+        return {"function": self.function, "limit": self.limit, "kept": {}}
+
+
+def memo(limit: int):
+    return lambda function: Memo(function, limit)

@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from touchline.llm.chat import chat
 from touchline.llm.decontaminate import decontaminate
+from touchline.llm.fingerprint import fingerprint
+from touchline.llm.html_text import html_text
 from touchline.llm.language import language
+from touchline.llm.license_scan import license_scan
 from touchline.llm.mixing import mixing
 from touchline.llm.near_dedup import near_dedup
 from touchline.llm.sharding import sharding
+from touchline.llm.toxicity import toxicity
 
 QUERIES = {
     "op1_sharding": sharding,
+    "op2_html_text": html_text,
+    "op3_license_scan": license_scan,
     "op4_decontaminate": decontaminate,
     "op5_near_dedup": near_dedup,
+    "op6_toxicity": toxicity,
+    "op7_fingerprint": fingerprint,
     "op8_mixing": mixing,
+    "op9_chat": chat,
     "op10_language": language,
     "pipeline": corpus_pipeline.run,
 }
