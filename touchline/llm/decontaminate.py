@@ -25,11 +25,12 @@ from touchline.llm.common import WORD_BREAK, body, free_name, small, text_key
 from touchline.session import stored
 
 
+#: Tokens that a seed looks at, four through a mask: ####.. or ##..## or ..####, the last being the first two places on.
+SPAN = 6
+
+
 @dataclass(frozen=True)
 class Settings:
-    span: int = 6
-    #: Positions that a mask looks at.
-    masks: tuple[tuple[int, ...], ...] = ((0, 1, 2, 3), (0, 1, 4, 5), (2, 3, 4, 5))
     stretch: int = 13
     share: float = 0.8
     #: Seeds, of 24 bytes, up to which the benchmark is broadcast.
@@ -45,16 +46,22 @@ def item_tokens(text: Column) -> Column:
     return F.transform(F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(rows: DataFrame, settings: Settings, *keep: str) -> DataFrame:
-    """`keep`, place (of the seed's first token) and seed of every masked window of the tokens `h`."""
-    h = F.col("h")
-    masked = F.transform(
-        F.sequence(F.lit(0), F.size(h) - settings.span),
-        lambda i: F.array(*[F.xxhash64(F.lit(m), *[F.get(h, i + k) for k in mask]) for m, mask in enumerate(settings.masks)]),
-    )
-    long_enough = rows.filter(F.size(h) >= settings.span).select(*keep, masked.alias("seeds"))
-    found = long_enough.select(*keep, F.posexplode(F.flatten("seeds")).alias("n", "seed"))
-    return found.select(*keep, F.expr(f"n div {len(settings.masks)}").cast("int").alias("place"), "seed")
+def _pairs(left: str, apart: int, size: Column, *salt: Column) -> Column:
+    """Hashes of left[i] and left[i + apart], for every i below `size`."""
+    return F.zip_with(F.slice(left, 1, size), F.slice(left, apart + 1, size), lambda x, y: F.xxhash64(x, y, *salt))
+
+
+def seeds(rows: DataFrame, *keep: str) -> DataFrame:
+    """`keep`, place (of the seed's first token) and seed of every masked window of the tokens `h`.
+
+    Seeds are put together from hashes of neighbouring tokens: a pair and the next pair but one, or but two.
+    """
+    n = F.size("h")
+    rows = rows.filter(n >= SPAN).select(*keep, _pairs("h", 1, n - 1).alias("p"))
+    n = F.size("p")
+    rows = rows.select(*keep, (n - 2).alias("full"), F.concat(_pairs("p", 2, n - 2), _pairs("p", 4, n - 4, F.lit(1))).alias("seeds"))
+    found = rows.select(*keep, "full", F.posexplode("seeds").alias("n", "seed"))
+    return found.select(*keep, F.when(F.col("n") < F.col("full"), F.col("n")).otherwise(F.col("n") - F.col("full")).alias("place"), "seed")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -63,12 +70,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     node is the text's key, item the key of the item's text, start the token of the text below the
     item's first, matched the agreeing tokens of the item's length, overlap the best stretch's share.
     """
-    items = benchmark.select(text_key().alias("item"), item_tokens(body()).alias("h")).filter(F.size("h") >= settings.span).dropDuplicates(["item"])
+    items = benchmark.select(text_key().alias("item"), item_tokens(body()).alias("h")).filter(F.size("h") >= SPAN).dropDuplicates(["item"])
     items = stored(items, "decontamination-items")
-    marks = seeds(items, settings, "item").withColumnRenamed("place", "q").distinct()
+    marks = seeds(items, "item").withColumnRenamed("place", "q").distinct()
     count = marks.count()
     texts = docs.select(text_key().alias("node"), body().alias("text"))
-    hits = seeds(texts.select("node", tokens(F.col("text")).alias("h")), settings, "node")
+    hits = seeds(texts.select("node", tokens(F.col("text")).alias("h")), "node")
     hits = hits.join(small(marks, count, settings.broadcast_rows), "seed")
     diagonals = stored(hits.select("node", "item", (F.col("place") - F.col("q")).alias("start")).distinct(), "decontamination-hits")
     # One copy of each text that has a hit.
