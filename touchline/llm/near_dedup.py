@@ -7,10 +7,10 @@ than every component's, so two texts agree in a component with their probability
 Signatures are cut into bands; texts that share a band are candidates, and a candidate is a link if
 the exact Jaccard similarity of the two shingle sets reaches the threshold.
 
-Candidates of a band are compared with one of them first (a star, linear in the band). What a star
-has joined needs no further comparison; the pairs of a band that are still in different components
-are compared in further stars, and at last one by one, so that no link between two components is
-lost, whatever the band's size.
+Bands that hold the same texts are verified once. The texts of a band are dealt by hash into chunks of
+bounded number and length; a task gets two chunks, compares all their texts by products of their
+incidence matrix, and returns not the links but a forest of them, at most a row per text. So every
+candidate pair is verified, whatever the band's size, and no list of pairs is ever made.
 
 Defined results: a null text counts as empty; equal texts, empty ones too, are one class; a text of
 fewer than five words is one shingle; a text without words is like its equals only; rows that repeat
@@ -20,7 +20,6 @@ its ids are null. No rows in, no rows out.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import partial
 
@@ -30,12 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import body, free_name, mix, portions, row_key, text_key
+from touchline.llm.common import body, free_name, memo, mix, portions, row_key, text_key
 from touchline.llm.components import components
 from touchline.session import stored
 
-WORD = re.compile(r"[^\W_]+")
 STEP = np.uint64(0x9E3779B97F4A7C15)
+BASE = np.uint64(0x2545F4914F6CDD1D)
 
 
 @dataclass(frozen=True)
@@ -46,33 +45,52 @@ class Settings:
     rows: int = 5
     threshold: float = 0.8
     seed: int = 20240117
-    #: Stars go on while the open pairs exceed so many times the open members.
-    open_factor: int = 8
-    stars: int = 8
+    #: Texts of a chunk, and their characters, on average.
+    chunk: int = 512
+    chunk_chars: int = 8_000_000
 
 
-class Words(dict):
-    """64 bits for each word met."""
+@memo(1)
+def characters() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point, whether it is a letter or digit, and 64 random bits."""
+    points = range(0x110000)
+    word = np.fromiter(map(str.isalnum, map(chr, points)), bool, len(points))
+    return word, mix(np.arange(1, len(points) + 1, dtype=np.uint64) * STEP)
 
-    def __missing__(self, word: str) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
 
+@memo(1)
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and their inverses."""
+    up = np.full(count, BASE, np.uint64)
+    down = np.full(count, pow(int(BASE), -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
-WORDS = Words()
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word of the texts, one text after the other, and the number of words of each text.
+
+    A word's hash is a polynomial of its characters, taken from running sums over all characters.
+    """
+    lowered = [t.lower() for t in texts]
+    points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    is_word, random = characters()
+    inside = is_word[points]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    size = 1 << max(12, int(len(points)).bit_length())
+    up, down = powers(size)
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(random[points] * up[: len(points)], out=sums[1:])
+    found = mix((sums[ends] - sums[starts]) * down[starts])
+    borders = np.cumsum([len(t) + 1 for t in lowered])
+    counts = np.bincount(np.searchsorted(borders, starts, side="right"), minlength=len(texts))
+    return found, counts
 
 
 def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the text, shingle, count) of every distinct shingle, ordered by text."""
-    if len(WORDS) > 1_000_000:
-        WORDS.clear()
-    words: list[str] = []
-    lengths = np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        found = WORD.findall(text.lower())
-        lengths[i] = len(found)
-        words += found
-    h = np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+    """(index of the text, shingle of 48 bits, count) of every distinct shingle, ordered by text and shingle."""
+    h, lengths = word_hashes(texts)
     ends = np.cumsum(lengths)
     of = np.repeat(np.arange(len(texts)), lengths)
     # A text shorter than a shingle is one shingle of what it has.
@@ -80,19 +98,17 @@ def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.n
     value = np.zeros(len(h), np.uint64)
     for k in range(width):
         value *= np.uint64(0xD6E8FEB86659FD93)
-        value[: len(h) - k] += h[k:]
+        value[: max(0, len(h) - k)] += h[k:]
     whole = np.arange(len(h)) + width <= ends[of] if len(h) else np.zeros(0, bool)
     doc, value = of[whole], mix(value[whole])
     if len(short):
         tails = [xxhash.xxh3_64_intdigest(h[ends[i] - lengths[i] : ends[i]].tobytes()) for i in short]
         doc = np.concatenate([doc, short])
         value = np.concatenate([value, np.array(tails, np.uint64)])
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
-    first = np.ones(len(doc), bool)
-    first[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    at = np.flatnonzero(first)
-    return doc[at], value[at], np.diff(np.append(at, len(doc)))
+    both = np.sort(doc.astype(np.uint64) << np.uint64(48) | value >> np.uint64(16))
+    at = np.flatnonzero(np.diff(both, prepend=~both[:1]))
+    both_at = both[at]
+    return (both_at >> np.uint64(48)).astype(np.int64), both_at & np.uint64((1 << 48) - 1), np.diff(np.append(at, len(both)))
 
 
 def prob_minhash(doc, item, weight, texts: int, size: int, seed: int) -> np.ndarray:
@@ -102,7 +118,7 @@ def prob_minhash(doc, item, weight, texts: int, size: int, seed: int) -> np.ndar
     alone = np.bincount(doc, minlength=texts)[doc] == 1
     signature.reshape(texts, size)[doc[alone]] = item[alone][:, None]
     doc, item, weight = doc[~alone], item[~alone], weight[~alone]
-    time, state = np.zeros(len(item)), item ^ np.uint64(seed)
+    time, state = np.zeros(len(item)), mix(item ^ np.uint64(seed))
     while len(item):
         state = state + STEP
         random = mix(state)
@@ -136,84 +152,87 @@ def _signed(batches, settings: Settings):
             rows += band_keys(texts[a:b], settings)
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         values = np.concatenate([*rows, np.zeros(0, np.int64)])
-        kept = [batch.column(c) for c in ("doc_id", "node", "rid")]
+        names = ["doc_id", "node", "rid", "chars"]
+        kept = [batch.column(c) for c in names]
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*kept, lists], ["doc_id", "node", "rid", "bands"])
-
-
-def jaccard(a: str, b: str, width: int) -> float:
-    """Exact similarity of two texts' shingle sets; 0 if either has none."""
-    doc, item, _ = shingles([a, b], width)
-    x, y = item[doc == 0], item[doc == 1]
-    if not len(x) or not len(y):
-        return 0.0
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
-
-
-def _compared(batches, width: int):
-    for batch in batches:
-        left, right = batch.column("left_text").to_pylist(), batch.column("right_text").to_pylist()
-        likeness = pa.array([jaccard(x, y, width) for x, y in zip(left, right, strict=True)], pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), likeness], ["a", "b", "likeness"])
+        yield pa.RecordBatch.from_arrays([*kept, lists], [*names, "bands"])
+
+
+def similarities(texts: list[str], width: int, columns: int = 4096) -> np.ndarray:
+    """Exact Jaccard similarity of the shingle sets of all pairs of texts; 0 for a text without words."""
+    doc, item, _ = shingles(texts, width)
+    sizes = np.bincount(doc, minlength=len(texts)).astype(np.float32)
+    _, column, count = np.unique(item, return_inverse=True, return_counts=True)
+    # Only shingles of several texts meet; they are numbered anew.
+    number = np.cumsum(count > 1) - 1
+    several = count[column] > 1
+    doc, column = doc[several], number[column[several]]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    both = np.zeros((len(texts), len(texts)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        a, b = np.searchsorted(column, (first, first + columns))
+        tile = np.zeros((len(texts), columns), np.float32)
+        tile[doc[a:b], column[a:b] - first] = 1
+        both += tile @ tile.T
+    either = sizes[:, None] + sizes[None, :] - both
+    return np.divide(both, either, out=np.zeros_like(both), where=either > 0)
+
+
+def forest(link: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the least row that it is linked to, directly or not."""
+    least = np.arange(len(link))
+    while True:
+        near = np.where(link, least[None, :], len(link)).min(axis=1, initial=len(link))
+        now = np.minimum(least, near)
+        now = now[now]
+        if (now == least).all():
+            return least
+        least = now
+
+
+def _linked(table: pa.Table, settings: Settings) -> pa.Table:
+    """Links of a forest among the texts of a block."""
+    nodes = table.column("node").to_numpy()
+    order = np.argsort(nodes)
+    nodes = nodes[order]
+    texts = table.column("text").to_pylist()
+    link = similarities([texts[i] for i in order], settings.width) >= settings.threshold - 1e-6
+    least = forest(link)
+    at = np.flatnonzero(least != np.arange(len(nodes)))
+    return pa.table({"a": pa.array(nodes[at], pa.int64()), "b": pa.array(nodes[least[at]], pa.int64())})
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, node (stands for the text), rid (for the row) and bands of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("node"), row_key().alias("rid"), body().alias("text"))
-    return rows.mapInArrow(partial(_signed, settings=settings), "doc_id long, node long, rid long, bands array<long>")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b, likeness) of pairs of nodes, from the whole texts; only texts of a pair travel."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.select(text_key().alias("node"), body().alias("text")).join(wanted, "node", "left_semi")
-    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "dedup-texts")
-    joined = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left_text")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("right_text")), "b")
-    )
-    return stored(joined.mapInArrow(partial(_compared, width=settings.width), "a long, b long, likeness double"), "dedup-pairs")
-
-
-def _ordered(left: str, right: str) -> list:
-    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+    """doc_id, node (stands for the text), rid (for the row), chars and bands of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("node"), row_key().alias("rid"), F.length(body()).cast("long").alias("chars"), body().alias("text"))
+    return rows.mapInArrow(partial(_signed, settings=settings), "doc_id long, node long, rid long, chars long, bands array<long>")
 
 
 def linked(signed: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """(node, root) of every text that is linked to another."""
-    nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
-    entries = nodes.select("node", F.explode("bands").alias("key"))
-    ends = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
-    members = stored(entries.join(ends, "key"), "dedup-bands")
-    star = members.select("node", F.col("lo").alias("other")).union(members.select("node", "hi"))
-    pairs = star.filter("node != other").select(*_ordered("node", "other")).distinct()
-    tested = verified(pairs, docs, settings)
-    members = members.select("key", "node")
-    for turn in range(settings.stars + 1):
-        roots = components(tested.filter(F.col("likeness") >= settings.threshold - 1e-12).select("a", "b"))
-        placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        parts = placed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n"))
-        sums = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("square")).filter("n * n > square")
-        sums = stored(sums, "dedup-open")
-        open_members, open_pairs = sums.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("square")) / 2)).first()
-        if not open_members:
-            break
-        placed = placed.join(sums.select("key"), "key", "left_semi")
-        last = turn == settings.stars or open_pairs <= settings.open_factor * open_members
-        if last:
-            other = placed.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-            pairs = placed.join(other, "key").filter("root != other_root and node < other")
-        else:
-            centre = placed.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("c"))
-            pairs = placed.join(centre, "key").filter("root != c.root").select("node", F.col("c.node").alias("other"))
-        pairs = pairs.select(*_ordered("node", "other")).distinct().join(tested, ["a", "b"], "left_anti")
-        tested = tested.union(verified(stored(pairs, "dedup-more"), docs, settings))
-        if last:
-            roots = components(tested.filter(F.col("likeness") >= settings.threshold - 1e-12).select("a", "b"))
-            break
-    return roots
+    nodes = signed.groupBy("node").agg(F.first("chars").alias("chars"), F.first("bands").alias("bands"))
+    entries = nodes.select("node", "chars", F.explode("bands").alias("key"))
+    same = ["n", "lo", "hi", "mark"]
+    groups = entries.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("chars").alias("chars"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("mark")
+    ).filter("lo < hi")
+    groups = groups.groupBy(*same).agg(F.min("key").alias("key"), F.max("chars").alias("chars"))
+    chunks = F.greatest(F.ceil(F.col("n") / settings.chunk), F.ceil(F.col("chars") / settings.chunk_chars)).cast("int")
+    members = entries.select("node", "key").join(groups.select("key", chunks.alias("chunks")), "key")
+    members = members.withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    # A chunk meets every other one; one alone meets itself.
+    members = members.filter("own != other or chunks = 1")
+    blocks = stored(members.select("node", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "dedup-blocks")
+    texts = docs.select(text_key().alias("node"), body().alias("text")).join(blocks.select("node").distinct(), "node", "left_semi")
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+    grouped = blocks.join(texts, "node").groupBy("key", "i", "j")
+
+    def forest_of(table: pa.Table) -> pa.Table:
+        return _linked(table, settings)
+
+    return components(grouped.applyInArrow(forest_of, "a long, b long"))
 
 
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
