@@ -13,8 +13,8 @@ from touchline.session import local_session, shared_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", partitions=4, memory="6g")
+def spark(tmp_path_factory):
+    session = local_session(os.environ.get("TEST_CPUS", "8"), 4, "6g", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     shared_folder(session)
     yield session

@@ -77,7 +77,7 @@ def test_tolerance_stops_the_loop(spark):
 
 
 def test_hot_source_goes_through_the_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(graph, "HOT_PARTS", 0)
+    monkeypatch.setattr(graph, "HOT_TARGETS", 0)
     edges = frame(spark, EDGES)
     got = ranks_of(graph.rank_step(edges, graph.initial_ranks(edges)))
     assert got == pytest.approx(by_hand(EDGES, 1))

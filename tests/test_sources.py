@@ -66,14 +66,42 @@ def test_graph_tables_round_trip(spark, tmp_path):
     assert readers.read_table(spark, f"{tmp_path}/ranks").count() == 2
 
 
-def test_archive_is_partitioned_by_week(spark, tmp_path):
+def test_columns_are_found_by_name(spark, tmp_path):
+    text = "weight,name,Id,spare,birthDate,role,foot,height,birthArea\n70,Ann,7,x,1990-02-03,GK,left,bad,Town\n"
+    row = readers.read_players(spark, put(tmp_path, "p.csv", text)).first()
+    assert tuple(row) == (7, "Ann", dt.date(1990, 2, 3), "Town", "left", "GK", None, 70)
+    with pytest.raises(ValueError, match="birthdate"):
+        readers.read_players(spark, put(tmp_path, "q.csv", "Id,name\n1,Ann\n"))
+
+
+def test_quotes_in_edges_are_characters(spark, tmp_path):
+    rows = readers.read_edges(spark, put(tmp_path, "e.tsv", '"a\tb\nc\td"\nalone\n# no\tedge\n')).collect()
+    assert sorted(tuple(r) for r in rows) == [('"a', "b"), ("c", 'd"')]
+
+
+def test_flags_as_numbers(spark, tmp_path):
+    values = ["true", "false", "1", "0", "1.0", "2", '"true"', '"1"', "null"]
+    lines = "".join(f'{{"key_id":"{i}","recognized":{v}}}\n' for i, v in enumerate(values))
+    rows = readers.read_doodles(spark, put(tmp_path, "d.json", lines)).collect()
+    assert [r["recognized"] for r in sorted(rows, key=lambda r: r["key_id"])] == [True, False, True, False, True, None, None, None, None]
+
+
+def test_sorted_text_keeps_its_order(spark, tmp_path):
+    df = spark.range(500).selectExpr("cast(id * 7919 % 500 AS string) AS node", "id AS n").repartition(5)
+    writers.write_in_order(df, str(tmp_path / "o"), ["node"])
+    rows = sorted((r["place"], r["value"].split("\t")[0]) for r in readers.read_in_order(spark, str(tmp_path / "o")).collect())
+    assert [p for p, _ in rows] == list(range(1, 501)) and [v for _, v in rows] == sorted(str(i) for i in range(500))
+
+
+def test_archive_is_partitioned_by_day(spark, tmp_path):
     path = str(tmp_path / "archive")
     writers.append_matches(L.matches(spark, [L.match(1, 1, L.side([1]), L.side([2]))]), path)
     writers.append_matches(L.matches(spark, [L.match(2, 2, L.side([1]), L.side([2]))]), path)
     archive = readers.read_table(spark, path)
     assert archive.count() == 2
-    plan = archive.filter("gameweek = 2")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(gameweek" in plan
+    day = archive.agg({"match_date": "max"}).first()[0]
+    plan = archive.filter(f"match_date = date '{day}'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(match_date" in plan
 
 
 def test_requests_from_json(spark, tmp_path):

@@ -139,4 +139,82 @@ def test_state_compacts(spark, tmp_path):
     assert got == {0: 18, 1: 19, 2: 17} | {100 + i: 1 for i in range(20)}
     earlier = {r["k"]: r["v"] for r in table.read(spark, 20).collect()}
     assert earlier[0] == 9 and 110 not in earlier
-    assert [v for v, whole in S.folder_versions(spark, table.path) if whole] == [30]
+    assert [v for v, whole in S.folder_versions(spark, table.path) if whole] == [32]
+
+
+def test_old_folders_go(spark, tmp_path, monkeypatch):
+    from touchline.streaming import state as S
+
+    monkeypatch.setattr(S, "COMPACT_EVERY", 3)
+    table = S.KeyedState(str(tmp_path / "t"), ("k",), "k bigint, v bigint")
+    for version in range(0, 90, 3):
+        table.write(spark, spark.createDataFrame([(version % 4, version)], "k bigint, v bigint"), version)
+        assert len(S.folder_versions(spark, table.path)) <= 8
+    # The last version written again leaves the same state.
+    table.write(spark, spark.createDataFrame([(87 % 4, 87)], "k bigint, v bigint"), 87)
+    assert {r["k"]: r["v"] for r in table.read(spark, 90).collect()} == {v % 4: v for v in range(0, 90, 3)}
+
+
+def without_place(lines):
+    return [json.dumps({k: v for k, v in json.loads(x).items() if k not in ("source", "position")}) for x in lines]
+
+
+def test_lines_take_their_place_from_the_file(spark, tmp_path, batch):
+    records, events = season(games=6)
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "one.json").write_text("\n".join(without_place(lines_of(records, events))) + "\n")
+    (folder / "two.json").write_text('no json\n{"eventId": 8, "playerId": 3}\n{"other": 1}\n')
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False)
+    stream = ingest.open_lines(spark, str(folder))
+    ingest.start_ingest(stream, engine, str(tmp_path / "check"), available_now=True).awaitTermination()
+    engine.flush()
+    agree(state(engine), batch)
+    rejected = sorted((r["reason"], r["position"]) for r in engine.rejected().collect())
+    assert rejected == [(framing.HEADERLESS, 8), (framing.MALFORMED, 0), (framing.NO_KIND, 38)]
+
+
+def test_positions_follow_the_lines_of_a_split_file(spark, tmp_path):
+    path = tmp_path / "long.txt"
+    path.write_text("".join(f"line {i}\n" for i in range(5000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        lines = spark.read.text(str(path)).selectExpr("value", "_metadata.file_path AS file", "_metadata.file_block_start AS start", "monotonically_increasing_id() AS at")
+        rows = sorted((r["position"], r["value"]) for r in framing.in_file_order(lines).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [v for _, v in rows] == [f"line {i}" for i in range(5000)] and len({p for p, _ in rows}) == 5000
+
+
+def test_records_without_a_place_are_refused(spark):
+    lines = as_frame(spark, ['{"eventId": 8, "playerId": 3}'])
+    with pytest.raises(Exception, match="no source"):
+        framing.frame(framing.parse_lines(lines)).collect()
+
+
+def test_late_events_and_repeated_headers(spark, tmp_path, batch):
+    records, events = season(games=6)
+    lines = [json.loads(x) for x in lines_of(records, events)]
+    late, kept, now = [], [], None
+    for n, x in enumerate(lines):
+        now = x.get("matchId", now)
+        if "eventId" in x and n % 3 == 0:
+            late.append({**x, "matchId": now})
+        else:
+            kept.append(x)
+    # Every header again behind its match, and the late events of all matches in two later batches.
+    again = []
+    for x, following in zip(kept, [*kept[1:], None], strict=True):
+        again.append({**x, "position": 2 * x["position"]})
+        head = x if "teamsData" in x else head
+        if following is None or "teamsData" in following:
+            again.append({**head, "position": 2 * x["position"] + 1})
+    half = len(again) // 2
+    late = [{**x, "position": 10**6 + i} for i, x in enumerate(late)]
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False)
+    for i, part in enumerate([again[:half], again[half:], late[::2], late[1::2]]):
+        engine.process(as_frame(spark, [json.dumps(x) for x in part]), i)
+    engine.flush()
+    assert engine.matches_done() == 6
+    agree(state(engine), batch)

@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import join_with_hot_keys
-from touchline.session import cut, stored_in_buckets
+from touchline.session import cut, stored, stored_in_buckets
 
 DAMPING = 0.85
 BASE = 0.15
 PART_SIZE = 8192
-HOT_PARTS = 128
+#: Sources with more distinct targets are broadcast; there are at most distinct edges / HOT_TARGETS of them.
+HOT_TARGETS = 1 << 20
+#: Bytes of adjacency lists in a bucket, and of one target in a list.
+BUCKET_BYTES, TARGET_BYTES = 128 << 20, 32
 
 
 def _part_of(dst: Column, parts: Column) -> Column:
@@ -33,6 +36,7 @@ def out_degrees(copies: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Out-degree with repeated edges, and the number of parts its list of targets needs."""
     return copies.groupBy("src").agg(
         F.sum("copies").alias("outdeg"),
+        F.count("*").alias("distinct"),
         F.ceil(F.count("*") / F.lit(part_size)).cast("bigint").alias("parts"),
     )
 
@@ -40,12 +44,15 @@ def out_degrees(copies: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
 def adjacency(edges: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """`src, part, parts, outdeg, targets`, targets being sorted (dst, copies) pairs.
 
-    Sources with more than HOT_PARTS parts are looked up from a broadcast: there are at most
-    |distinct edges| / (HOT_PARTS * part_size) of them. The rest meet in a shuffled join.
+    Sources with more than HOT_TARGETS targets are looked up from a broadcast. The rest meet in a
+    shuffled join. The edges are aggregated once and written, since both need them.
     """
-    copies = edge_copies(edges)
+    return _lists(stored(edge_copies(edges), "edge-copies"), part_size)
+
+
+def _lists(copies: DataFrame, part_size: int) -> DataFrame:
     degrees = out_degrees(copies, part_size)
-    joined = join_with_hot_keys(copies, degrees, "src", F.col("parts") > HOT_PARTS)
+    joined = join_with_hot_keys(copies, degrees, "src", F.col("distinct") > HOT_TARGETS)
     spread = joined.withColumn("part", _part_of(F.col("dst"), F.col("parts")))
     return spread.groupBy("src", "part").agg(
         F.max("parts").alias("parts"),
@@ -80,13 +87,13 @@ def rank_step(
     round_digits: int | None = None,
 ) -> DataFrame:
     """One step from an edge list: every edge carries rank / out-degree of its source."""
-    copies = edge_copies(edges)
+    copies = stored(edge_copies(edges), "edge-copies")
     shares = (
         out_degrees(copies)
         .join(ranks.withColumnRenamed("node", "src"), "src")
-        .select("src", "parts", (F.col("rank") / F.col("outdeg")).alias("share"))
+        .select("src", "distinct", (F.col("rank") / F.col("outdeg")).alias("share"))
     )
-    sent = join_with_hot_keys(copies, shares, "src", F.col("parts") > HOT_PARTS)
+    sent = join_with_hot_keys(copies, shares, "src", F.col("distinct") > HOT_TARGETS)
     received = _received(sent, F.col("share"), F.col("copies"))
     return _updated(ranks, received, damping, round_digits)
 
@@ -124,11 +131,14 @@ def rank_iterate(
 ) -> DataFrame:
     """Repeat the step a fixed number of times, or until no rank moves by `tol` or more.
 
-    The lists are written once to the shared folder, bucketed on the join key, so a round moves
-    ranks and sums but never edges. Every round is checkpointed: the plan stays one step long and a
+    The lists are written once to the shared folder, bucketed on the join key into buckets of bounded
+    bytes, so a round moves ranks and sums but never edges. Every round is checkpointed: the plan stays one step long and a
     lost executor costs at most one round.
     """
-    lists = stored_in_buckets(adjacency(edges, part_size), "adjacency", ["src", "part"])
+    copies = stored(edge_copies(edges), "edge-copies")
+    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, -(-copies.count() * TARGET_BYTES // BUCKET_BYTES))
+    lists = stored_in_buckets(_lists(copies, part_size), "adjacency", ["src", "part"], buckets)
     parts = cut(list_parts(lists))
     ranks = cut(initial_ranks(edges))
     for _ in range(max_iter):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,9 +100,8 @@ def load_model(path: str) -> LinearRegressionModel:
 
 def predicted(line: DataFrame, rows: DataFrame, on: Column, birth: Column) -> DataFrame:
     """Add `predicted` to every row from the one-row `line`. No line, no prediction."""
-    slope = line.agg(F.first("slope")).scalar()
-    intercept = line.agg(F.first("intercept")).scalar()
-    raw = intercept + slope * scaled_age(age_days(on, birth))
+    fit = line.agg(F.first(F.struct("slope", "intercept"))).scalar()
+    raw = fit["intercept"] + fit["slope"] * scaled_age(age_days(on, birth))
     return rows.withColumn("predicted", settle_rating(raw))
 
 
@@ -126,6 +126,20 @@ def cluster_players(profile: DataFrame, k: int = CLUSTERS, seed: int = 0) -> Dat
     )
 
 
+def misplaced(profile: DataFrame, k: int = CLUSTERS, seed: int = 0) -> DataFrame:
+    """One row: clusters, players, and how many players stand nearer to another center than to their own."""
+    model = fit_clusters(profile, k, seed)
+    assigned = model.transform(_features(profile))
+    spots = [[float(x) for x in c] for c in model.clusterCenters()]
+    place = vector_to_array("features")
+    gaps = F.array(*[F.aggregate(F.zip_with(place, F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, d: a + d) for c in spots])
+    return assigned.select("prediction", gaps.alias("gaps")).agg(
+        F.count_distinct("prediction").alias("clusters"),
+        F.count("*").alias("players"),
+        F.count_if(F.get("gaps", F.col("prediction")) > F.array_min("gaps") + 1e-9).alias("misplaced"),
+    )
+
+
 def cluster_quality(profile: DataFrame, k: int = CLUSTERS, seed: int = 0) -> DataFrame:
     """One row per cluster: size, center and the silhouette of the whole clustering."""
     data = _features(profile)

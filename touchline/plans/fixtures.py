@@ -31,10 +31,17 @@ def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", _k())
 
 
+#: By application and folder; the tables do not change under a running application.
+_TEAM_COUNTS: dict[tuple[str, str], int] = {}
+
+
 def team_count(spark: SparkSession, sf_dir: str) -> int:
-    """An even number of teams, about eighteen players each."""
-    users = table(spark, sf_dir, "events").agg(F.max("user_id") + 1).first()[0]
-    return max(4, 2 * (users // (2 * PLAYERS_PER_TEAM)))
+    """An even number of teams, about eighteen players each; looked up once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TEAM_COUNTS:
+        users = table(spark, sf_dir, "events").agg(F.max("user_id") + 1).first()[0]
+        _TEAM_COUNTS[key] = max(4, 2 * (users // (2 * PLAYERS_PER_TEAM)))
+    return _TEAM_COUNTS[key]
 
 
 def _day(column: str) -> Column:
@@ -395,3 +402,70 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = stream_records(spark, sf_dir)
     fields = [c for c in records.columns if c != "is_match"]
     return records.select("source", "position", F.to_json(F.struct(*fields)).alias("value"))
+
+
+RAW = ["source", "position"]
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source, position and a line of text that holds neither."""
+    records = stream_records(spark, sf_dir)
+    fields = [c for c in records.columns if c not in (*RAW, "is_match")]
+    return records.select(*RAW, F.to_json(F.struct(*fields)).alias("value"))
+
+
+def _as_lines(records: DataFrame, *keep: str) -> DataFrame:
+    """The records as JSON text, with `keep` beside it."""
+    fields = [c for c in records.columns if c not in ("is_match", "late")]
+    return records.select(*keep, F.to_json(F.struct(*fields)).alias("value"))
+
+
+def lines_with_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of every tenth player are `late`: they name their match and come after all others."""
+    records = stream_records(spark, sf_dir)
+    late = ~F.col("is_match") & (F.col("playerId") % 10 == 3)
+    # An event stands at 2 * event_id + 1.
+    named = events(spark, sf_dir).select((F.col("seq") * 2 + 1).alias("position"), F.col("match_id").alias("own"))
+    rows = records.withColumn("late", late).join(named, "position", "left")
+    rows = rows.withColumn("matchId", F.when(F.col("late"), F.col("own")).otherwise(F.col("matchId")))
+    return _as_lines(rows.drop("own"), "late")
+
+
+def lines_with_repeated_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every header comes again after its day's last event; positions are spread out to make room."""
+    half = team_count(spark, sf_dir) // 2
+    records = stream_records(spark, sf_dir).withColumn("position", F.col("position") * 4)
+    last = table(spark, sf_dir, "events").groupBy(_day("ts").cast("bigint").alias("day")).agg(
+        (F.max("event_id") * 8 + 5).alias("again")
+    )
+    headers = records.filter("is_match").withColumn("day", F.floor(F.col("matchId") / half)).join(last, "day")
+    copies = headers.withColumn("position", F.col("again")).select(*records.columns)
+    return _as_lines(records.unionByName(copies)).withColumn("position", F.get_json_object("value", "$.position").cast("bigint"))
+
+
+def lines_that_are_no_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line that is cut off, of no kind, or without a header before it."""
+    rows = events(spark, sf_dir).select(
+        F.lit("lost").alias("source"), F.col("seq").alias("position"), "eventId", "subEventId", "playerId",
+        F.col("eventSec").cast("string").alias("eventSec"), "tags",
+    )
+    text = F.to_json(F.struct(*rows.columns))
+    cut, bare = F.substring(text, 1, 20), F.to_json(F.struct("source", "position", "playerId"))
+    return rows.select(F.when(F.col("position") % 3 == 0, cut).when(F.col("position") % 3 == 1, bare).otherwise(text).alias("value"))
+
+
+def name_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match requests with a label of the two teams' names; teams without a name give no label."""
+    names = teams(spark, sf_dir)
+    rows = match_requests(spark, sf_dir)
+    for side in "ab":
+        rows = rows.join(names.select(F.col("Id").alias(f"team_{side}"), F.col("name").alias(f"name_{side}")), f"team_{side}", "left")
+    return rows.select("request_id", "date", F.concat("name_a", F.lit("-"), "name_b", F.lit(", 1 - 1")).alias("label"))
+
+
+def numeric_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawing records as JSON text whose flag is 1 or 0, and for some a text, which is no flag."""
+    rows = doodles(spark, sf_dir)
+    number = F.to_json(F.struct(*[c for c in rows.columns if c != "recognized"], F.col("recognized").cast("int").alias("recognized")))
+    text = F.to_json(F.struct(*[c for c in rows.columns if c != "recognized"], F.col("recognized").cast("string").alias("recognized")))
+    return rows.select(F.when(F.substring("key_id", -1, 1) == "7", text).otherwise(number).alias("value"))

@@ -280,6 +280,20 @@ coef AS (
 _ALL_MATES = _mean_chem("true", "true", "0")
 _ALTERNATE = _mean_chem("i.pos % 2 = 0", "NOT (j.pos % 2 = 0 AND j.pos <= i.pos)", "1")
 
+_TERM = """,
+final AS (SELECT player_id, arg_max(rating, d) AS rating FROM rated GROUP BY player_id),
+cl AS (SELECT player_id, player_id % 5 AS cluster, matches FROM prof),
+cl_size AS (SELECT cluster, count(*) AS size FROM cl GROUP BY cluster),
+fresh AS (
+  SELECT request_id, side, cluster, count(*) AS fresh FROM lineup JOIN cl USING (player_id) WHERE matches < 5 GROUP BY ALL),
+lent AS (
+  SELECT request_id, side, cluster, sum(rating * coeff) AS lent
+  FROM coef JOIN cl USING (player_id) JOIN final USING (player_id) GROUP BY ALL),
+term AS (
+  SELECT request_id, side, sum(fresh * lent / size) AS term
+  FROM fresh JOIN lent USING (request_id, side, cluster) JOIN cl_size USING (cluster) GROUP BY ALL)
+"""
+
 ORACLE: dict[str, str] = {
     "doodle_valid_count": _DOODLE
     + "SELECT word, count(*) AS records, count(*) FILTER (valid) AS valid_records FROM z GROUP BY word",
@@ -451,6 +465,12 @@ ORACLE: dict[str, str] = {
         _ALTERNATE
         + "SELECT request_id, CAST(side AS INT) AS side, player_id, round(coeff, 6) AS coeff FROM coef"
     ),
+    "cluster_invariants": _fold("SELECT 5::BIGINT AS clusters, count(*) AS players, 0::BIGINT AS misplaced FROM prof"),
+    "cluster_fallback_given": _fold(
+        _ALL_MATES
+        + _TERM
+        + "SELECT request_id, CAST(side AS INT) AS side, round(term, 5) AS term FROM term"
+    ),
     "win_chance_plain": _fold(
         _ALL_MATES
         + ", rp AS (SELECT *, "
@@ -478,14 +498,18 @@ ORACLE: dict[str, str] = {
           retired_1, retired_2 FROM judged"""
     ),
     "profile_query": _fold(
-        """SELECT c_custkey AS request_id, pl.name, area AS "birthArea", foot, role, height, weight, fouls, goals,
+        """SELECT c_custkey AS request_id, prof.player_id IS NOT NULL AS profile_found, c_name AS name, area AS "birthArea", foot, role, height, weight, fouls, goals,
         own_goals, round(pass_acc, 6) AS percent_pass_accuracy, round(shot_acc, 6) AS percent_shots_on_target
-        FROM customer JOIN pl ON pl.name = c_name JOIN prof ON prof.player_id = pl.id"""
+        FROM customer LEFT JOIN (pl JOIN prof ON prof.player_id = pl.id) ON pl.name = c_name"""
     ),
     "match_info": _INFO.format(on="f.title = req.title"),
     "match_info_by_pair": _INFO.format(
         on="least(f.first, f.second) = least(team_a, team_b) AND greatest(f.first, f.second) = greatest(team_a, team_b)"
     ),
+    "match_info_by_names": _INFO.format(
+        on="""least(f.first, f.second) = least(team_a, team_b) AND greatest(f.first, f.second) = greatest(team_a, team_b)
+        AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = team_a) AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = team_b)"""
+    ),
     "match_archive": _TEAMS
     + """SELECT CAST(d + 1 AS INT) AS gameweek, count(*) AS matches,
       CAST(sum(CASE (d + i) % 3 WHEN 0 THEN first WHEN 1 THEN second ELSE 0 END) AS BIGINT) AS winner_sum
@@ -499,6 +523,31 @@ ORACLE: dict[str, str] = {
 }
 
 
+_PLAIN = ORACLE["win_chance_plain"]
+# The same with the cluster term added to a side's strength, before it is divided by eleven.
+ORACLE["win_chance_given"] = (
+    "SELECT request_id, status, chance_1, chance_2 FROM ("
+    + _PLAIN.replace(", rp AS (SELECT *, ", _TERM + ", rp AS (SELECT *, ", 1)
+    .replace("coalesce(8 * sum(coeff * predicted), 0) / 11", "(coalesce(8 * sum(coeff * predicted), 0) + coalesce(max(term), 0)) / 11")
+    .replace(
+        "FROM rp LEFT JOIN coef USING (request_id, side, player_id)",
+        "FROM rp LEFT JOIN coef USING (request_id, side, player_id) LEFT JOIN term USING (request_id, side)",
+    )
+    + ")"
+)
+ORACLE["source_doodles_numeric"] = (
+    _DOODLE
+    + """SELECT word, count(*) AS records, count(*) FILTER (valid AND right(key_id, 1) <> '7') AS valid_records
+    FROM z GROUP BY word"""
+)
+ORACLE["source_edges_quoted"] = _EDGE + """SELECT '"' || src AS src, dst, count(*) AS copies FROM edge GROUP BY src, dst"""
+ORACLE["ranks_in_order"] = (
+    "SELECT row_number() OVER (ORDER BY node) AS place, node, rank FROM (" + ORACLE["pagerank_step_text"] + ")"
+)
+ORACLE["stream_rejects"] = """SELECT CASE event_id % 3 WHEN 0 THEN 'malformed' WHEN 1 THEN 'neither header nor event'
+  ELSE 'before the first header' END AS reason, count(*) AS lines FROM events GROUP BY 1"""
+
+
 def _nudged(sql: str) -> str:
     """round(x, 4..6) becomes round(x + 1e-9, ..), as in the queries, so that ties fall alike."""
     out, at = [], 0
@@ -514,7 +563,7 @@ def _nudged(sql: str) -> str:
     return "".join(out) + sql[at:]
 
 
-for _name in ORACLE.keys() - {"pagerank_step_text"}:
+for _name in ORACLE.keys() - {"pagerank_step_text", "ranks_in_order"}:
     ORACLE[_name] = _nudged(ORACLE[_name])
 
 ORACLE["model_round_trip"] = ORACLE["predicted_rating"]
@@ -529,3 +578,25 @@ ORACLE["source_ranks"] = ORACLE["pagerank_step"]
 ORACLE["source_stroke_stats"] = ORACLE["stroke_country_counts"]
 ORACLE["stream_state"] = ORACLE["chemistry"]
 ORACLE["stream_model"] = ORACLE["rating_regression"]
+for _name in ("stream_raw_lines", "stream_late", "stream_repeated"):
+    ORACLE[_name] = ORACLE["stream_metrics"]
+ORACLE["reply_match"] = (
+    "SELECT request_id, match_found, c.* EXCLUDE (match_id) FROM ("
+    + ORACLE["match_info"]
+    + ") LEFT JOIN ("
+    + ORACLE["incidents"]
+    + ") c USING (match_id)"
+)
+ORACLE["reply_profile"] = (
+    """SELECT request_id, profile_found, CASE WHEN profile_found THEN name END AS name, "birthArea", foot, fouls, percent_pass_accuracy FROM ("""
+    + ORACLE["profile_query"]
+    + ")"
+)
+ORACLE["reply_win_chance"] = (
+    """SELECT request_id, CASE WHEN status <> 'ok' THEN 'True' END AS is_invalid,
+    CASE WHEN status = 'ok' THEN team_1 END AS team_1, CASE WHEN status = 'ok' THEN team_2 END AS team_2, chance_1, chance_2,
+    CASE WHEN status = 'retired' THEN retired_1 END AS retired_1, CASE WHEN status = 'retired' THEN retired_2 END AS retired_2
+    FROM ("""
+    + ORACLE["win_chance_plain"]
+    + ")"
+)

@@ -435,6 +435,12 @@ def clusters(spark, sf):
     return model.cluster_players(stored(_profile(spark, sf), "profile"))
 
 
+@query
+def cluster_invariants(spark, sf):
+    """How many clusters hold how many players, and how many stand nearer to another center."""
+    return model.misplaced(stored(_profile(spark, sf), "profile"))
+
+
 @query
 def cluster_quality(spark, sf):
     return model.cluster_quality(stored(_profile(spark, sf), "profile"))
@@ -524,6 +530,28 @@ def cluster_fallback(spark, sf):
     return rq.cluster_fallback(lineups, season["profile"], coefficients, season["ratings"], groups)
 
 
+def _given_clusters(season: dict[str, DataFrame]) -> DataFrame:
+    """Clusters by a formula, in place of fitted ones."""
+    return season["profile"].select("player_id", F.pmod("player_id", F.lit(5)).cast("int").alias("cluster"))
+
+
+@query
+def win_chance_given(spark, sf):
+    """With the cluster term, for given clusters."""
+    season = _season(spark, sf)
+    out = rq.win_chance(_requests(spark, sf), **season, clusters=_given_clusters(season))
+    return out.select("request_id", "status", r6("chance_1", 4), r6("chance_2", 4))
+
+
+@query
+def cluster_fallback_given(spark, sf):
+    season = _season(spark, sf)
+    lineups = rq.request_lineups(fx.win_requests(spark, sf), season["players"])
+    coefficients = rq.mean_chemistry(lineups, season["profile"], season["chemistry"])
+    out = rq.cluster_fallback(lineups, season["profile"], coefficients, season["ratings"], _given_clusters(season))
+    return out.select("request_id", "side", r6("term", 5))
+
+
 @query
 def profile_query(spark, sf):
     out = rq.profile_answers(fx.profile_requests(spark, sf), fx.players(spark, sf), _profile(spark, sf))
@@ -568,6 +596,82 @@ def match_info_by_pair(spark, sf):
     )
 
 
+@query
+def match_info_by_names(spark, sf):
+    return _card(
+        rq.match_answers_by_names(
+            fx.name_requests(spark, sf), fx.matches(spark, sf), fx.players(spark, sf), fx.teams(spark, sf)
+        )
+    )
+
+
+def _replies(spark: SparkSession, documents: DataFrame, schema: str) -> DataFrame:
+    """Documents written as JSON replies and read back."""
+    path = scratch_path(spark, "replies")
+    writers.write_answers(documents, path)
+    return readers.read_requests(spark, path, schema)
+
+
+@query
+def reply_match(spark, sf):
+    """The lists of the match replies; a reply tells `match_found` only if none was found."""
+    answers = rq.match_answers(
+        fx.match_requests(spark, sf), fx.matches(spark, sf), fx.players(spark, sf), fx.teams(spark, sf)
+    )
+    scored = "array<struct<name:string,team:string,number_of_goals:string>>"
+    carded = "array<struct<name:string,team:string>>"
+    replies = _replies(
+        spark,
+        rq.match_documents(answers),
+        f"request_id bigint, match_found boolean, goals {scored}, own_goals {scored}, yellow_cards {carded}, red_cards {carded}",
+    )
+
+    def text(name: str, *fields: str) -> Column:
+        shown = F.transform(name, lambda e: F.concat_ws("/", *[e[f] for f in fields]))
+        return F.array_join(shown, ";").alias(name)
+
+    goals, cards = ("name", "team", "number_of_goals"), ("name", "team")
+    return replies.select(
+        "request_id",
+        F.coalesce("match_found", F.lit(True)).alias("match_found"),
+        text("goals", *goals),
+        text("own_goals", *goals),
+        text("yellow_cards", *cards),
+        text("red_cards", *cards),
+    )
+
+
+@query
+def reply_profile(spark, sf):
+    answers = rq.profile_answers(fx.profile_requests(spark, sf), fx.players(spark, sf), _profile(spark, sf))
+    replies = _replies(
+        spark,
+        rq.profile_documents(answers),
+        "request_id bigint, profile_found boolean, name string, birthArea string, foot string, fouls bigint, percent_pass_accuracy double",
+    )
+    return replies.select(
+        "request_id", F.coalesce("profile_found", F.lit(True)).alias("profile_found"), "name", "birthArea", "foot", "fouls", r6("percent_pass_accuracy")
+    )
+
+
+@query
+def reply_win_chance(spark, sf):
+    answers = rq.win_chance(_requests(spark, sf), **_season(spark, sf), cluster_term="none")
+    team = "struct<name:string,`winning chance`:double>"
+    replies = _replies(
+        spark,
+        rq.win_chance_documents(answers),
+        f"request_id bigint, team1 {team}, team2 {team}, isInvalid string, team1_retired_players array<bigint>, team2_retired_players array<bigint>",
+    )
+    return replies.select(
+        "request_id",
+        F.col("isInvalid").alias("is_invalid"),
+        *[F.col(f"team{i}.name").alias(f"team_{i}") for i in (1, 2)],
+        *[F.round(F.col(f"team{i}.`winning chance`") + 1e-9, 4).alias(f"chance_{i}") for i in (1, 2)],
+        *[F.array_join(f"team{i}_retired_players", ",").alias(f"retired_{i}") for i in (1, 2)],
+    )
+
+
 # Sources, sinks and the stream
 
 
@@ -579,6 +683,35 @@ def source_doodles(spark, sf):
     return doodles.valid_counts(readers.read_doodles(spark, path))
 
 
+@query
+def source_doodles_numeric(spark, sf):
+    """Drawings whose flag is written as 1 or 0; a text is no flag."""
+    path = scratch_path(spark, "doodles")
+    fx.numeric_flags(spark, sf).write.text(path)
+    return doodles.valid_counts(readers.read_doodles(spark, path))
+
+
+@query
+def source_edges_quoted(spark, sf):
+    """Edges whose source begins with a quote, and lines without a target."""
+    path = scratch_path(spark, "edges")
+    edges = fx.edges(spark, sf)
+    lines = edges.select(F.concat_ws("\t", F.concat(F.lit('"'), "src"), "dst").alias("value"))
+    lines.unionByName(edges.select(F.col("src").alias("value"))).write.text(path)
+    return graph.edge_copies(readers.read_edges(spark, path))
+
+
+@query
+def ranks_in_order(spark, sf):
+    """Ranks after one step as text sorted by node, each with its place in the text."""
+    path = scratch_path(spark, "ranks")
+    edges = fx.edges(spark, sf)
+    ranks = graph.rank_step(edges, graph.initial_ranks(edges), round_digits=5)
+    writers.write_in_order(ranks.select("node", F.format_string("%.5f", "rank").alias("rank")), path, ["node"])
+    fields = F.split("value", "\t")
+    return readers.read_in_order(spark, path).select("place", fields[0].alias("node"), fields[1].alias("rank"))
+
+
 @query
 def source_edges(spark, sf):
     """Edges written as commented tab-separated text and read back."""
@@ -603,17 +736,20 @@ def source_ranks(spark, sf):
 
 @query
 def source_players(spark, sf):
+    """Columns in another order than the layout's, and one to spare."""
     path = scratch_path(spark, "players")
-    fx.players(spark, sf).write.option("header", True).csv(path)
+    rows = fx.players(spark, sf)
+    mixed = rows.select("name", "birthArea", F.lit("x").alias("spare"), "birthDate", "foot", "role", "weight", "height", "Id")
+    mixed.write.option("header", True).csv(path)
     return readers.read_players(spark, path)
 
 
 @query
 def source_stroke_stats(spark, sf):
     path = scratch_path(spark, "stats")
-    fx.stroke_stats(spark, sf).select("key_id", "word", "recognized", "Total_Strokes").write.option(
-        "header", True
-    ).csv(f"{path}/stats")
+    stats = fx.stroke_stats(spark, sf).withColumn("timestamp", F.lit("2020-01-01"))
+    stats = stats.select("word", "timestamp", "recognized", "key_id", "Total_Strokes")
+    stats.write.option("header", True).csv(f"{path}/stats")
     fx.shapes(spark, sf).write.option("header", True).csv(f"{path}/shapes")
     return doodles.country_stroke_counts(
         readers.read_shapes(spark, f"{path}/shapes"),
@@ -670,6 +806,62 @@ def event_framing(spark, sf):
     )
 
 
+def _streamed(spark: SparkSession, sf: str, parts: list[DataFrame]) -> ingest.Engine:
+    """Lines of text fed to the engine, each frame a restart of the stream, then flushed."""
+    at = scratch_path(spark, "stream")
+    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"), False)
+    for lines in parts:
+        lines.write.mode("append").text(f"{at}/lines")
+        stream = ingest.open_lines(spark, f"{at}/lines")
+        ingest.start_ingest(stream, engine, f"{at}/checkpoint", available_now=True).awaitTermination()
+    engine.flush()
+    return engine
+
+
+def _standing(engine: ingest.Engine) -> DataFrame:
+    """Profile and rating as the stream leaves them."""
+    out = engine.current_profile().join(engine.current_ratings(), "player_id")
+    return out.select(
+        "player_id", "name", "fouls", "goals", "own_goals", r6("pass_acc"), r6("shot_acc"), "matches", r6("rating")
+    )
+
+
+@query
+def stream_raw_lines(spark, sf):
+    """Lines that do not tell their place: it is that in their file, and the file is the source."""
+    at = scratch_path(spark, "raw")
+    lines = fx.raw_lines(spark, sf).repartition("source").sortWithinPartitions("source", "position")
+    lines.select("source", "value").write.partitionBy("source").text(at)
+    engine = ingest.Engine(spark, scratch_path(spark, "state"), stored(fx.players(spark, sf), "players"), False)
+    stream = ingest.open_lines(spark, at)
+    ingest.start_ingest(stream, engine, scratch_path(spark, "checkpoint"), available_now=True).awaitTermination()
+    engine.flush()
+    return _standing(engine)
+
+
+@query
+def stream_rejects(spark, sf):
+    """Lines that are no records, by reason."""
+    engine = _streamed(spark, sf, [fx.lines_that_are_no_records(spark, sf)])
+    return engine.rejected().groupBy("reason").agg(F.count("*").alias("lines"))
+
+
+@query
+def stream_late(spark, sf):
+    """Events that come after their match has ended are counted all the same."""
+    lines = stored(fx.lines_with_late_events(spark, sf), "lines")
+    return _standing(_streamed(spark, sf, [lines.filter(f"{late}late").select("value") for late in ("NOT ", "")]))
+
+
+@query
+def stream_repeated(spark, sf):
+    """A match whose header comes again counts once."""
+    lines = stored(fx.lines_with_repeated_headers(spark, sf), "lines")
+    middle = lines.agg(F.max("position")).first()[0] // 2
+    parts = [lines.filter(F.col("position") <= middle), lines.filter(F.col("position") > middle)]
+    return _standing(_streamed(spark, sf, [p.select("value") for p in parts]))
+
+
 def _season_as_stream(spark: SparkSession, sf: str, retrain: bool = False, parts: int = 2) -> ingest.Engine:
     """The season fed to the engine in parts, each a restart of the stream, then flushed."""
     at = scratch_path(spark, "stream")
@@ -695,19 +887,7 @@ def stream_state(spark, sf):
 @query
 def stream_metrics(spark, sf):
     """Profile and rating as the stream leaves them."""
-    engine = _season_as_stream(spark, sf)
-    out = engine.current_profile().join(engine.current_ratings(), "player_id")
-    return out.select(
-        "player_id",
-        "name",
-        "fouls",
-        "goals",
-        "own_goals",
-        r6("pass_acc"),
-        r6("shot_acc"),
-        "matches",
-        r6("rating"),
-    )
+    return _standing(_season_as_stream(spark, sf))
 
 
 @query

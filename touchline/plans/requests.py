@@ -78,6 +78,9 @@ def mean_chemistry(
 ) -> DataFrame:
     """Mean chemistry of each experienced player with the rest of the side.
 
+    Mates never met count with the start value: the mean is that value plus what the stored pairs differ
+    from it, over the number of mates.
+
     `traversal="alternate"` scores every other player in id order, each against those that are not
     yet used up; `coefficient="mean_minus_one"` shifts the mean by -1.
     """
@@ -85,19 +88,40 @@ def mean_chemistry(
         raise ValueError("traversal is 'all' or 'alternate'")
     if coefficient not in ("mean", "mean_minus_one"):
         raise ValueError("coefficient is 'mean' or 'mean_minus_one'")
-    mates = _mates(lineups, traversal)
+    placed = _placed(lineups)
+    size = placed.groupBy(*SIDE).agg(F.count("*").alias("size"))
+    met = _met(placed, chemistry)
+    sums = met.select(
+        *SIDE,
+        F.explode(F.array(
+            F.struct(F.col("p_lo").alias("player_id"), F.col("lo_pos").alias("pos"), F.col("hi_pos").alias("other")),
+            F.struct(F.col("p_hi").alias("player_id"), F.col("hi_pos").alias("pos"), F.col("lo_pos").alias("other")),
+        )).alias("x"),
+        "chem",
+    ).select(*SIDE, "x.*", "chem")
+    mates = F.col("size") - 1
+    if traversal == "alternate":
+        # Even places up to and including one's own are already used up.
+        placed = placed.filter(F.col("pos") % 2 == 0)
+        sums = sums.filter((F.col("pos") % 2 == 0) & ~((F.col("other") % 2 == 0) & (F.col("other") <= F.col("pos"))))
+        mates = F.col("size") - F.floor(F.col("pos") / 2) - 1
+    sums = sums.groupBy(*SIDE, "player_id").agg(F.sum(F.col("chem") - START_CHEMISTRY).alias("above"))
     seasoned = profile.filter(F.col("matches") >= min_matches).select("player_id")
-    lo, hi = pair_key(F.col("player_id"), F.col("mate"))
-    pairs = (
-        mates.join(seasoned, "player_id", "left_semi")
-        .withColumn("p_lo", lo)
-        .withColumn("p_hi", hi)
-        .join(chemistry.select("p_lo", "p_hi", "chem"), ["p_lo", "p_hi"], "left")
-    )
-    shift = 0.0 if coefficient == "mean" else 1.0
-    return pairs.groupBy(*SIDE, "player_id").agg(
-        (F.avg(F.coalesce("chem", F.lit(START_CHEMISTRY))) - F.lit(shift)).alias("coeff")
-    )
+    scored = placed.join(seasoned, "player_id", "left_semi").join(size, SIDE).withColumn("mates", mates).filter("mates > 0")
+    shift = START_CHEMISTRY if coefficient == "mean" else START_CHEMISTRY - 1
+    above = F.coalesce("above", F.lit(0.0)) / F.col("mates")
+    return scored.join(sums, [*SIDE, "player_id"], "left").select(*SIDE, "player_id", (above + F.lit(shift)).alias("coeff"))
+
+
+def _met(placed: DataFrame, chemistry: DataFrame) -> DataFrame:
+    """The stored pairs within each side, with the places of both; pairs that never met are not made.
+
+    A player's stored pairs are reached by the lower id, and kept if the higher one is on the side too.
+    """
+    lo = placed.select(*SIDE, F.col("player_id").alias("p_lo"), F.col("pos").alias("lo_pos"))
+    hi = placed.select(*SIDE, F.col("player_id").alias("p_hi"), F.col("pos").alias("hi_pos"))
+    pairs = lo.join(chemistry.select("p_lo", "p_hi", "chem"), "p_lo")
+    return pairs.join(hi, [*SIDE, "p_hi"])
 
 
 def _placed(lineups: DataFrame) -> DataFrame:
@@ -106,21 +130,6 @@ def _placed(lineups: DataFrame) -> DataFrame:
     return lineups.select(*SIDE, "player_id", (F.row_number().over(w) - 1).alias("pos"))
 
 
-def _mates(lineups: DataFrame, traversal: str) -> DataFrame:
-    """Each scored player with those of the same side it is scored against."""
-    if traversal == "all":
-        left = right = lineups.select(*SIDE, "player_id")
-        meets = F.col("player_id") != F.col("mate")
-    else:
-        placed = _placed(lineups)
-        left = placed.filter(F.col("pos") % 2 == 0)
-        right = placed.withColumnRenamed("pos", "mate_pos")
-        # Even places up to and including one's own are already used up.
-        meets = ~((F.col("mate_pos") % 2 == 0) & (F.col("mate_pos") <= F.col("pos")))
-    right = right.withColumnRenamed("player_id", "mate")
-    return left.join(right, SIDE).filter(meets).select(*SIDE, "player_id", "mate")
-
-
 def cluster_fallback(
     lineups: DataFrame,
     profile: DataFrame,
@@ -252,7 +261,10 @@ def win_chance_documents(answers: DataFrame) -> DataFrame:
 
 
 def profile_answers(requests: DataFrame, players: DataFrame, profile: DataFrame) -> DataFrame:
-    """Player card per requested name; of players sharing a name, the one with the lowest id."""
+    """Player card per requested name; of players sharing a name, the one with the lowest id.
+
+    A request whose name is unknown, or whose player has no profile, is answered with `profile_found` false.
+    """
     wanted = requests.select("request_id", "name")
     card = ["name", "birthArea", "foot", "role", "height", "weight"]
     people = (
@@ -271,8 +283,10 @@ def profile_answers(requests: DataFrame, players: DataFrame, profile: DataFrame)
     )
     # Answers are built once per name and then handed to however many requests ask for it.
     cards = people.join(stats, "player_id")
-    return wanted.join(cards, "name").select(
+    found = F.col("player_id").isNotNull()
+    return wanted.join(cards, "name", "left").select(
         "request_id",
+        found.alias("profile_found"),
         *card,
         "fouls",
         "goals",
@@ -348,12 +362,44 @@ def match_answers_by_pair(
     return _match_card(hits, requests, matches, players, teams)
 
 
+def match_answers_by_names(
+    requests: DataFrame, matches: DataFrame, players: DataFrame, teams: DataFrame
+) -> DataFrame:
+    """Match information by date and a label of two team names in either order, "one - two, score"."""
+    sides = F.split(label_title(F.col("label")), "-")
+    wanted = requests.select("request_id", "date", *[F.trim(F.get(sides, F.lit(i))).alias(f"name_{i}") for i in (0, 1)])
+    ids = teams.groupBy("name").agg(F.min("Id").alias("id"))
+    for i, side in enumerate("ab"):
+        named = ids.select(F.col("name").alias(f"name_{i}"), F.col("id").alias(f"team_{side}"))
+        wanted = wanted.join(named, f"name_{i}", "left")
+    return match_answers_by_pair(wanted, matches, players, teams)
+
+
+def profile_documents(answers: DataFrame) -> DataFrame:
+    """Answers in the shape of the JSON reply: the card, or only `profile_found` = false."""
+    found = F.col("profile_found")
+    card = [c for c in answers.columns if c not in ("request_id", "profile_found")]
+    return answers.select(
+        "request_id", F.when(~found, F.lit(False)).alias("profile_found"), *[F.when(found, F.col(c)).alias(c) for c in card]
+    )
+
+
 def match_documents(answers: DataFrame) -> DataFrame:
     """Answers in the shape of the JSON reply: the card, or only `match_found` = false."""
     found = F.col("match_found")
     card = [c for c in answers.columns if c not in ("request_id", "match_found", "match_id")]
+
+    def listed(name: str, scored: bool) -> Column:
+        def item(e: Column) -> Column:
+            parts = [e["player_name"].alias("name"), e["team_name"].alias("team")]
+            return F.struct(*parts, *([e["number"].cast("string").alias("number_of_goals")] if scored else []))
+
+        return F.transform(name, item)
+
+    lists = {"goals": True, "own_goals": True, "yellow_cards": False, "red_cards": False}
+    shown = {c: listed(c, lists[c]) if c in lists else F.col(c) for c in card}
     return answers.select(
         "request_id",
         F.when(~found, F.lit(False)).alias("match_found"),
-        *[F.when(found, F.col(c)).alias(c) for c in card],
+        *[F.when(found, shown[c]).alias(c) for c in card],
     )

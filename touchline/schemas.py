@@ -1,7 +1,8 @@
 """Column layouts of the inputs, as Spark DDL. Readers never infer a schema."""
 
+# `recognized` may be written as a boolean or as 1 and 0.
 DOODLE = (
-    "word string, countrycode string, recognized boolean, key_id string, "
+    "word string, countrycode string, recognized variant, key_id string, "
     "timestamp string, drawing array<array<array<double>>>"
 )
 SHAPE = "key_id string, word string"

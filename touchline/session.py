@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +23,8 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g", folder: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the bench; `folder` is where intermediate data goes."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("touchline")
@@ -33,29 +32,42 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
     )
+    if folder is not None:
+        builder = builder.config("spark.checkpoint.dir", folder)
     return tune(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`.
+    """Folder every executor can reach: `spark.checkpoint.dir`, else the checkpoint folder of the context.
 
-    Where the setting is absent a private folder is made, but only on a local master, since on a
-    cluster a machine's own disk is lost with the machine.
+    It is never made up: a machine's own disk is lost with the machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="touchline-")
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
+#: Scratch paths and tables of this process, for `clear_scratch`.
+_PATHS: list[str] = []
+_TABLES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    _PATHS.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate data written so far. Frames that still read it become useless."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+    while _PATHS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -71,15 +83,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_in_buckets(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """Like `stored`, but hashed on `keys` into as many buckets as a shuffle has partitions.
+def stored_in_buckets(df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Like `stored`, but hashed on `keys` into buckets, as many as a shuffle has partitions by default.
 
     A later join on `keys` then moves only its other side, however often it is repeated. `df` should
     come out of a grouping by `keys`, so that each bucket is written by one task.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, name)
     table = os.path.basename(path).replace("-", "_")
+    _TABLES.append(table)
     df.write.option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     return spark.table(table)

@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline import schemas
 
 
 def read_doodles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DOODLE).json(path)
+    """Drawing records; the flag is a boolean or a number that is 1 or 0, not a text."""
+    kind = F.schema_of_variant("recognized")
+    number = F.try_variant_get("recognized", "$", "double")
+    flag = F.when(kind == "BOOLEAN", F.try_variant_get("recognized", "$", "boolean")).when(
+        ~kind.isin("STRING", "BOOLEAN") & number.isin(0.0, 1.0), number == 1.0
+    )
+    return spark.read.schema(schemas.DOODLE).json(path).withColumn("recognized", flag)
 
 
 def read_edges(spark: SparkSession, path: str, header_lines: int = 0) -> DataFrame:
-    """Tab-separated edges; lines starting with `#` are comments.
+    """Tab-separated edges; lines starting with `#` are comments. A quote is a character like others.
 
     `header_lines` instead drops that many lines from the top of each file, for headers without a
-    mark.
+    mark. Lines without both ends are no edges and are left out.
     """
+    both = F.col("src").isNotNull() & F.col("dst").isNotNull()
     if not header_lines:
         reader = spark.read.schema(schemas.EDGE).option("sep", "\t").option("comment", "#")
-        return reader.csv(path)
+        return reader.option("quote", "").csv(path).filter(both)
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -33,7 +41,8 @@ def read_edges(spark: SparkSession, path: str, header_lines: int = 0) -> DataFra
     rest = top.withColumn("line", F.row_number().over(order)).filter(F.col("line") > header_lines)
     kept = rest.select("value").unionByName(lines.filter("start > 0").select("value"))
     fields = F.split("value", "\t")
-    return kept.select(F.get(fields, F.lit(0)).alias("src"), F.get(fields, F.lit(1)).alias("dst"))
+    ends = kept.select(F.get(fields, F.lit(0)).alias("src"), F.get(fields, F.lit(1)).alias("dst"))
+    return ends.filter(both)
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
@@ -43,7 +52,17 @@ def read_ranks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Columns of a CSV file by the names in its header, in the layout's order and types.
+
+    Only a header line is read to learn the names. Files whose headers differ, and headers that lack a
+    column, are errors; a value that does not fit its type is NULL.
+    """
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    layout = StructType.fromDDL(schema)
+    absent = {f.name.lower() for f in layout} - {c.lower() for c in text.columns}
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(sorted(absent))}")
+    return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in layout])
 
 
 def read_shapes(spark: SparkSession, path: str, with_country: bool = True) -> DataFrame:
@@ -63,6 +82,25 @@ def read_teams(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.TEAM)
 
 
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that `write_in_order` wrote, with their `place` in the whole, from 1.
+
+    Files follow each other by name. Lines are numbered within a file, which one task wrote; the lines
+    of the files before are a row per file.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    within = lines.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("start", "at")))
+    files = within.groupBy("file").agg(F.count("*").alias("n"))
+    above = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"))
+    return within.join(F.broadcast(files), "file").select("value", (F.col("before") + F.col("line")).alias("place"))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table this package wrote earlier: profile, chemistry, rating, match archive."""
     return spark.read.parquet(path)

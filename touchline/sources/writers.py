@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from touchline.functions.expressions import date_part
 
 
 def write_graph(lists: DataFrame, ranks: DataFrame, path: str) -> None:
@@ -11,6 +14,12 @@ def write_graph(lists: DataFrame, ranks: DataFrame, path: str) -> None:
     ranks.write.mode("overwrite").parquet(f"{path}/ranks")
 
 
+def write_in_order(df: DataFrame, path: str, order: list[str], sep: str = "\t") -> None:
+    """Text lines of all columns, sorted as a whole: by file, and by line within a file."""
+    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns])
+    df.orderBy(*order).select(line.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_ranks(ranks: DataFrame, path: str) -> None:
     ranks.select("node", "rank").write.mode("overwrite").csv(path)
 
@@ -20,8 +29,9 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def append_matches(matches: DataFrame, path: str) -> None:
-    """Append raw match records to the archive, one folder per game week."""
-    matches.write.mode("append").partitionBy("gameweek").parquet(path)
+    """Append raw match records to the archive, one folder per match day, which lookups ask for."""
+    dated = matches.withColumn("match_date", date_part(F.col("dateutc")))
+    dated.write.mode("append").partitionBy("match_date").parquet(path)
 
 
 def write_answers(answers: DataFrame, path: str) -> None:

@@ -15,11 +15,56 @@ FRAME_SPAN = 1 << 40
 FRAME_RADIX = 1 << 16
 
 
+#: Why a line is no record.
+MALFORMED = "malformed"
+NO_KIND = "neither header nor event"
+HEADERLESS = "before the first header"
+
+
+def read_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """JSON text to records, with `is_match` and, where a line is no record, the `reason`.
+
+    A line's place is the `source` and `position` in its text; failing that, the columns of these names
+    beside the text, which the reader of any ordered transport can give.
+    """
+    beside = [c for c in ("source", "position") if c in lines.columns]
+    rows = lines.select(
+        F.col(column).alias("__text"),
+        *[F.col(c).alias(f"__{c}") for c in beside],
+        F.from_json(F.col(column), STREAM_LINE, {"mode": "PERMISSIVE"}).alias("r"),
+    )
+    match, event = F.col("r.teamsData").isNotNull(), F.col("r.eventId").isNotNull()
+    is_object = F.coalesce(F.startswith(F.ltrim("__text"), F.lit("{")), F.lit(False)) & F.try_parse_json("__text").isNotNull()
+    reason = F.when(~is_object, MALFORMED).when(~match & ~event, NO_KIND)
+    for c in beside:
+        rows = rows.withColumn("r", F.col("r").withField(c, F.coalesce(F.col(f"r.{c}"), F.col(f"__{c}"))))
+    return rows.select("r.*", match.alias("is_match"), reason.alias("reason"), F.col("__text").alias("text"))
+
+
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to records. A line that is no JSON object at all is dropped."""
-    rows = lines.select(F.from_json(F.col(column), STREAM_LINE, {"mode": "PERMISSIVE"}).alias("r"))
-    rows = rows.select("r.*").withColumn("is_match", F.col("teamsData").isNotNull())
-    return rows.filter(F.col("is_match") | F.col("eventId").isNotNull())
+    """The lines that are records; see `read_lines` for the others."""
+    return read_lines(lines, column).filter(F.col("reason").isNull()).drop("reason", "text")
+
+
+def in_file_order(lines: DataFrame) -> DataFrame:
+    """Give lines read from files (value, file, start, at) their source, the file, and their position in it.
+
+    `start` is the offset of a line's block in the file and `at` a number that rises within the block. A
+    line takes at least a byte, so start + rank in the block is unique and in order. Only one row per block
+    is aggregated and joined.
+    """
+    base = lines.groupBy("file", "start").agg(F.min("at").alias("__base"))
+    placed = lines.join(F.broadcast(base), ["file", "start"])
+    position = F.col("start") + F.col("at") - F.col("__base")
+    return placed.select("value", F.col("file").alias("source"), position.alias("position"))
+
+
+def _keyed(records: DataFrame, span: int) -> DataFrame:
+    """Refuse records that have no place; they would get lost on the way."""
+    position, source = F.col("position"), F.col("source")
+    fits = source.isNotNull() & F.coalesce((position >= 0) & (position < span), F.lit(False))
+    refused = F.raise_error(F.lit("a stream record has no source, or no position within the span"))
+    return records.withColumn("position", F.when(fits, position).otherwise(refused.cast("bigint")))
 
 
 def header_id() -> Column:
@@ -29,7 +74,7 @@ def header_id() -> Column:
 
 def frame(records: DataFrame, span: int = FRAME_SPAN, radix: int = FRAME_RADIX) -> DataFrame:
     """Add `match_id`: that of the record itself, else of the last header before it in its source."""
-    opened = records.withColumn("__opens", F.when(F.col("is_match"), header_id()))
+    opened = _keyed(records, span).withColumn("__opens", F.when(F.col("is_match"), header_id()))
     framed = carry_last(opened, ["source"], "position", "__opens", "__open", span, radix)
     return framed.withColumn("match_id", F.coalesce("matchId", "__open")).drop("__opens", "__open")
 
@@ -52,7 +97,7 @@ def header_rows(records: DataFrame) -> DataFrame:
 
 
 def event_rows(framed: DataFrame) -> DataFrame:
-    """Event records with their match; events before any header belong to none and are dropped."""
+    """Event records with their match; events before any header belong to none (see `headerless`)."""
     rows = framed.filter(~F.col("is_match") & F.col("match_id").isNotNull()).select(
         "match_id",
         F.col("position").alias("seq"),
@@ -63,3 +108,8 @@ def event_rows(framed: DataFrame) -> DataFrame:
         "tags",
     )
     return normalise_events(rows)
+
+
+def headerless(framed: DataFrame) -> DataFrame:
+    """Events that stand before the first header of their source."""
+    return framed.filter(~F.col("is_match") & F.col("match_id").isNull())

@@ -1,10 +1,13 @@
 """The running engine: a text stream of match headers and events, folded into state tables.
 
-Each micro-batch is framed, appended to the archive, and the matches that came to an end in it (a
-newer header followed in their source) go through the batch operators, continuing from the state the
+Each micro-batch is parsed once, framed, appended to the archive, and the matches that came to an end in it
+(a newer header followed in their source) go through the batch operators, continuing from the state the
 batches before it left. Folds follow arrival: matches of one batch in (seq, match_id) order, batches
-one after the other. Nothing is kept in the driver between batches, so a restart resumes where the
-checkpoint stands.
+one after the other. A match whose header comes again is not folded again. If events of a finished match
+arrive late, the values of its players, and of the pairs they belong to, are folded anew over all their
+matches in (seq, match_id) order. Lines that are no record, and events before the first header of their
+source, go to a reject table with the reason. Nothing is kept in the driver between batches, so a
+restart resumes where the checkpoint stands.
 """
 
 from __future__ import annotations
@@ -18,8 +21,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline import schemas
 from touchline.operators import folds, matches, metrics, model
-from touchline.streaming.framing import event_rows, frame, header_rows, parse_lines
-from touchline.streaming.state import KeyedState, VersionedTable, folder_versions
+from touchline.streaming.framing import (
+    HEADERLESS,
+    event_rows,
+    frame,
+    header_rows,
+    headerless,
+    in_file_order,
+    read_lines,
+)
+from touchline.streaming.state import KeyedState, VersionedTable, delete_folders, folder_versions
 
 TRIGGER = "5 seconds"
 MATCH_LIMIT = 380
@@ -36,6 +47,12 @@ _RATED = (
 )
 
 
+_ARRIVED = schemas.STREAM_LINE + ", is_match boolean, reason string, text string"
+
+#: Versions of a batch: late events folded anew, matches that ended, a flush after the batch.
+PER_BATCH, ANEW, ENDED, FLUSHED = 4, 0, 1, 2
+
+
 @dataclass
 class Engine:
     spark: SparkSession
@@ -52,6 +69,8 @@ class Engine:
         self.history = VersionedTable(f"{at}/history", _HISTORY)
         self.rated = VersionedTable(f"{at}/rated", _RATED)
         self.done = VersionedTable(f"{at}/done", "match_id bigint")
+        self.arrived = VersionedTable(f"{at}/arrived", _ARRIVED)
+        self.rejects = VersionedTable(f"{at}/reject", "source string, position bigint, reason string, text string")
         self.open = KeyedState(
             f"{at}/open", ("source",), "source string, position bigint, match_id bigint, since int"
         )
@@ -72,30 +91,47 @@ class Engine:
             "player_id bigint, seq int, match_id bigint, diff int, rating double",
         )
 
-    # Versions are even for stream batches; a flush after one takes the odd number behind it.
-
     def process(self, lines: DataFrame, batch_id: int) -> None:
-        """The foreachBatch callback; safe to run twice for one batch."""
+        """The foreachBatch callback; safe to run twice for one batch.
+
+        `lines` has the text in `value` and, unless that holds source and position, either these two as
+        columns or `file` and `start` as `open_lines` gives them.
+        """
         if lines.isEmpty():
             return
-        self._step(parse_lines(lines), 2 * batch_id)
+        version = PER_BATCH * batch_id
+        spark, landed = self.spark, f"{self.arrived.path}-lines/version={version}"
+        if "start" in lines.columns:
+            # Row order within a block is known only while the block is read.
+            lines.withColumn("at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(landed)
+            lines = in_file_order(spark.read.parquet(landed))
+        self.arrived.write(read_lines(lines), version)
+        self._step(self.arrived.read(spark, version + 1, version).drop("version"), version)
+        delete_folders(spark, [landed, f"{self.arrived.path}/version={version}"])
 
     def flush(self) -> None:
         """Process the matches still open at the end of the streams."""
         versions = folder_versions(self.spark, self.open.path)
         if not versions:
             return
-        version = versions[-1][0] // 2 * 2 + 1
+        version = versions[-1][0] // PER_BATCH * PER_BATCH + FLUSHED
         waiting = self.open.read(self.spark, version).filter(F.col("match_id").isNotNull())
         self._fold(waiting, version)
         closed = waiting.withColumn("match_id", F.lit(None).cast("bigint"))
         self.open.write(self.spark, closed, version)
 
-    def _step(self, records: DataFrame, version: int) -> None:
+    def _step(self, arrived: DataFrame, version: int) -> None:
         spark = self.spark
+        bad = F.col("reason").isNotNull()
+        records = arrived.filter(~bad).drop("reason", "text")
         carried = self.open.read(spark, version)
         self.matches.write(header_rows(records), version)
-        self.events.write(event_rows(frame(self._with_open(records, carried))), version)
+        framed = frame(self._with_open(records, carried))
+        self.events.write(event_rows(framed), version)
+        shown = ["source", "position", "reason", "text"]
+        early = headerless(framed).withColumn("reason", F.lit(HEADERLESS))
+        early = early.withColumn("text", F.to_json(F.struct("eventId", "subEventId", "playerId", "eventSec", "tags")))
+        self.rejects.write(arrived.filter(bad).select(*shown).unionByName(early.select(*shown)), version)
 
         headers = (
             self.matches.read(spark, version + 1, version)
@@ -110,7 +146,55 @@ class Engine:
         ended = headers.filter(F.col("match_id").isNotNull()).join(
             opened, ["source", "position"], "left_anti"
         )
-        self._fold(ended, version)
+        late = self.events.read(spark, version + 1, version).select("match_id").distinct()
+        self._fold_anew(late.join(self.done.read(spark, version).select("match_id"), "match_id", "left_semi"), version + ANEW)
+        self._fold(ended, version + ENDED)
+
+    def _once(self, table: VersionedTable, keys: list[str], before: int, since: int = 0) -> DataFrame:
+        """The rows of a table as its newest version of each key has them."""
+        rows = table.read(self.spark, before, since)
+        newest = rows.groupBy(*keys).agg(F.max("version").alias("version"))
+        return rows.join(newest, [*keys, "version"], "left_semi").drop("version")
+
+    def _records(self, ids: DataFrame, before: int, since: int = 0) -> DataFrame:
+        """One header for each match, the first that came."""
+        rows = self.matches.read(self.spark, before, since).join(ids, "match_id", "left_semi")
+        columns = [c for c in rows.columns if c != "match_id"]
+        first = rows.groupBy("match_id").agg(F.min_by(F.struct(*columns), F.struct("version", "source", "position")).alias("r"))
+        return first.select("match_id", "r.*").drop("version")
+
+    def _fold_anew(self, late: DataFrame, version: int) -> None:
+        """Fold the players of finished matches anew, and their pairs, after late events of these matches."""
+        spark = self.spark
+        if late.isEmpty():
+            return
+        events = self.events.read(spark, version + 1).join(late, "match_id", "left_semi")
+        changed = metrics.player_history(
+            matches.appearances(self._records(late, version + 1)), metrics.event_metrics(events), self.players
+        )
+        self.history.write(changed, version)
+        people = self.history.read(spark, version + 1, version).select("player_id").distinct()
+        history = self._once(self.history, ["match_id"], version + 1)
+        history = history.join(people, "player_id", "left_semi")
+        self.rated.write(folds.ratings(history), version)
+        rated = self._once(self.rated, ["match_id", "player_id"], version + 1)
+        own = rated.join(people, "player_id", "left_semi")
+        met = rated.join(own.select("match_id").distinct(), "match_id", "left_semi")
+        pairs = folds.chemistry(met)
+        touched = pairs.join(people.select(F.col("player_id").alias("p_lo")), "p_lo", "left_semi").unionByName(
+            pairs.join(people.select(F.col("player_id").alias("p_hi")), "p_hi", "left_semi")
+        )
+        self.chemistry.write(spark, touched.distinct(), version)
+        self.totals.write(spark, metrics.profile_totals(history), version)
+        self.training.write(spark, model.training_frame(own, self.players), version)
+        self.ratings.write(spark, folds.current_ratings(own), version)
+        self._retrain(version)
+        self.done.write(late, version)
+
+    def _retrain(self, version: int) -> None:
+        if self.retrain:
+            fitted = model.fit_rating(self.training.read(self.spark, version + 1))
+            model.save_model(fitted, f"{self.state_dir.rstrip('/')}/model/version={version}")
 
     def _with_open(self, records: DataFrame, carried: DataFrame) -> DataFrame:
         """The records, and in front of them the header still open in each source."""
@@ -126,14 +210,15 @@ class Engine:
         return records.unionByName(kept)
 
     def _fold(self, ended: DataFrame, version: int) -> None:
-        """Metrics, ratings, chemistry, profile and model for the matches that ended."""
+        """Metrics, ratings, chemistry, profile and model for the matches that ended, each once."""
         spark = self.spark
+        ended = ended.join(self.done.read(spark, version), "match_id", "left_anti")
         span = ended.agg(F.count("*").alias("n"), F.min("since").alias("since")).first()
         if not span["n"]:
             return
-        ids = ended.select("match_id")
+        ids = ended.select("match_id").distinct()
         # Folders older than the oldest of these headers are not opened at all.
-        records = self.matches.read(spark, version + 1, span["since"]).join(ids, "match_id", "left_semi")
+        records = self._records(ids, version + 1, span["since"])
         events = self.events.read(spark, version + 1, span["since"]).join(ids, "match_id", "left_semi")
         history = metrics.player_history(
             matches.appearances(records), metrics.event_metrics(events), self.players
@@ -154,9 +239,7 @@ class Engine:
         self.totals.write(spark, totals, version)
         self.training.write(spark, model.training_frame(rated, self.players), version)
         self.ratings.write(spark, folds.current_ratings(rated), version)
-        if self.retrain:
-            fitted = model.fit_rating(self.training.read(spark, version + 1))
-            model.save_model(fitted, f"{self.state_dir.rstrip('/')}/model/version={version}")
+        self._retrain(version)
         self.done.write(ids, version)
 
     def _seen(self, state: KeyedState, history: DataFrame, version: int) -> DataFrame:
@@ -185,16 +268,22 @@ class Engine:
         path = f"{self.state_dir.rstrip('/')}/model/version={newest}"
         return model.model_line(self.spark, model.load_model(path))
 
+    def rejected(self) -> DataFrame:
+        """Lines that were no records: source, position, reason, text."""
+        return self.rejects.read(self.spark, self._NOW).drop("version")
+
     def matches_done(self) -> int:
-        return self.done.read(self.spark, self._NOW).count()
+        return self.done.read(self.spark, self._NOW).select("match_id").distinct().count()
 
 
 def open_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """JSON lines arriving as files in a folder."""
-    reader = spark.readStream.format("text")
+    """JSON lines arriving as files in a folder, and in folders below it, with their place in the file."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.load(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
 
 
 def start_ingest(

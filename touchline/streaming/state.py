@@ -1,8 +1,9 @@
 """Keyed state as append-only tables, one folder per micro-batch.
 
-A batch writes only the keys it touched; every `COMPACT_EVERY`-th batch writes all keys, and reading
-starts from the newest such folder. Rewriting a batch's folder replaces it, so a batch that is run
-again after a failure leaves the same state.
+A batch writes only the keys it touched. When `COMPACT_EVERY` folders have come since all keys were
+written, they are written again, and reading starts from the newest such folder. Rewriting a batch's folder
+replaces it, so a batch that is run again after a failure leaves the same state; for that, folders go
+only once two whole copies stand behind them.
 """
 
 from __future__ import annotations
@@ -33,6 +34,12 @@ def folder_versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
     return sorted(found)
 
 
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """Rows by version, nothing merged: match records, events, history."""
@@ -64,18 +71,25 @@ class KeyedState:
     schema: str
 
     def write(self, spark: SparkSession, changed: DataFrame, version: int) -> None:
-        whole = version // 2 % COMPACT_EVERY == COMPACT_EVERY - 1
+        before = [(v, whole) for v, whole in folder_versions(spark, self.path) if v < version]
+        copies = [v for v, whole in before if whole]
+        since = [v for v, _ in before if v >= max(copies, default=0)]
+        whole = len(since) >= COMPACT_EVERY
         if whole:
-            rest = self.read(spark, version).join(changed, list(self.keys), "left_anti")
+            rest = self._newest(spark, before).join(changed, list(self.keys), "left_anti")
             changed = rest.unionByName(changed)
         changed.write.mode("overwrite").parquet(f"{self.path}/version={version}")
         if whole:
             jvm = spark._jvm
             mark = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_whole/{version}")
             mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+            retired = [v for v, _ in before if v < max(copies, default=0)]
+            delete_folders(spark, [f"{self.path}/version={v}" for v in retired] + [f"{self.path}/_whole/{v}" for v in retired])
 
     def read(self, spark: SparkSession, before: int) -> DataFrame:
-        versions = [(v, whole) for v, whole in folder_versions(spark, self.path) if v < before]
+        return self._newest(spark, [(v, w) for v, w in folder_versions(spark, self.path) if v < before])
+
+    def _newest(self, spark: SparkSession, versions: list[tuple[int, bool]]) -> DataFrame:
         if not versions:
             return spark.createDataFrame([], self.schema)
         base = max((v for v, whole in versions if whole), default=0)
