@@ -219,13 +219,14 @@ def linked(signed: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     ).filter("lo < hi")
     groups = groups.groupBy(*same).agg(F.min("key").alias("key"), F.max("chars").alias("chars"))
     chunks = F.greatest(F.ceil(F.col("n") / settings.chunk), F.ceil(F.col("chars") / settings.chunk_chars)).cast("int")
-    members = entries.select("node", "key").join(groups.select("key", chunks.alias("chunks")), "key")
+    # Merge joins whatever the sizes: the texts and band keys of a corpus are never few.
+    members = entries.select("node", "key").join(groups.select("key", chunks.alias("chunks")).hint("merge"), "key")
     members = members.withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     # A chunk meets every other one; one alone meets itself.
     members = members.filter("own != other or chunks = 1")
     blocks = stored(members.select("node", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "dedup-blocks")
-    texts = docs.select(text_key().alias("node"), body().alias("text")).join(blocks.select("node").distinct(), "node", "left_semi")
+    texts = docs.select(text_key().alias("node"), body().alias("text")).join(blocks.select("node").distinct().hint("merge"), "node", "left_semi")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
     grouped = blocks.join(texts, "node").groupBy("key", "i", "j")
 
