@@ -19,6 +19,7 @@ several times in a text counts its occurrences and shows the best, the first of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,6 +76,10 @@ def with_runs(rows: DataFrame, widths: list[int], tokens: str = "h") -> DataFram
     return done.select(*rows.columns, *[f"s{w}" for w in widths])
 
 
+def _seeded(seed: int) -> Callable[[Column], Column]:
+    return lambda x: F.xxhash64(x, F.lit(seed))
+
+
 def _of_width(widths: list[int]) -> Column:
     """The shingles of a row's own `width`."""
     return F.coalesce(*[F.when(F.col("width") == w, F.col(f"s{w}")) for w in widths])
@@ -83,7 +88,7 @@ def _of_width(widths: list[int]) -> Column:
 def _windows(rows: DataFrame, step: int, settings: Settings) -> DataFrame:
     """id, place and key of the bands of long windows; a text shorter than a window is one window."""
     inner = settings.window - settings.width + 1
-    seeded = [F.transform("shingles", lambda x, s=s: F.xxhash64(x, F.lit(s))).alias(f"m{s}") for s in range(settings.bands)]
+    seeded = [F.transform("shingles", _seeded(s)).alias(f"m{s}") for s in range(settings.bands)]
     rows = rows.filter(F.size("shingles") > 0).select("id", F.size("shingles").alias("n"), *seeded)
     places = F.sequence(F.lit(0), F.greatest(F.col("n") - inner, F.lit(0)), F.lit(step))
     # The last window ends where the text does.
