@@ -86,22 +86,26 @@ def _of_width(widths: list[int]) -> Column:
 
 
 def _windows(rows: DataFrame, step: int, settings: Settings) -> DataFrame:
-    """id, place and key of the bands of long windows; a text shorter than a window is one window."""
+    """id, place and key of the bands of long windows; a text shorter than a window is one window.
+
+    Explodes are outer ones here: for a plain one the optimizer computes its array once more, for a filter at the
+    scan. A row without a key meets nothing.
+    """
     inner = settings.window - settings.width + 1
     seeded = [F.transform("shingles", _seeded(s)).alias(f"m{s}") for s in range(settings.bands)]
-    rows = rows.filter(F.size("shingles") > 0).select("id", F.size("shingles").alias("n"), *seeded)
+    rows = rows.select("id", F.size("shingles").alias("n"), *seeded)
     places = F.sequence(F.lit(0), F.greatest(F.col("n") - inner, F.lit(0)), F.lit(step))
     # The last window ends where the text does.
     places = F.array_union(places, F.array(F.greatest(F.col("n") - inner, F.lit(0))))
     found = F.transform(places, lambda i: F.struct(i.alias("place"), F.array(*[F.xxhash64(F.array_min(F.slice(f"m{s}", i + 1, inner)), F.lit(s)) for s in range(settings.bands)]).alias("keys")))
-    each = rows.select("id", F.explode(found).alias("w"))
-    return each.select("id", F.col("w.place").alias("place"), F.explode("w.keys").alias("key"))
+    each = rows.select("id", F.explode_outer(F.when(F.col("n") > 0, found)).alias("w"))
+    return each.select("id", F.col("w.place").alias("place"), F.explode_outer("w.keys").alias("key"))
 
 
 def _single(rows: DataFrame, column: str, width: int) -> DataFrame:
     """id, place and key of windows of one shingle."""
-    each = rows.select("id", F.posexplode(column).alias("place", "shingle"))
-    return each.select("id", "place", F.xxhash64("shingle", F.lit(100 + width)).alias("key"))
+    each = rows.select("id", F.posexplode_outer(column).alias("place", "shingle"))
+    return each.select("id", "place", F.when(F.col("shingle").isNotNull(), F.xxhash64("shingle", F.lit(100 + width))).alias("key"))
 
 
 def scan(docs: DataFrame, templates: DataFrame, settings: Settings = Settings()) -> DataFrame:
