@@ -5,7 +5,9 @@ ignore a different pair each, so that six aligned tokens with one substitution s
 them. Equal seed hashes of a training text and a benchmark item give a diagonal: the shift that lays
 one upon the other. On each diagonal the tokens are compared one by one, and a text leaks an item if in
 some stretch of `stretch` aligned tokens (the whole item, if that is shorter) at least `share` agree.
-A stretch of 13 with at most 2 substitutions always holds six tokens with at most one.
+A stretch of 13 with at most 2 substitutions always holds six tokens with at most one. It even holds four
+seeds that agree; how many any stretch must hold is counted out for each length (`least_seeds`), and diagonals
+with fewer are left out before texts are compared.
 
 Tokens are runs of letters and digits in lower case. Only DataFrame operations are used; the seeds of
 the benchmark are broadcast if their counted rows are within a bound, else joined by a shuffle.
@@ -16,6 +18,8 @@ short to prove a leak; equal items all count; rows that repeat give one result;
 
 from __future__ import annotations
 
+import itertools
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +41,17 @@ class Settings:
     broadcast_rows: int = 1_000_000
 
 
+def least_seeds(stretch: int, share: float) -> int:
+    """The fewest seeds that agree in a stretch where at least `share` of the tokens do, over all cases."""
+    wrong = stretch - math.ceil(share * stretch - 1e-9)
+    found = []
+    for bad in itertools.combinations(range(stretch), wrong):
+        ok = [i not in bad for i in range(stretch)]
+        full = sum(all(ok[i : i + 4]) for i in range(stretch - 3))
+        found.append(full + sum(ok[i] and ok[i + 1] and ok[i + 4] and ok[i + 5] for i in range(stretch - 5)))
+    return min(found)
+
+
 def tokens(text: Column) -> Column:
     """Hashes of the tokens. An end that is no token gives an empty word, which no item contains."""
     return F.transform(F.split(F.lower(text), WORD_BREAK), lambda w: F.xxhash64(w))
@@ -55,12 +70,16 @@ def seeds(rows: DataFrame, *keep: str) -> DataFrame:
     """`keep`, place (of the seed's first token) and seed of every masked window of the tokens `h`.
 
     Seeds are put together from hashes of neighbouring tokens: a pair and the next pair but one, or but two.
+    The outer explode leaves a row without a seed for short texts, which meets nothing; a plain one, or a filter
+    by size, would make the optimizer compute all of it once more for a filter at the scan.
     """
-    n = F.size("h")
-    rows = rows.filter(n >= SPAN).select(*keep, _pairs("h", 1, n - 1).alias("p"))
-    n = F.size("p")
-    rows = rows.select(*keep, (n - 2).alias("full"), F.concat(_pairs("p", 2, n - 2), _pairs("p", 4, n - 4, F.lit(1))).alias("seeds"))
-    found = rows.select(*keep, "full", F.posexplode("seeds").alias("n", "seed"))
+
+    def fewer(name: str, by: int) -> Column:
+        return F.greatest(F.size(name) - by, F.lit(0))
+
+    rows = rows.select(*keep, _pairs("h", 1, fewer("h", 1)).alias("p"))
+    both = F.concat(_pairs("p", 2, fewer("p", 2)), _pairs("p", 4, fewer("p", 4), F.lit(1)))
+    found = rows.select(*keep, fewer("p", 2).alias("full"), F.posexplode_outer(both).alias("n", "seed"))
     return found.select(*keep, F.when(F.col("n") < F.col("full"), F.col("n")).otherwise(F.col("n") - F.col("full")).alias("place"), "seed")
 
 
@@ -71,13 +90,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     item's first, matched the agreeing tokens of the item's length, overlap the best stretch's share.
     """
     items = benchmark.select(text_key().alias("item"), item_tokens(body()).alias("h")).filter(F.size("h") >= SPAN).dropDuplicates(["item"])
-    items = stored(items, "decontamination-items")
-    marks = seeds(items, "item").withColumnRenamed("place", "q").distinct()
+    stretch = F.least(F.size("h"), F.lit(settings.stretch))
+    least = F.coalesce(*[F.when(stretch == n, least_seeds(n, settings.share)) for n in range(SPAN, settings.stretch + 1)])
+    items = stored(items.withColumn("least", least), "decontamination-items")
+    marks = seeds(items, "item", "least").withColumnRenamed("place", "q").distinct()
     count = marks.count()
     texts = docs.select(text_key().alias("node"), body().alias("text"))
     hits = seeds(texts.select("node", tokens(F.col("text")).alias("h")), "node")
     hits = hits.join(small(marks, count, settings.broadcast_rows), "seed")
-    diagonals = stored(hits.select("node", "item", (F.col("place") - F.col("q")).alias("start")).distinct(), "decontamination-hits")
+    # Texts that repeat count their seeds again, which only lets more through.
+    diagonals = hits.groupBy("node", "item", (F.col("place") - F.col("q")).alias("start"), "least").agg(F.count("*").alias("n"))
+    diagonals = stored(diagonals.filter("n >= least").select("node", "item", "start"), "decontamination-hits")
     # One copy of each text that has a hit.
     texts = texts.join(diagonals.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     laid = diagonals.join(texts.select("node", tokens(F.col("text")).alias("h")), "node")
