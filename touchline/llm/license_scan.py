@@ -85,27 +85,46 @@ def _of_width(widths: list[int]) -> Column:
     return F.coalesce(*[F.when(F.col("width") == w, F.col(f"s{w}")) for w in widths])
 
 
-def _windows(rows: DataFrame, step: int, settings: Settings) -> DataFrame:
-    """id, place and key of the bands of long windows; a text shorter than a window is one window.
+def _windows(step: int, settings: Settings) -> Column:
+    """Band keys of the long windows of the shingles s<width>, whose minima come from m0, m1, ...
 
-    Explodes are outer ones here: for a plain one the optimizer computes its array once more, for a filter at the
-    scan. A row without a key meets nothing.
+    A text shorter than a window is one window; the last window ends where the text does.
     """
     inner = settings.window - settings.width + 1
-    seeded = [F.transform("shingles", _seeded(s)).alias(f"m{s}") for s in range(settings.bands)]
-    rows = rows.select("id", F.size("shingles").alias("n"), *seeded)
-    places = F.sequence(F.lit(0), F.greatest(F.col("n") - inner, F.lit(0)), F.lit(step))
-    # The last window ends where the text does.
-    places = F.array_union(places, F.array(F.greatest(F.col("n") - inner, F.lit(0))))
-    found = F.transform(places, lambda i: F.struct(i.alias("place"), F.array(*[F.xxhash64(F.array_min(F.slice(f"m{s}", i + 1, inner)), F.lit(s)) for s in range(settings.bands)]).alias("keys")))
-    each = rows.select("id", F.explode_outer(F.when(F.col("n") > 0, found)).alias("w"))
-    return each.select("id", F.col("w.place").alias("place"), F.explode_outer("w.keys").alias("key"))
+    last = F.greatest(F.size(f"s{settings.width}") - inner, F.lit(0))
+    places = F.array_union(F.sequence(F.lit(0), last, F.lit(step)), F.array(last))
 
+    def keys(i: Column) -> Column:
+        return F.array(*[F.xxhash64(F.array_min(F.slice(f"m{s}", i + 1, inner)), F.lit(s)) for s in range(settings.bands)])
 
-def _single(rows: DataFrame, column: str, width: int) -> DataFrame:
-    """id, place and key of windows of one shingle."""
-    each = rows.select("id", F.posexplode_outer(column).alias("place", "shingle"))
-    return each.select("id", "place", F.when(F.col("shingle").isNotNull(), F.xxhash64("shingle", F.lit(100 + width))).alias("key"))
+    found = F.flatten(F.transform(places, keys))
+    return F.when(F.size(f"s{settings.width}") > 0, found).otherwise(F.array().cast("array<long>"))
+
+
+def keyed(rows: DataFrame, widths: list[int], single: bool, long: bool, step: int, settings: Settings, *keep: str) -> DataFrame:
+    """`keep`, place and key of all windows of the rows' shingles s<width>: those of one shingle, and long ones.
+
+    All keys of a row come from one array. The explode is an outer one: for a plain one the optimizer computes
+    its array once more, for a filter at the scan. A row without a key meets nothing.
+    """
+    parts, place, before = [], None, F.lit(0)
+    n = F.col("n")
+    if long:
+        minima = [F.transform(f"s{settings.width}", _seeded(s)).alias(f"m{s}") for s in range(settings.bands)]
+        rows = rows.select("*", *minima)
+    sizes = {f"n{w}": F.size(f"s{w}") for w in widths}
+    for w in widths if single else []:
+        parts.append(F.col(f"s{w}"))
+        here = F.when(n < before + F.col(f"n{w}"), n - before)
+        place = here if place is None else F.coalesce(place, here)
+        before = before + F.col(f"n{w}")
+    if long:
+        parts.append(_windows(step, settings))
+        inner = settings.window - settings.width + 1
+        at = F.least(F.floor((n - before) / settings.bands) * step, F.greatest(F.col(f"n{settings.width}") - inner, F.lit(0)))
+        place = at if place is None else F.coalesce(place, at)
+    found = rows.select(*keep, *[c.alias(k) for k, c in sizes.items()], F.posexplode_outer(F.concat(*parts)).alias("n", "key"))
+    return found.select(*keep, place.cast("int").alias("place"), "key")
 
 
 def scan(docs: DataFrame, templates: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -124,17 +143,21 @@ def scan(docs: DataFrame, templates: DataFrame, settings: Settings = Settings())
     texts = docs.select(text_key().alias("node"), body().alias("text"))
     tokens = texts.select(F.col("node").alias("id"), hashed(F.col("text")).alias("h"))
     tokens = with_runs(tokens, widths).drop("h")
-    hits = None
+    short, long = F.col("tokens") < settings.long, F.col("tokens") >= settings.long
+    notices_by_width = with_runs(notices.select("license", "t", "tokens"), widths, "t")
+    own = F.col("width")
+    marks = None
     for w in widths:
-        short = notices.filter((F.col("width") == w) & (F.col("tokens") < settings.long))
-        short = _single(short.select(F.col("license").alias("id"), "own"), "own", w).select(F.col("id").alias("license"), "key").distinct()
-        found = _single(tokens, f"s{w}", w).join(small(short, count, settings.broadcast_rows), "key").select("id", "license", "place")
-        hits = found if hits is None else hits.union(found)
-    if settings.width in widths:
-        long = notices.filter(F.col("tokens") >= settings.long).select(F.col("license").alias("id"), F.col("all").alias("shingles"))
-        long = _windows(long, 1, settings).select(F.col("id").alias("license"), "key").distinct()
-        found = _windows(tokens.select("id", F.col(f"s{settings.width}").alias("shingles")), settings.stride, settings)
-        hits = hits.union(found.join(small(long, count, settings.broadcast_rows), "key").select("id", "license", "place"))
+        rows = with_runs(notices.filter(short & (own == w)).select("license", "t"), [w], "t")
+        found = keyed(rows, [w], True, False, 1, settings, "license")
+        marks = found if marks is None else marks.union(found)
+    has_long = settings.width in widths
+    if has_long:
+        rows = notices_by_width.filter(long)
+        marks = marks.union(keyed(rows, [settings.width], False, True, 1, settings, "license"))
+    marks = marks.filter(F.col("key").isNotNull()).select("license", "key").distinct()
+    found = keyed(tokens, widths, True, has_long, settings.stride, settings, "id")
+    hits = found.join(small(marks, count, settings.broadcast_rows), "key")
     hits = stored(hits.select(F.col("id").alias("node"), "license", "place").distinct(), "license-hits")
     # One copy of each text that has a hit.
     texts = texts.join(hits.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
