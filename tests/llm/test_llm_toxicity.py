@@ -34,7 +34,7 @@ def test_noisy_or_finds_the_sentences_that_explain_the_labels():
             assert "idiot" in text[start:end] or "zzkv" in text[start:end]
             assert worst <= p + 1e-12
     # A word that training never saw, by its beginning.
-    assert toxicity.scored(["ban bar zzkvelo ban"], model)[0][0] > 0.5
+    assert toxicity.scored(["ban bar zzkvelo ban"], model)[0][0] > 5 * toxicity.scored(["ban bar ban ban"], model)[0][0]
 
 
 def test_noisy_or_is_one_minus_the_product():

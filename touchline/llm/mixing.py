@@ -90,7 +90,8 @@ def flow(supply: dict[tuple, int], quota: dict, uses: int) -> dict[tuple, dict]:
 
     def cheapest(source) -> list[tuple] | None:
         """A path of patterns and sources from `source` back to the cheapest pattern that it can draw on."""
-        came: dict = {source: None}
+        start = object()  # a source can be null
+        came: dict = {source: start}
         best, end = None, None
         queue = deque([source])
         while queue:
@@ -108,7 +109,7 @@ def flow(supply: dict[tuple, int], quota: dict, uses: int) -> dict[tuple, dict]:
         if end is None:
             return None
         path, at = [end], end
-        while (at := came[at]) is not None:
+        while (at := came[at]) is not start:
             path.append(at)
         return path
 
@@ -209,7 +210,7 @@ def mixed(docs: DataFrame, members: Column | None = None, settings: Settings = S
                 del flips[key]
             else:
                 flips[key] = not r["b"]["more"]
-    done = _flipped(placed, flips).withColumn("uses", F.col("full") + F.col("more").cast("int"))
+    done = _flipped(placed, flips).withColumn("uses", F.when(F.col("size") > 0, F.col("full") + F.col("more").cast("int")).otherwise(0))
     # The first use's middle falls into the share of one of the pattern's sources.
     ends = F.transform("amounts", lambda _, i: F.aggregate(F.slice("amounts", 1, i + 1), F.lit(0).cast("long"), lambda a, x: a + x))
     first = F.element_at(F.filter(F.zip_with("sources", ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), lambda x: x["e"] > F.col("middle")), 1)
