@@ -148,7 +148,7 @@ def _signed(batches, settings: Settings):
     for batch in batches:
         texts = batch.column("text").to_pylist()
         rows = []
-        for a, b in portions(texts, 4_000_000):
+        for a, b in portions(texts, 1_500_000):
             rows += band_keys(texts[a:b], settings)
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         values = np.concatenate([*rows, np.zeros(0, np.int64)])
