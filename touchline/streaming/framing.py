@@ -64,7 +64,10 @@ def _keyed(records: DataFrame, span: int) -> DataFrame:
     position, source = F.col("position"), F.col("source")
     fits = source.isNotNull() & F.coalesce((position >= 0) & (position < span), F.lit(False))
     refused = F.raise_error(F.lit("a stream record has no source, or no position within the span"))
-    return records.withColumn("position", F.when(fits, position).otherwise(refused.cast("bigint")))
+    # Both keys, since a join on a missing source would drop the row before its position is looked at.
+    return records.withColumns(
+        {"source": F.when(fits, source).otherwise(refused.cast("string")), "position": F.when(fits, position).otherwise(refused.cast("bigint"))}
+    )
 
 
 def header_id() -> Column:
