@@ -82,6 +82,24 @@ def test_a_hot_group_of_copies(spark):
     assert got(found) == brute(rows)
 
 
+def test_a_copy_that_repeats_a_line_many_times(spark):
+    rng = random.Random(11)
+    rows = []
+    for n, (words, line, times) in enumerate([(64, 10, 100), (64, 10, 20), (200, 30, 50), (120, 20, 300)] * 15):
+        base = " ".join(f"g{n}x{rng.randrange(10**6)}" for _ in range(words))
+        repeated = " ".join(f"g{n}y{i}" for i in range(line))
+        rows += [(2 * n, base), (2 * n + 1, " ".join([base, *[repeated] * times]))]
+    want = brute(rows)
+    assert sum(i != c for i, c in want) == 60
+    assert got(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string"))) == want
+
+
+def test_the_least_probability_jaccard_of_a_pair_at_the_threshold():
+    settings = near_dedup.Settings()
+    least = settings.threshold / settings.heaviest
+    assert (1 - least**settings.rows) ** settings.bands < 5e-5
+
+
 def test_shingles_and_similarity_are_exact():
     texts = ["", "a", "A b", "!!!", "İstanbul Straße ΣΑΣ x y z ÑÑ", "a b c d e a b c d e a b c d e", "\U0001d54f a_b c d e f", "one two three four five six seven"]
     doc, item, count = near_dedup.shingles(texts, 5)

@@ -1,9 +1,10 @@
 """Near-duplicate classes by ProbMinHash.
 
-Every distinct text becomes a set of five-word shingles, weighted 1 + ln(count). Each shingle sends
+Every distinct text becomes a set of five-word shingles, weighted from 1 to 1.1 by count. Each shingle sends
 points of its own Poisson process, whose rate is the weight, to random components of the signature;
 a component keeps its earliest point. A shingle stops sending as soon as its next point is later
-than every component's, so two texts agree in a component with their probability Jaccard.
+than every component's, so two texts agree in a component with their probability Jaccard. As no two
+weights differ by more than 1.1 times, that is at least the plain Jaccard similarity divided by 1.1.
 Signatures are cut into bands; texts that share a band are candidates, and a candidate is a link if
 the exact Jaccard similarity of the two shingle sets reaches the threshold.
 
@@ -40,9 +41,12 @@ BASE = np.uint64(0x2545F4914F6CDD1D)
 @dataclass(frozen=True)
 class Settings:
     width: int = 5
-    #: 25 bands of 5: a pair at 0.8 shares a band with probability 0.99995, one at 0.3 with 0.06.
-    bands: int = 25
-    rows: int = 5
+    #: A shingle's weight is below this, whatever its count, and at least 1.
+    heaviest: float = 1.1
+    #: 31 bands of 4: a pair at plain 0.8 has probability Jaccard 0.727 at least and shares a band with
+    #: probability 0.99996 at least; one of probability Jaccard 0.3 with 0.22.
+    bands: int = 31
+    rows: int = 4
     threshold: float = 0.8
     seed: int = 20240117
     #: Texts of a chunk, and their characters, on average.
@@ -135,7 +139,8 @@ def prob_minhash(doc, item, weight, texts: int, size: int, seed: int) -> np.ndar
 def band_keys(texts: list[str], settings: Settings) -> list[np.ndarray]:
     """For each text its band keys; none for a text without words."""
     doc, item, count = shingles(texts, settings.width)
-    signature = prob_minhash(doc, item, 1 + np.log(count), len(texts), settings.bands * settings.rows, settings.seed)
+    weight = settings.heaviest - (settings.heaviest - 1) / count
+    signature = prob_minhash(doc, item, weight, len(texts), settings.bands * settings.rows, settings.seed)
     parts = signature.reshape(len(texts), settings.bands, settings.rows)
     keys = np.broadcast_to(mix(np.arange(1, settings.bands + 1, dtype=np.uint64) * STEP), parts.shape[:2])
     for k in range(settings.rows):
