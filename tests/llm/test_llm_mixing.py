@@ -119,6 +119,22 @@ def test_overlapping_sources(spark):
     assert abs(got["all"] - sum(wanted.values())) <= 0.02 * sum(wanted.values())
 
 
+def test_a_very_long_document_among_short_ones(spark):
+    rng = random.Random(4)
+    rows, n = [], 0
+    for k in range(24):
+        for size in [20_000, *[rng.randrange(150, 351) for _ in range(300)]]:
+            rows.append((n, "w " * size, f"s{k:02}"))
+            n += 1
+    done, sizes, wanted = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8))
+    taken = Counter()
+    for r in done.collect():
+        taken[r["pattern"][0]] += r["size"] * r["uses"]
+        assert r["uses"] <= 3
+    off = {s: abs(taken[s] - wanted[s]) / wanted[s] for s in wanted}
+    assert max(off.values()) < 0.005, off
+
+
 def test_odd_inputs_and_the_stage(spark):
     rows = [(1, None, "a", 1), (2, "", None, 2), (3, "x y z", None, 3), (3, "x y z", None, 4), (None, "n n", "a", 5), (4, "w " * 20_000, "b", 6), (5, " \t ", "c", 7)]
     rows += [(100 + i, "hot words here " * (i % 9), "hot", 0) for i in range(300)] + [(9, "again and again", "hot", 0)] * 200

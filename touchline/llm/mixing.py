@@ -6,9 +6,12 @@ and each further use costs more than the one before, so that repetition is sprea
 are few (a stated bound, checked), so the network is solved on the driver.
 
 The documents of a pattern stand in a seeded order, laid end to end, once for every use. A use of a
-document is taken if its middle lies below the words that the flow takes from the pattern, and belongs to
-the source whose share of those words covers its middle. Then single documents are added or left out where
-that brings a pattern's words nearer to its flow.
+document is taken if it ends within the words that the flow takes from the pattern, and belongs to
+the source whose share of those words covers its middle. What is then missing is filled pass by pass from the
+documents not yet taken that are no larger than the gap: the first of those larger than half of it, else
+the others in their order as far as they fit. Every pass halves the gap at least or leaves no document that
+fits, so passes are as many as the gap has binary digits. Last, a few single documents are added or left out where that
+brings a pattern's words nearer to its flow.
 
 Documents that repeat are counted before they are ordered. Positions are sums within 4,096 hash ranges of
 a pattern, so a source with a third of all rows is spread over that many groups.
@@ -188,10 +191,11 @@ def mixed(docs: DataFrame, members: Column | None = None, settings: Settings = S
     placed = placed.withColumn("middle", middle).join(F.broadcast(plan.join(total, "pattern")), "pattern")
     full = F.when(F.col("supply") > 0, F.expr("flow div supply")).otherwise(F.lit(0))
     rest = F.col("flow") - full * F.col("supply")
+    ends = F.col("middle") + F.col("size") / 2
     placed = placed.select(
-        "doc_id", "rid", "copy", "pattern", "size", "u", full.cast("int").alias("full"), rest.alias("rest"), ((F.col("size") > 0) & (F.col("middle") < rest)).alias("more"), "middle", "supply", "sources", "amounts"
+        "doc_id", "rid", "copy", "pattern", "part", "size", "u", full.cast("int").alias("full"), rest.alias("rest"), ((F.col("size") > 0) & (ends <= rest)).alias("more"), "middle", "supply", "sources", "amounts"
     )
-    placed = stored(placed, "mix-placed")
+    placed = stored(_filled(stored(placed, "mix-placed")), "mix-filled")
     flips: dict[tuple, bool] = {}
     for _ in range(settings.corrections):
         flagged = _flipped(placed, flips)
@@ -213,11 +217,80 @@ def mixed(docs: DataFrame, members: Column | None = None, settings: Settings = S
     done = _flipped(placed, flips).withColumn("uses", F.when(F.col("size") > 0, F.col("full") + F.col("more").cast("int")).otherwise(0))
     # The first use's middle falls into the share of one of the pattern's sources.
     ends = F.transform("amounts", lambda _, i: F.aggregate(F.slice("amounts", 1, i + 1), F.lit(0).cast("long"), lambda a, x: a + x))
-    first = F.element_at(F.filter(F.zip_with("sources", ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), lambda x: x["e"] > F.col("middle")), 1)
+    # What fills a gap stands behind all shares and belongs to the last source.
+    first = F.get(F.filter(F.zip_with("sources", ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), lambda x: x["e"] > F.col("middle")), F.lit(0))
     first = F.when(F.col("uses") > 0, F.coalesce(first["s"], F.element_at("sources", -1)))
     return done.select("doc_id", "rid", "copy", "pattern", "size", "uses", first.alias("first")), sizes, wanted
 
 
+#: Where a copy stands in its pattern's order.
+PLACE = ["part", "u", "rid", "copy"]
+RULES = "pattern array<string>, rules array<struct<above: long, most: long, last: struct<part: int, u: bigint, rid: bigint, copy: int>>>"
+
+
+def _filled(placed: DataFrame) -> DataFrame:
+    """`placed` with more documents taken, until in no pattern one of the others fits into the gap.
+
+    A pass leaves a rule for each pattern: documents above one size, up to another, and not behind a place.
+    The driver keeps a gap and the rules of the passes for each pattern.
+    """
+    spark = placed.sparkSession
+    gaps = placed.groupBy("pattern").agg((F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("gap"))
+    gap = {tuple(r["pattern"]): r["gap"] for r in gaps.filter("gap > 0").collect()}
+    rules: dict[tuple, list] = {}
+    place = F.struct(*PLACE)
+    in_order = Window.partitionBy("pattern", "part").orderBy("u", "rid", "copy").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    while gap:
+        now = spark.createDataFrame([(list(p), g) for p, g in gap.items()], "pattern array<string>, gap long")
+        fits = _ruled(placed, {p: rules[p] for p in gap if p in rules}).filter("size > 0 and not more")
+        fits = fits.join(F.broadcast(now), "pattern").filter("size <= gap")
+        large = F.col("size") * 2 > F.col("gap")
+        sums = fits.groupBy("pattern", "part", "gap").agg(
+            F.sum(F.when(~large, F.col("size")).otherwise(0)).alias("sum"), F.min(F.when(large, F.struct(*PLACE, "size"))).alias("one"), F.max(place).alias("last")
+        )
+        sums = sums.withColumn("base", F.coalesce(F.sum("sum").over(before), F.lit(0)))
+        # The part of the order in which the gap is reached, if there is one.
+        cut = F.struct("part", "base")
+        found = sums.groupBy("pattern").agg(
+            F.min("one").alias("one"), F.sum("sum").alias("all"), F.max("last").alias("last"), F.min(F.when(F.col("base") + F.col("sum") > F.col("gap"), cut)).alias("cut")
+        )
+        todo, cuts = {}, []
+        for r in found.collect():
+            p = tuple(r["pattern"])
+            if r["one"] is not None:
+                todo[p] = (gap[p] // 2, gap[p], tuple(r["one"])[:4], r["one"]["size"])
+            elif r["cut"] is None:
+                todo[p] = (0, gap[p], tuple(r["last"]), r["all"])
+            else:
+                cuts.append((list(p), r["cut"]["part"], r["cut"]["base"]))
+                # If not even the part's first document fits.
+                todo[p] = (0, gap[p], (r["cut"]["part"], -(2**63), -(2**63), 0), r["cut"]["base"])
+        if cuts:
+            at = spark.createDataFrame(cuts, "pattern array<string>, part int, base long")
+            inside = fits.join(F.broadcast(at), ["pattern", "part"]).withColumn("sum", F.col("base") + F.sum("size").over(in_order))
+            for r in inside.filter("sum <= gap").groupBy("pattern").agg(F.max("sum").alias("sum"), F.max(place).alias("last")).collect():
+                p = tuple(r["pattern"])
+                todo[p] = (0, gap[p], tuple(r["last"]), r["sum"])
+        for p, (above, most, last, size) in todo.items():
+            rules.setdefault(p, []).append((above, most, last))
+            gap[p] -= size
+        # A pattern without a document that fits is done.
+        gap = {p: gap[p] for p in todo if gap[p] > 0}
+    return _ruled(placed, rules)
+
+
+def _ruled(placed: DataFrame, rules: dict[tuple, list]) -> DataFrame:
+    """`placed` with what the rules take, of which each pattern has a few."""
+    if not rules:
+        return placed
+    table = placed.sparkSession.createDataFrame([(list(p), r) for p, r in rules.items()], RULES)
+    place = F.struct(*PLACE)
+    taken = F.exists("rules", lambda r: (F.col("size") > r["above"]) & (F.col("size") <= r["most"]) & (place <= r["last"]))
+    found = placed.join(F.broadcast(table), "pattern", "left")
+    return found.withColumn("more", F.col("more") | ((F.col("size") > 0) & F.coalesce(taken, F.lit(False)))).drop("rules")
+
+
 def _flipped(placed: DataFrame, flips: dict[tuple, bool]) -> DataFrame:
     """`placed` with the corrections, of which there are a few for each pattern."""
     if not flips:
