@@ -100,3 +100,32 @@ def test_bands_find_alike_texts(spark):
     prints = dict(zip((i for i, _ in rows), fp.fingerprints([t for _, t in rows], SETTINGS), strict=True))
     assert found == {i: i % 10 if i < 10 or fp.likeness(prints[i], prints[i % 10]) >= 0.7 else i for i, _ in rows}
     assert sum(found[10 + i] == i for i in range(6)) >= 5
+
+
+def test_classes_of_short_texts_and_a_hot_band_match_brute_force(spark):
+    rng = np.random.default_rng(21)
+
+    def word(n):
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+
+    texts = []
+    for n in range(10, 41):
+        base = word(n)
+        texts += [base, base[:-1] + "#", base + "!"]
+    # One opening for all, so that they share bands; pairs are alike, the rest is not.
+    for _ in range(40):
+        base = "a common opening of many texts " + word(60)
+        texts += [base, base[:-2] + "##"]
+    texts = list(dict.fromkeys(texts))
+    settings = fp.Settings()
+    prints = fp.fingerprints(texts, settings)
+    like = np.array([[fp.likeness(a, b, settings) for b in prints] for a in prints])
+    assert np.allclose(fp.likenesses(prints, settings), like)
+    root = list(range(len(texts)))
+    for _ in texts:
+        root = [min(root[j] for j in np.flatnonzero(like[i] >= settings.likeness)) for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for chunk in (512, 8):
+        got = {r["doc_id"]: r["class_id"] for r in fp.classes(docs, fp.Settings(chunk=chunk)).collect()}
+        assert [got[i] for i in range(len(texts))] == root
+    assert len(set(root)) < len(texts) - 60

@@ -11,7 +11,9 @@ below, and a text is sampled at the level that leaves it 192 to 384 steps. Finge
 different levels are compared on the steps of the higher one. Likeness is the share of equal samples.
 
 For search, bands of sampled steps are hashed; texts that agree in a whole band are candidates, verified
-by their likeness.
+by their likeness. The steps of the bands are drawn from as many samples as a rung of a ladder says; a text
+has the bands of the two highest rungs that it reaches, so alike texts share a rung, however short they are.
+The texts of a band are dealt into chunks, and every chunk is compared with itself and every other one.
 
 The walks of many texts go on in step, as numpy arrays; a text that has ended leaves them.
 
@@ -35,6 +37,7 @@ from pyspark.sql.window import Window
 
 from touchline.llm.common import body, memo, mix, portions, text_key
 from touchline.llm.components import components
+from touchline.llm.near_dedup import forest
 from touchline.session import stored
 
 BLOCK = 256
@@ -48,9 +51,12 @@ class Settings:
     seed: int = 77
     rows_per_task: int = 6000
     chars_at_once: int = 12_000_000
-    bands: int = 24
-    band_steps: int = 8
+    #: 80 bands of 6: of a rung whose samples are equal for 0.7, a pair shares a band with probability 0.99995.
+    bands: int = 80
+    band_steps: int = 6
     likeness: float = 0.7
+    #: Texts of a chunk, on average.
+    chunk: int = 512
 
 
 def _noise(at: np.ndarray, seed: int) -> np.ndarray:
@@ -253,19 +259,36 @@ def _printed(batches, settings: Settings):
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.string())], ["node", "fingerprint"])
 
 
+@memo(1024)
+def drawn_steps(level: int, rung: int, settings: Settings) -> np.ndarray:
+    """The samples of each band, below `rung`."""
+    return np.random.default_rng((settings.seed, level, rung)).integers(0, rung, (settings.bands, settings.band_steps))
+
+
+def rungs(samples: int, settings: Settings) -> list[int]:
+    """The two highest rungs up to `samples`; a rung is at most `likeness` times the next one.
+
+    Of two texts whose numbers of samples are within `likeness`, the shorter one's highest is among the longer one's.
+    """
+    found, rung = [], 1
+    while rung <= samples:
+        found = [*found[-1:], rung]
+        rung = max(rung + 1, int(np.ceil(rung / settings.likeness)))
+    return found
+
+
 def band_keys(fingerprint: str, settings: Settings) -> list[int]:
     """Hashes of shared samples of steps, at the fingerprint's level and the next."""
-    keys = []
+    keys: list[int] = []
     level = int(fingerprint.partition(":")[0])
     for lv in (level, level + 1):
-        digits = np.frombuffer(at_level(fingerprint, lv, settings), np.uint8)
-        drawn = np.random.default_rng((settings.seed, lv)).integers(0, settings.base, (settings.bands, settings.band_steps))
-        for k, at in enumerate(drawn):
-            if at.max() < len(digits):
-                value = np.uint64(lv * settings.bands + k + 1)
-                for d in digits[at]:
-                    value = mix(value * np.uint64(31) + np.uint64(d))
-                keys.append(int(value.astype(np.int64)))
+        digits = np.frombuffer(at_level(fingerprint, lv, settings), np.uint8).astype(np.uint64)
+        for rung in rungs(len(digits), settings):
+            shown = digits[drawn_steps(lv, rung, settings)]
+            value = mix(np.uint64((lv << 32) + rung) * np.uint64(65536) + np.arange(1, settings.bands + 1, dtype=np.uint64))
+            for k in range(settings.band_steps):
+                value = mix(value * np.uint64(31) + shown[:, k])
+            keys += value.view(np.int64).tolist()
     return keys
 
 
@@ -276,27 +299,49 @@ def _banded(batches, settings: Settings):
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], ["node", "bands"])
 
 
-def _likened(batches, settings: Settings):
-    for batch in batches:
-        left, right = batch.column("left_print").to_pylist(), batch.column("right_print").to_pylist()
-        found = pa.array([likeness(x, y, settings) for x, y in zip(left, right, strict=True)], pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], ["a", "b", "likeness"])
+def likenesses(prints: list[str], settings: Settings) -> np.ndarray:
+    """Likeness of all pairs of different fingerprints, as `likeness` has it."""
+    levels = np.array([int(f.partition(":")[0]) for f in prints])
+    found = np.ones((len(prints), len(prints)))
+    for level in np.unique(levels):
+        below = np.flatnonzero(levels <= level)
+        digits = [np.frombuffer(at_level(prints[i], int(level), settings), np.uint8) for i in below]
+        lengths = np.array([len(d) for d in digits])
+        table = np.zeros((len(below), max(1, lengths.max())), np.uint8)
+        for row, d in zip(table, digits, strict=True):
+            row[: len(d)] = d
+        for k in np.flatnonzero(levels[below] == level):
+            equal = (table[:, : lengths[k]] == digits[k]).sum(axis=1) / np.maximum(np.maximum(lengths, lengths[k]), 1)
+            found[below[k], below] = found[below, below[k]] = equal
+    same = np.array(prints, object)
+    found[same[:, None] == same[None, :]] = 1.0
+    return found
 
 
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id and class_id: texts whose fingerprints are alike, directly or through others.
 
-    Candidates of a band are compared with the band's least text, a star; classes are those of the links.
+    All texts of a band are compared, a block of two chunks at a time; a block returns a forest of its links.
     """
     texts = docs.select(text_key().alias("node"), body().alias("text")).groupBy("node").agg(F.first("text").alias("text"))
     prints = stored(texts.mapInArrow(partial(_printed, settings=settings), "node long, fingerprint string"), "prints")
     entries = prints.mapInArrow(partial(_banded, settings=settings), "node long, bands array<long>").select("node", F.explode("bands").alias("key"))
-    centre = entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").select("key", "a")
-    pairs = entries.join(centre, "key").filter("node != a").select("a", F.col("node").alias("b")).distinct()
-    pairs = pairs.join(prints.select(F.col("node").alias("a"), F.col("fingerprint").alias("left_print")), "a")
-    pairs = pairs.join(prints.select(F.col("node").alias("b"), F.col("fingerprint").alias("right_print")), "b")
-    found = stored(pairs.mapInArrow(partial(_likened, settings=settings), "a long, b long, likeness double"), "print-pairs")
-    roots = components(found.filter(F.col("likeness") >= settings.likeness).select("a", "b"))
+    entries = stored(entries.distinct(), "print-bands")
+    groups = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("mark"))
+    # Bands that hold the same texts are compared once.
+    groups = groups.filter("lo < hi").groupBy("n", "lo", "hi", "mark").agg(F.min("key").alias("key"))
+    members = entries.join(groups.select("key", F.ceil(F.col("n") / settings.chunk).cast("int").alias("chunks")), "key")
+    members = members.withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    members = members.filter("own != other or chunks = 1").select("node", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def forest_of(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        nodes = table.column("node").to_numpy()
+        least = forest(likenesses(table.column("fingerprint").to_pylist(), settings) >= settings.likeness)
+        at = np.flatnonzero(least != np.arange(len(nodes)))
+        return pa.table({"a": pa.array(nodes[at], pa.int64()), "b": pa.array(nodes[least[at]], pa.int64())})
+
+    roots = components(members.join(prints, "node").groupBy("key", "i", "j").applyInArrow(forest_of, "a long, b long"))
     rows = docs.select("doc_id", text_key().alias("node")).join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     least = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return rows.join(least, "root").select("doc_id", "class_id")
