@@ -56,3 +56,17 @@ def test_nulls_repeats_and_empty_tables(spark):
     found = sorted(html_text.extracted(spark.createDataFrame(rows, schema)).collect(), key=str)
     assert len(found) == 5 and {r["n_chars"] for r in found} == {0, 1, 20_000 * 10 - 1}
     assert html_text.extracted(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_silent_elements_end_where_they_are_closed_or_with_their_container():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts("<p>a</p><svg class='icon'/><p>b</p><math/><p>c</p>") == ["a", "b", "c"]
+    assert texts("<svg><title/><path d='x'/><text>no</text></svg><p>b</p>") == ["b"]
+    for name in ("noscript", "object", "audio", "video", "canvas", "template", "svg"):
+        assert texts(f"<div><p>a</p><{name}>no<p>no</p></div><p>b</p></{name}><p>c</p>") == ["a", "b", "c"]
+        assert texts(f"<div><p>a</p><{name}><div>no<a>no</div></{name}><p>b</p></div>") == ["a", "b"]
+    assert texts("<p>a</p><script>if (x < 1) '</div>'</script><p>b</p><style>no") == ["a", "b"]
+    found = html_text.blocks("<div><h2>t<svg/></h2><video>no<h1>no</div>after</div>")
+    assert [(b.text, b.heading) for b in found] == [("t", True), ("after", False)]

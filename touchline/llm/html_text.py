@@ -29,6 +29,10 @@ BLOCK_TAGS = frozenset(
 )
 CONTAINERS = frozenset("article aside body details dialog div dl fieldset figure footer form head header html main menu nav ol section select table ul button label".split())
 SILENT = frozenset("script style noscript template textarea svg iframe object math canvas audio video title".split())
+#: Silent elements whose content is not markup.
+RAW = frozenset("script style textarea title iframe".split())
+#: Elements that '/>' closes, as it does whatever is within them.
+FOREIGN = frozenset("svg math".split())
 BOILERPLATE_TAGS = frozenset("aside dialog footer form head header menu nav fieldset select button label".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILERPLATE_NAMES = frozenset(
@@ -83,6 +87,7 @@ def blocks(page: str) -> list[Block]:
     pieces: list[tuple[str, bool]] = []
     heading = False
     links = 0
+    hidden = False
 
     def close() -> None:
         nonlocal pieces
@@ -96,7 +101,7 @@ def blocks(page: str) -> list[Block]:
     while at < end:
         m = MARKUP.search(page, at)
         stop = m.start() if m else end
-        if stop > at:
+        if stop > at and not hidden:
             text = page[at:stop]
             pieces.append((html.unescape(text) if "&" in text else text, links > 0))
         if not m:
@@ -107,12 +112,31 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         closing = bool(m["end"] or m["end2"])
+        empty = (m["rest"] or "").endswith("/")
+        if name in SILENT and not closing and empty and (name in FOREIGN or any(n in FOREIGN for n, _ in stack)):
+            continue
+        if name in SILENT and name not in RAW or hidden and name in CONTAINERS:
+            # A silent container and what is in it, up to its end or that of a container around it.
+            if not closing and not (empty and name in CONTAINERS):
+                if not hidden:
+                    close()
+                stack.append((name, 0))
+                hidden = True
+            elif closing and any(name == n for n, _ in stack):
+                while stack.pop()[0] != name:
+                    pass
+                if hidden and not (hidden := any(n in SILENT for n, _ in stack)) and name in CONTAINERS:
+                    links, heading = 0, False
+            continue
+        if hidden and not (name in RAW and not closing):
+            continue
         if name == "a":
             links = max(0, links - 1) if closing else 1
             continue
         if name in SILENT and not closing:
             over = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            close()
+            if not hidden:
+                close()
             at = over.end() if over else end
             continue
         if name in BLOCK_TAGS or name in CONTAINERS:
