@@ -1,10 +1,11 @@
 """Column layouts of the inputs, as Spark DDL. Readers never infer a schema."""
 
-# `recognized` may be written as a boolean or as 1 and 0.
 DOODLE = (
-    "word string, countrycode string, recognized variant, key_id string, "
+    "word string, countrycode string, recognized boolean, key_id string, "
     "timestamp string, drawing array<array<array<double>>>"
 )
+# As files have it: `recognized` may be written as a boolean or as 1 and 0.
+DOODLE_FILE = DOODLE.replace("recognized boolean", "recognized variant")
 SHAPE = "key_id string, word string"
 SHAPE_WITH_COUNTRY = "key_id string, word string, countrycode string"
 STROKE_STATS = "key_id string, word string, recognized string, Total_Strokes string"

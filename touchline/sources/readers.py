@@ -16,7 +16,7 @@ def read_doodles(spark: SparkSession, path: str) -> DataFrame:
     flag = F.when(kind == "BOOLEAN", F.try_variant_get("recognized", "$", "boolean")).when(
         ~kind.isin("STRING", "BOOLEAN") & number.isin(0.0, 1.0), number == 1.0
     )
-    return spark.read.schema(schemas.DOODLE).json(path).withColumn("recognized", flag)
+    return spark.read.schema(schemas.DOODLE_FILE).json(path).withColumn("recognized", flag)
 
 
 def read_edges(spark: SparkSession, path: str, header_lines: int = 0) -> DataFrame:
