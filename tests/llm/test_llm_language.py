@@ -46,6 +46,17 @@ def test_odd_inputs_and_the_stage(spark):
     assert {r["lang_pred"] for r in language.identified(docs.drop("lang_pred"), None).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters():
+    assert not any(map(language.has_letter, ["½ ² Ⅷ ①", "12_3", "", None, "…"]))
+    assert all(map(language.has_letter, ["½a", "ª", "это", "x"]))
+
+
+def test_many_labels_can_be_learned(spark):
+    docs = spark.createDataFrame([(i, chr(0x4E00 + i % 300) * 40, f"l{i % 300}") for i in range(1200)], "doc_id long, text string, lang string")
+    net = language.fitted(docs, language.F.lit(True), language.Settings(epochs=1, sample_total=600))
+    assert len(net.labels) == 300
+
+
 def test_windows_cover_the_whole_text():
     settings = language.Settings()
     for n in (1, 3, 4, 63, 64, 65, 200, 1000):

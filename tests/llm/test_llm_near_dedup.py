@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from touchline.llm import near_dedup
 from touchline.llm.components import components
@@ -153,3 +154,18 @@ def test_components(spark):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in range(1, 41)) and found[200] == found[150] == 100 and found[301] == 300 and len(found) == 43
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_words_do_not_depend_on_the_pieces():
+    texts = ["", "one two-three ὈΔΥΣΣΕΎΣ, four " * 50, "x" * 400, "  . ", "five_six seven " * 9, "end"]
+    whole, counts = near_dedup.word_hashes(texts, 1 << 30)
+    for chars in (1, 7, 64, 501):
+        found, of = near_dedup.word_hashes(texts, chars)
+        assert np.array_equal(found, whole) and np.array_equal(of, counts)
+    assert counts.tolist() == [0, 250, 1, 0, 27, 1]
+
+
+def test_a_signature_that_cannot_be_filled_is_refused():
+    one = np.zeros(2, np.int64)
+    with pytest.raises(ValueError):
+        near_dedup.prob_minhash(one, np.arange(2, dtype=np.uint64), np.ones(2), 1, 1 << 21, 1)

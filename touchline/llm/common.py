@@ -44,6 +44,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def bounded_batches(spark) -> None:
+    """Batches sent to Python hold few rows and few bytes, so that long texts do not fill a task's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """`df` marked for broadcast if its counted `rows` are within `limit`; else as it is, for a shuffled join."""
     return F.broadcast(df) if rows <= limit else df

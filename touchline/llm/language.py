@@ -5,8 +5,9 @@ embedded; filters of several widths slide over a window, each keeps its greatest
 layer turns the answers into log probabilities. A text's log probabilities are the means over all its
 windows. The network is trained in numpy, on windows of a bounded sample of labelled rows.
 
-Bounds of the sample: `sample_docs` documents for each of the `languages` most frequent labels, taken
-by a hash of the row, and `sample_windows` windows of each document.
+Bounds of the sample: `sample_total` documents in all, dealt evenly over the labels, `sample_docs` for one
+label at most, taken by a hash of the row, and `sample_windows` windows of each. So up to `sample_total`
+labels can be learned; if there are more, the most frequent ones are.
 
 Defined results: a text that is null or has no letter gets `und` with score 0, and so does every text
 if no row is labelled; rows that repeat get equal answers; no rows in, no rows out.
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from touchline.llm.common import body, free_name, portions, remainder, row_key
+from touchline.llm.common import body, bounded_batches, free_name, portions, remainder, row_key
 
-LETTER = re.compile(r"[^\W\d_]")
+WORDLIKE = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 PAD = 256
 
@@ -38,7 +39,7 @@ class Settings:
     embedding: int = 8
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 8
-    languages: int = 256
+    sample_total: int = 40_000
     sample_docs: int = 400
     sample_windows: int = 8
     epochs: int = 8
@@ -92,6 +93,11 @@ def cut(data: bytes, settings: Settings) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(flat, settings.window)[:: settings.stride]
 
 
+def has_letter(text: str | None) -> bool:
+    """Numerals such as ½ or Ⅷ match as letters do in a pattern, but are none."""
+    return any(any(map(str.isalpha, run.group())) for run in WORDLIKE.finditer(text or ""))
+
+
 def _mask(settings: Settings) -> np.ndarray:
     """1 where a filter of a narrower width has weights within the widest one's span."""
     parts = []
@@ -160,7 +166,7 @@ def _sampled_windows(batches, settings: Settings):
         labels, cuts = [], []
         for label, key, text in zip(*(batch.column(c).to_pylist() for c in ("label", "key", "text")), strict=True):
             data = (text or "").encode("utf-8", "replace")
-            if not LETTER.search(text or ""):
+            if not has_letter(text):
                 continue
             windows = cut(data, settings)
             rng = np.random.default_rng(key & 0x7FFFFFFF)
@@ -173,15 +179,16 @@ def _sampled_windows(batches, settings: Settings):
 def fitted(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> Network | None:
     """A network trained on rows where `learn` holds and lang is not null; None if there are none."""
     rows = docs.filter(learn & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("label"), row_key().alias("key"), "text")
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(settings.languages).collect()
+    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(settings.sample_total).collect()
     if not counts:
         return None
-    shares = docs.sparkSession.createDataFrame([(r["label"], min(1.0, 2.0 * settings.sample_docs / r["count"])) for r in counts], "label string, share double")
+    each = min(settings.sample_docs, settings.sample_total // len(counts))
+    shares = docs.sparkSession.createDataFrame([(r["label"], min(1.0, 2.0 * each / r["count"])) for r in counts], "label string, share double")
     # About twice the wanted rows by a hash of the row, then exactly the wanted number of them.
     drawn = (F.pmod(F.xxhash64("key", F.lit(settings.seed)), F.lit(1 << 30)) / float(1 << 30)).alias("u")
     sample = rows.join(F.broadcast(shares), "label").select("label", "key", "text", drawn, "share").filter("u < share")
     sample = sample.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("u", "key")))
-    sample = sample.filter(F.col("place") <= settings.sample_docs).select("label", "key", "text")
+    sample = sample.filter(F.col("place") <= each).select("label", "key", "text")
     pairs = sample.mapInArrow(partial(_sampled_windows, settings=settings), "label string, cut binary").collect()
     if not pairs:
         return None
@@ -197,7 +204,7 @@ def answers(texts: list[str | None], net: Network | None) -> tuple[list[str], li
     if net is None:
         return labels, scores
     for a, b in portions([t or "" for t in texts], 1_000_000):
-        at = [i for i in range(a, b) if texts[i] and LETTER.search(texts[i])]
+        at = [i for i in range(a, b) if has_letter(texts[i])]
         if not at:
             continue
         windows = [cut(texts[i].encode("utf-8", "replace"), net.settings) for i in at]
@@ -222,6 +229,7 @@ def _answered(batches, net: Network | None, text: str, label: str, score: str):
 
 def identified(docs: DataFrame, net: Network | None, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
     """`docs` with the predicted label and its probability behind its own columns."""
+    bounded_batches(docs.sparkSession)
     schema = StructType([*docs.schema.fields]).add(label, "string").add(score, "double")
     return docs.mapInArrow(partial(_answered, net=net, text=text, label=label, score=score), schema)
 

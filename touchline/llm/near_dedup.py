@@ -21,6 +21,8 @@ its ids are null. No rows in, no rows out.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -30,12 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import body, free_name, memo, mix, portions, row_key, text_key
+from touchline.llm.common import body, bounded_batches, free_name, memo, mix, portions, row_key, text_key
 from touchline.llm.components import components
 from touchline.session import stored
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0x2545F4914F6CDD1D)
+BETWEEN_WORDS = re.compile(r"[\W_]")
+#: Bits of a random number that choose the component; a signature may have a sixteenth as many.
+PLACE_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -51,7 +56,7 @@ class Settings:
     seed: int = 20240117
     #: Texts of a chunk, and their characters, on average.
     chunk: int = 512
-    chunk_chars: int = 8_000_000
+    chunk_chars: int = 4_000_000
 
 
 @memo(1)
@@ -71,25 +76,45 @@ def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def pieces(texts: list[str], chars: int) -> Iterator[tuple[list[str], list[int]]]:
+    """The texts in lower case, in lists of about `chars` characters, and the index of each; longer ones are cut between words."""
+    held, of, size = [], [], 0
+    for i, text in enumerate(texts):
+        lowered, start = text.lower(), 0
+        while start < len(lowered):
+            edge = BETWEEN_WORDS.search(lowered, start + chars) if len(lowered) - start > chars else None
+            end = edge.end() if edge else len(lowered)
+            held.append(lowered[start:end])
+            of.append(i)
+            size += end - start
+            start = end
+            if size >= chars:
+                yield held, of
+                held, of, size = [], [], 0
+    if held:
+        yield held, of
+
+
+def word_hashes(texts: list[str], chars: int = 250_000) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word of the texts, one text after the other, and the number of words of each text.
 
-    A word's hash is a polynomial of its characters, taken from running sums over all characters.
+    A word's hash is a polynomial of its characters, taken from running sums over the characters of a
+    piece, so that memory is bounded by a piece and the hashes.
     """
-    lowered = [t.lower() for t in texts]
-    points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
     is_word, random = characters()
-    inside = is_word[points]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edge[::2], edge[1::2]
-    size = 1 << max(12, int(len(points)).bit_length())
-    up, down = powers(size)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(random[points] * up[: len(points)], out=sums[1:])
-    found = mix((sums[ends] - sums[starts]) * down[starts])
-    borders = np.cumsum([len(t) + 1 for t in lowered])
-    counts = np.bincount(np.searchsorted(borders, starts, side="right"), minlength=len(texts))
-    return found, counts
+    hashes, counts = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
+    for lowered, of in pieces(texts, chars):
+        points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = is_word[points]
+        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, ends = edge[::2], edge[1::2]
+        up, down = powers(1 << max(12, len(points).bit_length()))
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(random[points] * up[: len(points)], out=sums[1:])
+        hashes.append(mix((sums[ends] - sums[starts]) * down[starts]))
+        borders = np.cumsum([len(t) + 1 for t in lowered])
+        np.add.at(counts, np.array(of)[np.searchsorted(borders, starts, side="right")], 1)
+    return np.concatenate(hashes), counts
 
 
 def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,6 +142,9 @@ def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def prob_minhash(doc, item, weight, texts: int, size: int, seed: int) -> np.ndarray:
     """Signatures, one row of `size` shingles for each text; zeros for a text without shingles."""
+    if size > 1 << PLACE_BITS - 4:
+        raise ValueError(f"a signature has {1 << PLACE_BITS - 4} components at most")
+    place = np.uint64((1 << PLACE_BITS) - 1)
     earliest = np.full(texts * size, np.inf)
     signature = np.zeros(texts * size, np.uint64)
     alone = np.bincount(doc, minlength=texts)[doc] == 1
@@ -126,8 +154,9 @@ def prob_minhash(doc, item, weight, texts: int, size: int, seed: int) -> np.ndar
     while len(item):
         state = state + STEP
         random = mix(state)
-        time = time - np.log(((random >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weight
-        at = doc * size + ((random & np.uint64(2047)) * np.uint64(size) >> np.uint64(11)).astype(np.int64)
+        uniform = ((random >> np.uint64(PLACE_BITS)).astype(np.float64) + 0.5) * 2.0 ** (PLACE_BITS - 64)
+        time = time - np.log(uniform) / weight
+        at = doc * size + ((random & place) * np.uint64(size) >> np.uint64(PLACE_BITS)).astype(np.int64)
         np.minimum.at(earliest, at, time)
         won = earliest[at] == time
         signature[at[won]] = item[won]
@@ -153,7 +182,7 @@ def _signed(batches, settings: Settings):
     for batch in batches:
         texts = batch.column("text").to_pylist()
         rows = []
-        for a, b in portions(texts, 1_500_000):
+        for a, b in portions(texts, 400_000):
             rows += band_keys(texts[a:b], settings)
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         values = np.concatenate([*rows, np.zeros(0, np.int64)])
@@ -210,6 +239,7 @@ def _linked(table: pa.Table, settings: Settings) -> pa.Table:
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, node (stands for the text), rid (for the row), chars and bands of every row."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("node"), row_key().alias("rid"), F.length(body()).cast("long").alias("chars"), body().alias("text"))
     return rows.mapInArrow(partial(_signed, settings=settings), "doc_id long, node long, rid long, chars long, bands array<long>")
 
