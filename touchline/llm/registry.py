@@ -11,8 +11,13 @@ from touchline.llm.language import language
 from touchline.llm.license_scan import license_scan
 from touchline.llm.mixing import mixing
 from touchline.llm.near_dedup import near_dedup
+from touchline.llm.search import SQL as SEARCH_SQL
+from touchline.llm.search import ranked_search
 from touchline.llm.sharding import sharding
+from touchline.llm.spelling import spelling
 from touchline.llm.toxicity import toxicity
+from touchline.llm.warc import SQL as WARC_SQL
+from touchline.llm.warc import warc
 
 QUERIES = {
     "op1_sharding": sharding,
@@ -25,7 +30,10 @@ QUERIES = {
     "op8_mixing": mixing,
     "op9_chat": chat,
     "op10_language": language,
+    "op11_warc": warc,
+    "op12_spelling": spelling,
+    "op13_search": ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_warc": WARC_SQL, "op13_search": SEARCH_SQL}
