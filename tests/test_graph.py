@@ -107,3 +107,25 @@ def test_rounds_do_not_move_the_lists(spark):
         assert not any("Exchange" in p for p in parents)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_ranks_by_changes_come_to_rest_and_move_ever_fewer_rows(spark):
+    rows = [(f"n{i}", f"n{(i * 7 + 3) % 60}") for i in range(60)] + [(f"n{i}", f"n{i + 1}") for i in range(0, 59, 2)] + [("n0", "n5")] * 3
+    rows += [(f"leaf{i}", f"n{i}") for i in range(50)] + [("n1", "lost")]
+    edges = spark.createDataFrame(rows, "src string, dst string")
+    moved = []
+    got = {r["node"]: r["rank"] for r in graph.rank_by_changes(edges, tol=1e-3, part_size=2, moved=moved).collect()}
+    out = {}
+    for s, _ in rows:
+        out[s] = out.get(s, 0) + 1
+    want = dict.fromkeys(out, 1.0)
+    for _ in range(300):
+        sums = dict.fromkeys(out, 0.0)
+        for s, d in rows:
+            if d in sums:
+                sums[d] += want[s] / out[s]
+        want = {n: 0.15 + 0.85 * x for n, x in sums.items()}
+    assert got == pytest.approx(want, abs=2e-2)
+    assert moved[0] == len(out) and moved[-1] == 0 and moved[len(moved) // 2] < moved[0]
+    # The leaves have nothing new to pass on after the second round.
+    assert moved[2] <= moved[0] - 50

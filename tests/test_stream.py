@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import league as L
 import pytest
 from test_folds import KNOWN, season
 
-from touchline.operators import folds, metrics
+from touchline.operators import folds, metrics, model
 from touchline.operators import matches as M
 from touchline.streaming import framing, ingest
+from touchline.streaming import state as S
 
 
 def lines_of(records, events, source="s"):
@@ -70,7 +72,7 @@ def test_parse_and_frame(spark):
         "not json",
         '{"source":"a","position":70000,"eventId":8,"playerId":4}',
     ]
-    framed = framing.frame(framing.parse_lines(as_frame(spark, lines)), radix=4, span=1 << 20)
+    framed = framing.frame(framing.parse_lines(as_frame(spark, lines)), limit=2)
     got = {(r["source"], r["position"]): r["match_id"] for r in framed.collect()}
     named = got[("b", 6)] if got[("b", 6)] is not None else got[("b", 10)]
     assert got[("a", 0)] is None and got[("a", 6)] == 7 and got[("a", 70000)] == 7
@@ -128,31 +130,163 @@ def test_empty_batch_is_skipped(spark, tmp_path):
     assert engine.matches_done() == 0 and not (tmp_path / "state").exists()
 
 
-def test_state_compacts(spark, tmp_path):
-    from touchline.streaming import state as S
+def folders(path):
+    """Folders of rows below a table, as at=name/part=number."""
+    return sorted(f"{at.name}/{part.name}" for at in path.glob("at=*") for part in at.glob("part=*"))
+
+
+def keyed(spark, path, parts=8):
+    return S.KeyedTable(S.Store(spark, str(path)), "t", "k bigint, v bigint", ("k",), parts, ("k",))
+
+
+def test_keyed_table_rewrites_touched_parts_only(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    want = {}
+    for version in range(30):
+        draft = table.store.begin(version)
+        rows = {version % 5: version} if version else {k: -1 for k in range(200)}
+        changed = spark.createDataFrame(list(rows.items()), "k bigint, v bigint")
+        parts = table.parts_of(changed)
+        table.write(draft, changed, str(version), parts)
+        table.store.commit(draft)
+        want |= rows
+        newest = table.store.newest()
+        assert [p for p, name in newest.tables["t"].items() if name == str(version)] == [str(p) for p in parts]
+        # The copies that the last two records list, and no others.
+        assert len(folders(tmp_path / "t")) <= 8 + 1
+    newest = table.store.newest()
+    assert {r["k"]: r["v"] for r in table.read(newest).collect()} == want
+    one = table.parts_of(spark.createDataFrame([(3,)], "k bigint"))
+    pruned = table.read(newest, one)
+    assert {f.split("/part=")[1].split("/")[0] for f in pruned.inputFiles()} == {str(one[0])}
+    assert {r["k"]: r["v"] for r in pruned.filter("k = 3").collect()} == {3: 28}
+    assert len(list((tmp_path / "_commits").glob("*.json"))) == 2
+
+
+def test_log_table_merges_folders(spark, tmp_path):
+    table = S.LogTable(S.Store(spark, str(tmp_path)), "t", "k bigint, version int", ("k",), 4)
+    for version in range(70):
+        draft = table.store.begin(version)
+        table.append(draft, spark.createDataFrame([(version % 9,)], "k bigint"), str(version), version)
+        table.store.commit(draft)
+        assert len(draft.tables["t"]) <= 3 * S.FAN
+        assert len(list((tmp_path / "t").glob("at=*"))) <= 3 * S.FAN + 2 * S.FAN
+    newest = table.store.newest()
+    assert [level for _, level, _ in newest.tables["t"]].count(2) == 1
+    rows = sorted((r["version"], r["k"]) for r in table.read(newest).collect())
+    assert rows == [(v, v % 9) for v in range(70)]
+    assert min(r["version"] for r in table.read(newest, since=64).collect()) >= 64 - 1
+    plan = table.read(newest, [2])._jdf.queryExecution().executedPlan().toString()
+    assert "(part#" in plan.split("PartitionFilters")[-1] or "(part#" in plan.split("rtitionFilters")[-1]
+
+
+def test_readers_see_whole_batches_only(spark, tmp_path, monkeypatch, batch):
+    records, events = season(games=6)
+    lines = lines_of(records, events)
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN))
+    half = len(lines) // 2
+    engine.process(as_frame(spark, lines[:half]), 0)
+    before, done, line = state(engine), engine.matches_done(), engine.current_model().first()
+    for broken in ("training", "done", "chemistry", "rated"):
+        real = S._Table._write
+
+        def failing(self, rows, name, broken=broken, real=real):
+            if self.name == broken:
+                raise RuntimeError("lost")
+            real(self, rows, name)
+
+        monkeypatch.setattr(S._Table, "_write", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            engine.process(as_frame(spark, lines[half:]), 1)
+        monkeypatch.setattr(S._Table, "_write", real)
+        agree(state(engine), before)
+        assert engine.matches_done() == done and engine.current_model().first() == line
+    engine.process(as_frame(spark, lines[half:]), 1)
+    engine.flush()
+    agree(state(engine), batch)
+
+
+def test_the_running_line_is_the_fitted_one(spark, tmp_path):
+    records, events = season(games=6)
+    lines = lines_of(records, events)
+    born = {p: dt.date(1985 + p, 1 + p % 12, p) for p in KNOWN}
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN, born=born))
+    quarter = len(lines) // 4 + 1
+    for i in range(4):
+        engine.process(as_frame(spark, lines[i * quarter : (i + 1) * quarter]), i)
+    engine.flush()
+    fitted = model.rating_line(engine.training.read(engine.store.newest())).first()
+    kept = engine.current_model().first()
+    assert kept["slope"] == pytest.approx(fitted["slope"], rel=1e-9)
+    assert kept["intercept"] == pytest.approx(fitted["intercept"], rel=1e-9)
+
+
+def test_a_match_touches_a_share_of_the_pairs(spark, tmp_path):
+    records, events = season(games=6)
+    lines = lines_of(records, events)
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False, parts=256)
+    engine.process(as_frame(spark, lines), 0)
+    before = engine.store.newest().tables["chemistry"]
+    engine.flush()
+    after = engine.store.newest().tables["chemistry"]
+    people = engine.history.read(engine.store.newest(), since=2).select("player_id").distinct()
+    touched = {p for p in after if after[p] != before.get(p)}
+    assert touched <= {str(p) for p in engine.chemistry.parts_of(people)}
+    assert len(touched) <= people.count() < 256 / 4
 
-    table = S.KeyedState(str(tmp_path / "t"), ("k",), "k bigint, v bigint")
-    for batch_id in range(20):
-        rows = spark.createDataFrame([(batch_id % 3, batch_id), (100 + batch_id, 1)], "k bigint, v bigint")
-        table.write(spark, rows, 2 * batch_id)
-    got = {r["k"]: r["v"] for r in table.read(spark, 40).collect()}
-    assert got == {0: 18, 1: 19, 2: 17} | {100 + i: 1 for i in range(20)}
-    earlier = {r["k"]: r["v"] for r in table.read(spark, 20).collect()}
-    assert earlier[0] == 9 and 110 not in earlier
-    assert [v for v, whole in S.folder_versions(spark, table.path) if whole] == [32]
 
+def in_sources(records, events, sources):
+    """Every match's lines in the source that `sources` names for it, positions rising over all."""
+    out, at = [], 0
+    for x in map(json.loads, lines_of(records, events)):
+        if "teamsData" in x:
+            source = sources[x["matchId"]]
+        out.append({**x, "source": source, "position": at})
+        at += 1
+    return out
 
-def test_old_folders_go(spark, tmp_path, monkeypatch):
-    from touchline.streaming import state as S
 
-    monkeypatch.setattr(S, "COMPACT_EVERY", 3)
-    table = S.KeyedState(str(tmp_path / "t"), ("k",), "k bigint, v bigint")
-    for version in range(0, 90, 3):
-        table.write(spark, spark.createDataFrame([(version % 4, version)], "k bigint, v bigint"), version)
-        assert len(S.folder_versions(spark, table.path)) <= 8
-    # The last version written again leaves the same state.
-    table.write(spark, spark.createDataFrame([(87 % 4, 87)], "k bigint, v bigint"), 87)
-    assert {r["k"]: r["v"] for r in table.read(spark, 90).collect()} == {v % 4: v for v in range(0, 90, 3)}
+def test_ends_by_record_and_by_timer(spark, tmp_path, batch):
+    records, events = season(games=6)
+    ids = [r["match_id"] for r in records]
+    lines = in_sources(records, events, {m: f"s{i}" for i, m in enumerate(ids)})
+    last = [x for x in lines if x["source"] == "s0"][-1]
+    straggler = [x for x in lines if x["source"] == "s1" and "eventId" in x][-1]
+    now = [x for x in lines if x not in (straggler,)]
+    # The first match is ended by a record of its source, the second by one that names it, the others by their silence.
+    now.append({"source": "s0", "position": 10**6, "end": True})
+    now.append({"source": "elsewhere", "position": 1, "end": True, "matchId": ids[1]})
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False, timeout=3600)
+    engine.process(as_frame(spark, [json.dumps(x) for x in now]), 0)
+    how = {r["match_id"]: r["ended"] for r in engine.finished().collect()}
+    assert how[ids[0]] == how[ids[1]] == "end" and last["source"] == "s0"
+    assert [how.get(m) for m in ids[2:5]] == ["timeout"] * 3 and ids[5] not in how
+    # An event of the ended match that comes later, without its id, still belongs to it.
+    engine.process(as_frame(spark, [json.dumps(straggler)]), 1)
+    engine.process(as_frame(spark, [json.dumps({"source": "s5", "position": 10**6, "end": True})]), 2)
+    assert {r["match_id"]: r["ended"] for r in engine.finished().collect()}[ids[5]] == "end"
+    agree(state(engine), batch)
+    assert engine.rejected().count() == 0
+    engine.flush()
+    assert engine.matches_done() == 6
+
+
+def test_an_engine_stops_at_its_limit_within_a_batch(spark, tmp_path):
+    records, events = season(games=6)
+    lines = lines_of(records, events)
+    heads = [i for i, x in enumerate(lines) if "teamsData" in x]
+    some = ingest.Engine(spark, str(tmp_path / "some"), L.players(spark, KNOWN), retrain=False)
+    some.process(as_frame(spark, lines[: heads[3]]), 0)
+    some.flush()
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False, limit=3)
+    engine.process(as_frame(spark, lines[: heads[2] - 1]), 0)
+    assert not engine.stopped() and engine.matches_done() == 1
+    engine.process(as_frame(spark, lines[heads[2] - 1 :]), 1)
+    assert engine.stopped() and engine.matches_done() == 3
+    engine.process(as_frame(spark, lines), 2)
+    engine.flush()
+    assert engine.matches_done() == 3
+    agree(state(engine), state(some))
 
 
 def without_place(lines):

@@ -106,6 +106,11 @@ def rank_step_on(
     round_digits: int | None = None,
 ) -> DataFrame:
     """One step on prepared adjacency lists; `parts` says into how many each source's is cut."""
+    return _updated(ranks, _sent(lists, parts, ranks), damping, round_digits)
+
+
+def _sent(lists: DataFrame, parts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """What every node receives if `ranks` pass on their rank."""
     # A node's rank is repeated once per part of its list, so the join key is never hot.
     spread = ranks.join(parts, ranks["node"] == parts["src"]).select(
         "src", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "rank"
@@ -113,14 +118,55 @@ def rank_step_on(
     sent = lists.join(spread, ["src", "part"]).select(
         F.inline("targets"), (F.col("rank") / F.col("outdeg")).alias("share")
     )
-    received = _received(sent, F.col("share"), F.col("copies"))
-    return _updated(ranks, received, damping, round_digits)
+    return _received(sent, F.col("share"), F.col("copies"))
 
 
 def list_parts(lists: DataFrame) -> DataFrame:
     return lists.groupBy("src").agg(F.max("parts").alias("parts"))
 
 
+def _prepared(edges: DataFrame, part_size: int) -> tuple[DataFrame, DataFrame]:
+    """Lists written in buckets of bounded bytes, and the number of parts of each."""
+    copies = stored(edge_copies(edges), "edge-copies")
+    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, -(-copies.count() * TARGET_BYTES // BUCKET_BYTES))
+    lists = stored_in_buckets(_lists(copies, part_size), "adjacency", ["src", "part"], buckets)
+    return lists, cut(list_parts(lists))
+
+
+def rank_by_changes(
+    edges: DataFrame,
+    tol: float = 1e-6,
+    max_iter: int = 1000,
+    damping: float = DAMPING,
+    part_size: int = PART_SIZE,
+    moved: list[int] | None = None,
+) -> DataFrame:
+    """Ranks at rest: repeat the step until no node has `tol` or more to pass on.
+
+    A node remembers what it has received and which rank it has passed on. Only nodes whose rank is `tol` or
+    more away from that are active: they pass on the difference, so a round moves the active nodes' targets
+    and no others, and small changes wait until they add up. Every rank is then within
+    damping * tol * (links received) / (1 - damping) of the fixed point, in sum over the links. `moved` is
+    given the number of active nodes of each round.
+    """
+    lists, parts = _prepared(edges, part_size)
+    state = cut(initial_ranks(edges).select("node", "rank", F.lit(0.0).alias("got"), F.lit(0.0).alias("passed")))
+    active = F.abs(F.col("rank") - F.col("passed")) >= tol
+    for _ in range(max_iter):
+        count = state.filter(active).count()
+        if moved is not None:
+            moved.append(count)
+        if not count:
+            break
+        changes = state.filter(active).select("node", (F.col("rank") - F.col("passed")).alias("rank"))
+        received = _sent(lists, parts, changes)
+        after = state.withColumn("passed", F.when(active, F.col("rank")).otherwise(F.col("passed"))).join(received, "node", "left")
+        got = F.col("got") + F.coalesce("received", F.lit(0.0))
+        state = cut(after.select("node", (F.lit(BASE) + F.lit(damping) * got).alias("rank"), got.alias("got"), "passed"))
+    return state.select("node", "rank")
+
+
 def rank_iterate(
     edges: DataFrame,
     max_iter: int = 10,
@@ -135,11 +181,7 @@ def rank_iterate(
     bytes, so a round moves ranks and sums but never edges. Every round is checkpointed: the plan stays one step long and a
     lost executor costs at most one round.
     """
-    copies = stored(edge_copies(edges), "edge-copies")
-    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, -(-copies.count() * TARGET_BYTES // BUCKET_BYTES))
-    lists = stored_in_buckets(_lists(copies, part_size), "adjacency", ["src", "part"], buckets)
-    parts = cut(list_parts(lists))
+    lists, parts = _prepared(edges, part_size)
     ranks = cut(initial_ranks(edges))
     for _ in range(max_iter):
         new = cut(rank_step_on(lists, parts, ranks, damping, round_digits))

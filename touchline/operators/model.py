@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal, localcontext
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -83,6 +85,32 @@ def rating_line(frame: DataFrame, by: list[str] | None = None) -> DataFrame:
     return data.groupBy(*by).agg(*line) if by else data.agg(*line)
 
 
+def line_sums(before: DataFrame, now: DataFrame) -> dict[str, Decimal]:
+    """What the sums behind the rating line change by if rows of the training frame give way to others.
+
+    Age and rating are taken as decimals of 17 places, so that a row taken away leaves no rounding behind.
+    """
+    rows = before.withColumn("__n", F.lit(-1)).unionByName(now.withColumn("__n", F.lit(1)))
+    x = (F.col("diff").cast("decimal(10,0)") / F.lit(1000).cast("decimal(4,0)")).cast("decimal(10,3)")
+    y = scaled_rating(F.col("rating")).cast("decimal(20,17)")
+    rows = rows.filter("diff IS NOT NULL").select("__n", x.alias("x"), y.alias("y"))
+    terms = {"n": F.lit(1), "x": F.col("x"), "y": F.col("y"), "xx": F.col("x") * F.col("x"), "xy": F.col("x") * F.col("y")}
+    signed = [F.sum(F.when(F.col("__n") > 0, v).otherwise(-v)).cast("decimal(38,18)").alias(k) for k, v in terms.items()]
+    found = rows.agg(*signed).first().asDict()
+    return {k: v or Decimal(0) for k, v in found.items()}
+
+
+def line_of_sums(spark: SparkSession, sums: dict[str, str]) -> DataFrame:
+    """Slope and intercept from the sums: the mean where all ages are equal, NULL without rows."""
+    n, x, y, xx, xy = (Decimal(sums.get(k, "0")) for k in ("n", "x", "y", "xx", "xy"))
+    with localcontext(prec=80):
+        spread = n * xx - x * x
+        slope = ((n * xy - x * y) / spread if spread else Decimal(0)) if n else None
+        intercept = (y - slope * x) / n if n else None
+    values = [F.lit(None if v is None else float(v)).cast("double") for v in (slope, intercept)]
+    return spark.range(1).select(values[0].alias("slope"), values[1].alias("intercept"))
+
+
 def model_line(spark: SparkSession, model: LinearRegressionModel) -> DataFrame:
     return spark.range(1).select(
         F.lit(float(model.coefficients[0])).alias("slope"),
@@ -140,6 +168,17 @@ def misplaced(profile: DataFrame, k: int = CLUSTERS, seed: int = 0) -> DataFrame
     )
 
 
+def silhouette(profile: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One row per cluster of (player_id, cluster): its size, and the silhouette of the whole clustering.
+
+    Distances are squared; the evaluator works from sums per cluster, not from pairs of players.
+    """
+    assigned = _features(profile).join(clusters.select("player_id", F.col("cluster").cast("int").alias("prediction")), "player_id")
+    value = ClusteringEvaluator().evaluate(assigned)
+    sizes = assigned.groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("size"))
+    return sizes.withColumn("silhouette", F.lit(value))
+
+
 def cluster_quality(profile: DataFrame, k: int = CLUSTERS, seed: int = 0) -> DataFrame:
     """One row per cluster: size, center and the silhouette of the whole clustering."""
     data = _features(profile)

@@ -89,44 +89,26 @@ def running_total(
 
 
 def carry_last(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    value: str,
-    out: str,
-    span: int,
-    radix: int,
-    upto: int = 0,
+    df: DataFrame, keys: list[str], order: str, value: str, out: str, limit: int = LIMIT, upto: int = 0
 ) -> DataFrame:
     """Add the key's latest non-NULL `value` up to each row; `upto=-1` leaves the row itself out.
 
-    `order` is a whole number below `span` that is unique within a key, so blocks of `radix` numbers
-    hold at most that many rows.
+    `order` is unique within a key and may be any number. Keys of more than `limit` rows are put in order by
+    a range partitioning and cut into blocks of as many; the last value of each block is carried over the
+    blocks, by the same function, and joined back.
     """
+    long = long_keys(df, keys, limit)
     frame = (Window.unboundedPreceding, upto)
-    if span <= radix:
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*frame)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    blocked = df.withColumn(BLOCK, F.expr(f"`{order}` div {radix}"))
-    w = Window.partitionBy(*keys, BLOCK).orderBy(order).rowsBetween(*frame)
-    within = blocked.withColumn("__own", F.last(value, ignorenulls=True).over(w))
-    ends = blocked.groupBy(*keys, BLOCK).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("__end")
-    )
-    entering = carry_last(
-        ends.withColumnRenamed(BLOCK, "__order"),
-        keys,
-        "__order",
-        "__end",
-        "__before",
-        -(-span // radix),
-        radix,
-        upto=-1,
-    ).select(*keys, F.col("__order").alias(BLOCK), "__before")
-    return within.join(entering, [*keys, BLOCK]).select(
-        *df.columns, F.coalesce("__own", "__before").alias(out)
-    )
-
+    if long is None:
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(*frame)))
+    blocked = with_blocks(df, keys, [order], long, limit)
+    by = [*keys, BLOCK]
+    within = blocked.withColumn("__own", F.last(value, ignorenulls=True).over(Window.partitionBy(*by).orderBy(order).rowsBetween(*frame)))
+    ends = blocked.groupBy(*by).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("__end"))
+    ends = stored(ends.withColumnRenamed(BLOCK, "__order"), "block-ends")
+    entering = carry_last(ends, keys, "__order", "__end", "__before", limit, upto=-1)
+    entering = entering.select(*keys, F.col("__order").alias(BLOCK), "__before")
+    return within.join(entering, by).select(*df.columns, F.coalesce("__own", "__before").alias(out))
 
 @dataclass(frozen=True)
 class Fold:

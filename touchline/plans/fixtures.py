@@ -454,6 +454,43 @@ def lines_that_are_no_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.when(F.col("position") % 3 == 0, cut).when(F.col("position") % 3 == 1, bare).otherwise(text).alias("value"))
 
 
+def lines_with_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The season without a header after its last matches: (value, part).
+
+    Part 0 is the season but for every tenth player's last events, and an end record for source 0. Part 1 is a
+    header, without players, two days on in a source of its own, so that the other sources are silent. Part 2
+    has the events held back, which name no match.
+    """
+    records = stream_records(spark, sf_dir)
+    last = records.filter("is_match").agg(F.max("position").alias("last_header"))
+    held = ~F.col("is_match") & (F.col("playerId") % 10 == 3) & (F.col("position") > last.scalar())
+    season = _as_lines(records.withColumn("part", F.when(held, 2).otherwise(0)), "part")
+    # An event stands at 2 * event_id + 1.
+    ends = table(spark, sf_dir, "events").agg((F.max("event_id") * 2 + 2).alias("position"), F.max("ts").alias("ts"))
+    closing = ends.select(F.lit(0).alias("part"), F.to_json(F.struct(F.lit("0").alias("source"), "position", F.lit(True).alias("end"))).alias("value"))
+    on = F.date_format(F.date_add(F.to_date("ts"), 2), "yyyy-MM-dd 18:00:00").alias("dateutc")
+    nobody = F.create_map().cast(TEAMS_DATA).alias("teamsData")
+    friendly = F.struct(F.lit("friendly").alias("source"), F.lit(0).alias("position"), F.lit(-1).alias("matchId"), on, nobody)
+    return season.unionByName(closing).unionByName(ends.select(F.lit(1).alias("part"), F.to_json(friendly).alias("value")))
+
+
+def mixed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of all kinds as lines of JSON, every other match request without a kind, and lines that are no request."""
+
+    def lines(rows: DataFrame, kind: Column) -> DataFrame:
+        fields = [c for c in rows.columns if not c.startswith("team_")]
+        return rows.select(F.to_json(F.struct(*fields, kind.alias("req_type"))).alias("value"))
+
+    games = match_requests(spark, sf_dir)
+    asked = lines(win_requests(spark, sf_dir), F.lit(1)).unionByName(lines(profile_requests(spark, sf_dir), F.lit(2)))
+    asked = asked.unionByName(lines(games, F.when(F.col("request_id") % 4 < 2, 3)))
+    bare = games.select("request_id").withColumn("req_type", F.lit(7))
+    wrong = bare.select(F.to_json(F.struct("request_id", "req_type")).alias("value"))
+    short = bare.select(F.to_json(F.struct("request_id", F.lit(3).alias("req_type"))).alias("value"))
+    cut = asked.select(F.substring("value", 1, 10).alias("value"))
+    return asked.unionByName(wrong).unionByName(short).unionByName(cut)
+
+
 def name_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The match requests with a label of the two teams' names; teams without a name give no label."""
     names = teams(spark, sf_dir)

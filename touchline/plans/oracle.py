@@ -580,6 +580,50 @@ ORACLE["stream_state"] = ORACLE["chemistry"]
 ORACLE["stream_model"] = ORACLE["rating_regression"]
 for _name in ("stream_raw_lines", "stream_late", "stream_repeated"):
     ORACLE[_name] = ORACLE["stream_metrics"]
+ORACLE["stream_ends_metrics"] = ORACLE["stream_metrics"]
+_ALL_GAMES = "WHERE i < t // 2),"
+assert _ALL_GAMES in ORACLE["stream_metrics"]
+ORACLE["stream_limit"] = ORACLE["stream_metrics"].replace(_ALL_GAMES, "WHERE i < t // 2 QUALIFY row_number() OVER (ORDER BY d, i) <= 25),")
+ORACLE["stream_ends"] = (
+    "WITH "
+    + _MATCH.rstrip().rstrip(",")
+    + """ SELECT match_id, CASE WHEN d < (SELECT max(d) FROM game) THEN 'header' WHEN i = 0 THEN 'end' ELSE 'timeout' END AS ended FROM game"""
+)
+ORACLE["event_framing_nanos"] = (
+    "SELECT match_id, events, first * 1000000000 + 1700000000000000000 AS first, last * 1000000000 + 1700000000000000000 AS last FROM ("
+    + ORACLE["event_framing"]
+    + ")"
+)
+ORACLE["pagerank_tol"] = _EDGE + _rounds(60).replace(" AS (\n", " AS MATERIALIZED (\n") + " SELECT node, round(rank + 1e-9, 6) AS rank FROM r60"
+ORACLE["cluster_silhouette"] = _fold(
+    """, f AS (SELECT player_id, CAST(player_id % 5 AS INT) AS cluster, [fouls, goals, own_goals, pass_acc, shot_acc, matches]::DOUBLE[] AS v FROM prof),
+    near AS (
+      SELECT a.player_id, a.cluster AS own, b.cluster, sum(list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) AS total,
+        count(*) AS n
+      FROM f a, f b GROUP BY ALL),
+    s AS (
+      SELECT player_id, own, any_value(n) FILTER (cluster = own) AS size,
+        any_value(total / nullif(n - 1, 0)) FILTER (cluster = own) AS a, min(total / n) FILTER (cluster <> own) AS b
+      FROM near GROUP BY ALL)
+    SELECT own AS cluster, count(*) AS size,
+      (SELECT round(avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) + 1e-9, 6) FROM s) AS silhouette
+    FROM s GROUP BY own"""
+)
+ORACLE["mixed_requests"] = (
+    "WITH win AS ("
+    + ORACLE["win_chance_plain"]
+    + "), card AS ("
+    + ORACLE["profile_query"]
+    + "), game AS ("
+    + ORACLE["match_info"]
+    + """), n AS (SELECT (SELECT count(*) FROM win) + (SELECT count(*) FROM card) + (SELECT count(*) FROM game) AS all_lines, (SELECT count(*) FROM game) AS games)
+    SELECT 'win_chance' AS kind, request_id, status AS answer FROM win
+    UNION ALL SELECT 'profile', request_id, CASE WHEN profile_found THEN name ELSE 'not found' END FROM card
+    UNION ALL SELECT 'match_info', request_id, coalesce(teams_playing, 'not found') FROM game
+    UNION ALL SELECT 'rejected', all_lines, 'malformed' FROM n
+    UNION ALL SELECT 'rejected', games, 'unknown kind' FROM n
+    UNION ALL SELECT 'rejected', games, 'incomplete' FROM n"""
+)
 ORACLE["reply_match"] = (
     "SELECT request_id, match_found, c.* EXCLUDE (match_id) FROM ("
     + ORACLE["match_info"]

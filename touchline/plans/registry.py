@@ -139,6 +139,13 @@ def pagerank_3(spark, sf):
     return ranks.select("node", r6("rank"))
 
 
+@query
+def pagerank_tol(spark, sf):
+    """Ranks at rest, by passing on changes only."""
+    ranks = graph.rank_by_changes(fx.edges(spark, sf), tol=1e-10, part_size=GRAPH_PART)
+    return ranks.select("node", r6("rank"))
+
+
 @query
 def pagerank_step_text(spark, sf):
     """One step rounded and printed to five decimals."""
@@ -446,6 +453,14 @@ def cluster_quality(spark, sf):
     return model.cluster_quality(stored(_profile(spark, sf), "profile"))
 
 
+@query
+def cluster_silhouette(spark, sf):
+    """The silhouette of clusters given by a formula."""
+    profile = stored(_profile(spark, sf), "profile")
+    out = model.silhouette(profile, profile.select("player_id", F.pmod("player_id", F.lit(5)).cast("int").alias("cluster")))
+    return out.select("cluster", "size", r6("silhouette"))
+
+
 # Requests
 
 
@@ -672,6 +687,29 @@ def reply_win_chance(spark, sf):
     )
 
 
+@query
+def mixed_requests(spark, sf):
+    """Requests of all kinds from one file: each answered in short by its kind, lines that are none with the reason."""
+    path = scratch_path(spark, "requests")
+    fx.mixed_requests(spark, sf).write.text(path)
+    asked = stored(rq.sorted_requests(spark.read.text(path)), "requests")
+    season = _season(spark, sf)
+    chances = rq.win_chance(rq.requests_of(asked, rq.WIN_CHANCE), **season, cluster_term="none").select("request_id", "status")
+    cards = rq.profile_answers(rq.requests_of(asked, rq.PROFILE), season["players"], season["profile"])
+    games = rq.match_answers(rq.requests_of(asked, rq.MATCH_INFO), fx.matches(spark, sf), season["players"], fx.teams(spark, sf))
+
+    def of(rows: DataFrame, kind: str, answer: Column) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), "request_id", answer.alias("answer"))
+
+    rejected = asked.filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
+    return (
+        of(chances, rq.WIN_CHANCE, F.col("status"))
+        .unionByName(of(cards, rq.PROFILE, F.when(F.col("profile_found"), F.col("name")).otherwise("not found")))
+        .unionByName(of(games, rq.MATCH_INFO, F.coalesce("teams_playing", F.lit("not found"))))
+        .unionByName(rejected.select(F.lit("rejected").alias("kind"), F.col("n").alias("request_id"), F.col("reason").alias("answer")))
+    )
+
+
 # Sources, sinks and the stream
 
 
@@ -806,15 +844,27 @@ def event_framing(spark, sf):
     )
 
 
-def _streamed(spark: SparkSession, sf: str, parts: list[DataFrame]) -> ingest.Engine:
+@query
+def event_framing_nanos(spark, sf):
+    """The same with positions as nanoseconds of a clock."""
+    start, step = 1_700_000_000_000_000_000, 1_000_000_000
+    records = fx.stream_records(spark, sf).withColumn("position", F.col("position") * step + start)
+    framed = framing.frame(records, limit=500).filter(~F.col("is_match"))
+    return framed.groupBy("match_id").agg(
+        F.count("*").alias("events"), F.min("position").alias("first"), F.max("position").alias("last")
+    )
+
+
+def _streamed(spark: SparkSession, sf: str, parts: list[DataFrame], flush: bool = True, **options) -> ingest.Engine:
     """Lines of text fed to the engine, each frame a restart of the stream, then flushed."""
     at = scratch_path(spark, "stream")
-    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"), False)
+    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"), False, **options)
     for lines in parts:
         lines.write.mode("append").text(f"{at}/lines")
         stream = ingest.open_lines(spark, f"{at}/lines")
         ingest.start_ingest(stream, engine, f"{at}/checkpoint", available_now=True).awaitTermination()
-    engine.flush()
+    if flush:
+        engine.flush()
     return engine
 
 
@@ -862,12 +912,40 @@ def stream_repeated(spark, sf):
     return _standing(_streamed(spark, sf, [p.select("value") for p in parts]))
 
 
-def _season_as_stream(spark: SparkSession, sf: str, retrain: bool = False, parts: int = 2) -> ingest.Engine:
+def _ended(spark: SparkSession, sf: str) -> ingest.Engine:
+    """Matches that end without a flush: by headers, by an end record, and by the silence of their source."""
+    lines = stored(fx.lines_with_ends(spark, sf), "lines")
+    return _streamed(spark, sf, [lines.filter(f"part = {i}").select("value") for i in range(3)], flush=False)
+
+
+@query
+def stream_ends(spark, sf):
+    """How every match ended."""
+    return _ended(spark, sf).finished()
+
+
+@query
+def stream_ends_metrics(spark, sf):
+    """Profile and rating of matches that ended in any way, events that came afterwards included."""
+    return _standing(_ended(spark, sf))
+
+
+#: Matches after which the registered run stops.
+STREAM_LIMIT = 25
+
+
+@query
+def stream_limit(spark, sf):
+    """Profile and rating after the first matches only; the limit lies within a batch."""
+    return _standing(_season_as_stream(spark, sf, limit=STREAM_LIMIT))
+
+
+def _season_as_stream(spark: SparkSession, sf: str, retrain: bool = False, parts: int = 2, **options) -> ingest.Engine:
     """The season fed to the engine in parts, each a restart of the stream, then flushed."""
     at = scratch_path(spark, "stream")
     lines = stored(fx.stream_lines(spark, sf), "lines")
     size = lines.agg(F.max("position")).first()[0] // parts + 1
-    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"), retrain)
+    engine = ingest.Engine(spark, f"{at}/state", stored(fx.players(spark, sf), "players"), retrain, **options)
     for part in range(parts):
         piece = lines.filter(F.expr(f"position div {size} = {part}")).select("value")
         piece.write.mode("append").text(f"{at}/lines")

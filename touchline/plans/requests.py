@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline import schemas
 from touchline.functions.expressions import START_CHEMISTRY, label_title, pair_key
 from touchline.operators.matches import incidents, titled
 from touchline.operators.model import predicted
@@ -403,3 +404,36 @@ def match_documents(answers: DataFrame) -> DataFrame:
         F.when(~found, F.lit(False)).alias("match_found"),
         *[F.when(found, shown[c]).alias(c) for c in card],
     )
+
+
+WIN_CHANCE, PROFILE, MATCH_INFO = "win_chance", "profile", "match_info"
+#: The kinds of a request by its `req_type`.
+REQUEST_KINDS = {"1": WIN_CHANCE, "2": PROFILE, "3": MATCH_INFO}
+
+
+def sorted_requests(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines of JSON to requests of all kinds, with `kind`, or the `reason` why a line is none.
+
+    A line without `req_type` asks for match information. Dates are year-month-day.
+    """
+    rows = lines.select(F.col(column).alias("text"), F.from_json(column, schemas.MIXED_REQUEST, {"mode": "PERMISSIVE"}).alias("r"))
+    is_object = F.coalesce(F.startswith(F.ltrim("text"), F.lit("{")), F.lit(False)) & F.try_parse_json("text").isNotNull()
+    kinds = F.create_map(*[F.lit(x) for pair in REQUEST_KINDS.items() for x in pair])
+    kind = F.when(F.col("r.req_type").isNull(), MATCH_INFO).otherwise(F.try_element_at(kinds, F.col("r.req_type")))
+    rows = rows.select("text", "r.*", is_object.alias("__object"), kind.alias("kind"))
+    rows = rows.withColumn("date", F.try_to_date("date", "yyyy-MM-dd"))
+    lacks = {
+        WIN_CHANCE: F.col("date").isNull() | F.col("team1").isNull() | F.col("team2").isNull(),
+        PROFILE: F.col("name").isNull(),
+        MATCH_INFO: F.col("date").isNull() | F.col("label").isNull(),
+    }
+    reason = F.when(~F.col("__object"), "malformed").when(F.col("kind").isNull(), "unknown kind")
+    for name, lacking in lacks.items():
+        reason = reason.when((F.col("kind") == name) & lacking, "incomplete")
+    return rows.withColumn("reason", reason).drop("__object")
+
+
+def requests_of(requests: DataFrame, kind: str) -> DataFrame:
+    """The requests of one kind, in the columns that the operator for it takes."""
+    columns = {WIN_CHANCE: ["date", "team1", "team2"], PROFILE: ["name"], MATCH_INFO: ["date", "label"]}
+    return requests.filter(F.col("reason").isNull() & (F.col("kind") == kind)).select("request_id", *columns[kind])

@@ -45,9 +45,15 @@ STREAM_LINE = (
     "source string, position bigint, matchId bigint, "
     "dateutc string, label string, winner bigint, gameweek int, duration string, venue string, "
     f"teamsData {TEAMS_DATA}, "
-    "eventId int, subEventId string, playerId bigint, eventSec string, " + f"tags {TAGS}"
+    "eventId int, subEventId string, playerId bigint, eventSec string, " + f"tags {TAGS}, `end` boolean"
 )
 
 WIN_REQUEST = "request_id bigint, date date, team1 map<string,string>, team2 map<string,string>"
 PROFILE_REQUEST = "request_id bigint, name string"
 MATCH_REQUEST = "request_id bigint, date date, label string"
+
+# One line of a file of requests of all kinds. The kind is 1, 2 or 3; without one, match information is meant.
+MIXED_REQUEST = (
+    "request_id bigint, req_type string, date string, team1 map<string,string>, team2 map<string,string>, "
+    "name string, label string"
+)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,21 +56,40 @@ def shared_folder(spark: SparkSession) -> str:
 #: Scratch paths and tables of this process, for `clear_scratch`.
 _PATHS: list[str] = []
 _TABLES: list[str] = []
+#: Scratch paths of the scope at hand, if there is one.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    _PATHS.append(path)
+    scope = _SCOPE.get()
+    (_PATHS if scope is None else scope).append(path)
     return path
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate data written so far. Frames that still read it become useless."""
     while _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
-    while _PATHS:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _PATHS)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate data written inside, by this thread and those that run in its context, goes at the end."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, paths)
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -10,9 +10,8 @@ from touchline.operators.metrics import normalise_events
 from touchline.operators.scan import carry_last
 from touchline.schemas import STREAM_LINE
 
-# Positions of one source, and how many of them one task looks at.
-FRAME_SPAN = 1 << 40
-FRAME_RADIX = 1 << 16
+#: Records of one source that one task looks at.
+FRAME_ROWS = 200_000
 
 
 #: Why a line is no record.
@@ -22,7 +21,9 @@ HEADERLESS = "before the first header"
 
 
 def read_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to records, with `is_match` and, where a line is no record, the `reason`.
+    """JSON text to records, with `is_match`, `is_end` and, where a line is no record, the `reason`.
+
+    A record is a header, an event, or an end record, which has `end` true and may name its match.
 
     A line's place is the `source` and `position` in its text; failing that, the columns of these names
     beside the text, which the reader of any ordered transport can give.
@@ -33,12 +34,14 @@ def read_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         *[F.col(c).alias(f"__{c}") for c in beside],
         F.from_json(F.col(column), STREAM_LINE, {"mode": "PERMISSIVE"}).alias("r"),
     )
+    end = F.coalesce(F.col("r.end"), F.lit(False))
     match, event = F.col("r.teamsData").isNotNull(), F.col("r.eventId").isNotNull()
     is_object = F.coalesce(F.startswith(F.ltrim("__text"), F.lit("{")), F.lit(False)) & F.try_parse_json("__text").isNotNull()
-    reason = F.when(~is_object, MALFORMED).when(~match & ~event, NO_KIND)
+    reason = F.when(~is_object, MALFORMED).when(~match & ~event & ~end, NO_KIND)
     for c in beside:
         rows = rows.withColumn("r", F.col("r").withField(c, F.coalesce(F.col(f"r.{c}"), F.col(f"__{c}"))))
-    return rows.select("r.*", match.alias("is_match"), reason.alias("reason"), F.col("__text").alias("text"))
+    kinds = [match.alias("is_match"), (end & ~match).alias("is_end")]
+    return rows.select("r.*", *kinds, reason.alias("reason"), F.col("__text").alias("text"))
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -54,16 +57,16 @@ def in_file_order(lines: DataFrame) -> DataFrame:
     is aggregated and joined.
     """
     base = lines.groupBy("file", "start").agg(F.min("at").alias("__base"))
-    placed = lines.join(F.broadcast(base), ["file", "start"])
+    placed = lines.join(base, ["file", "start"])
     position = F.col("start") + F.col("at") - F.col("__base")
     return placed.select("value", F.col("file").alias("source"), position.alias("position"))
 
 
-def _keyed(records: DataFrame, span: int) -> DataFrame:
+def _placed(records: DataFrame) -> DataFrame:
     """Refuse records that have no place; they would get lost on the way."""
     position, source = F.col("position"), F.col("source")
-    fits = source.isNotNull() & F.coalesce((position >= 0) & (position < span), F.lit(False))
-    refused = F.raise_error(F.lit("a stream record has no source, or no position within the span"))
+    fits = source.isNotNull() & position.isNotNull()
+    refused = F.raise_error(F.lit("a stream record has no source or no position"))
     # Both keys, since a join on a missing source would drop the row before its position is looked at.
     return records.withColumns(
         {"source": F.when(fits, source).otherwise(refused.cast("string")), "position": F.when(fits, position).otherwise(refused.cast("bigint"))}
@@ -75,13 +78,21 @@ def header_id() -> Column:
     return F.coalesce("matchId", F.xxhash64("source", "position"))
 
 
-def frame(records: DataFrame, span: int = FRAME_SPAN, radix: int = FRAME_RADIX) -> DataFrame:
-    """Add `match_id`: that of the record itself, else of the last header before it in its source."""
-    opened = _keyed(records, span).withColumn("__opens", F.when(F.col("is_match"), header_id()))
-    framed = carry_last(opened, ["source"], "position", "__opens", "__open", span, radix)
+def frame(records: DataFrame, limit: int = FRAME_ROWS) -> DataFrame:
+    """Add `match_id`: that of the record itself, else of the last header before it in its source.
+
+    Positions may be any whole numbers, lines of a file or nanoseconds of a clock.
+    """
+    opened = _placed(records).withColumn("__opens", F.when(F.col("is_match"), header_id()))
+    framed = carry_last(opened, ["source"], "position", "__opens", "__open", limit)
     return framed.withColumn("match_id", F.coalesce("matchId", "__open")).drop("__opens", "__open")
 
 
+def kick_off(dateutc: str) -> Column:
+    """Seconds since 1970 of a header's date and time; NULL if it has none."""
+    return F.unix_timestamp(F.try_to_timestamp(dateutc, F.lit("yyyy-MM-dd HH:mm:ss")))
+
+
 def header_rows(records: DataFrame) -> DataFrame:
     """Match records of the stream; they need no framing."""
     rows = records.filter("is_match").select(
@@ -99,9 +110,14 @@ def header_rows(records: DataFrame) -> DataFrame:
     return with_match_order(rows)
 
 
+def _is_event(framed: DataFrame) -> Column:
+    event = ~F.col("is_match")
+    return event & ~F.col("is_end") if "is_end" in framed.columns else event
+
+
 def event_rows(framed: DataFrame) -> DataFrame:
     """Event records with their match; events before any header belong to none (see `headerless`)."""
-    rows = framed.filter(~F.col("is_match") & F.col("match_id").isNotNull()).select(
+    rows = framed.filter(_is_event(framed) & F.col("match_id").isNotNull()).select(
         "match_id",
         F.col("position").alias("seq"),
         "eventId",
@@ -115,4 +131,4 @@ def event_rows(framed: DataFrame) -> DataFrame:
 
 def headerless(framed: DataFrame) -> DataFrame:
     """Events that stand before the first header of their source."""
-    return framed.filter(~F.col("is_match") & F.col("match_id").isNull())
+    return framed.filter(_is_event(framed) & F.col("match_id").isNull())

@@ -1,106 +1,203 @@
-"""Keyed state as append-only tables, one folder per micro-batch.
+"""State tables that change together.
 
-A batch writes only the keys it touched. When `COMPACT_EVERY` folders have come since all keys were
-written, they are written again, and reading starts from the newest such folder. Rewriting a batch's folder
-replaces it, so a batch that is run again after a failure leaves the same state; for that, folders go
-only once two whole copies stand behind them.
+A batch writes new folders, never into old ones, and last of all a commit record that lists, for every
+table, the folders that hold its rows. Whoever reads goes through a commit record, so a batch that failed
+between two tables is not seen at all, and run again it starts from the record before it. Each table is dealt
+into parts by a hash of some of its columns; reads name the parts they need.
+
+`KeyedTable` keeps one row per key: a batch rewrites the parts it touches, and the record names for each
+part the folder of its newest copy. `LogTable` keeps all rows: a batch adds a folder, and `FAN` folders of one
+level are merged into one of the next, so the number of folders grows with the logarithm of the batches.
+Folders that neither of the last two records lists are deleted.
 """
 
 from __future__ import annotations
 
+import copy
+import json
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COMPACT_EVERY = 16
+FAN = 8
+KEPT = 2
+PARTS = 32
+
 
+def _at(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def folder_versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """Versions present under `path`, with whether each holds all keys."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        hit = re.fullmatch(r"version=(\d+)", name)
-        if hit and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            whole = fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_whole/{hit[1]}"))
-            found.append((int(hit[1]), whole))
-    return sorted(found)
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    at, fs = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
 
 def delete_folders(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        at, fs = _at(spark, path)
+        fs.delete(at, True)
+
+
+@dataclass
+class Draft:
+    """What a commit record says, while a batch works on the next one."""
+
+    version: int
+    #: For a keyed table the folder of each part, for a log its list of (folder, level, newest version).
+    tables: dict = field(default_factory=dict)
+    #: Small values that change with the tables.
+    values: dict = field(default_factory=dict)
+
+    def folders(self) -> set[str]:
+        """Folders in use, as table/at=name or table/at=name/part=number."""
+        found = set()
+        for table, held in self.tables.items():
+            if isinstance(held, dict):
+                found |= {f"{table}/at={name}/part={part}" for part, name in held.items()}
+            else:
+                found |= {f"{table}/at={name}" for name, _, _ in held}
+        return found
+
+
+class Store:
+    """The commit records of a state folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def versions(self) -> list[int]:
+        found = (re.fullmatch(r"(\d+)\.json", n) for n in names_in(self.spark, f"{self.path}/_commits"))
+        return sorted(int(f[1]) for f in found if f)
+
+    def _record(self, version: int) -> Draft:
+        at, fs = _at(self.spark, f"{self.path}/_commits/{version}.json")
+        stream = fs.open(at)
+        try:
+            held = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        return Draft(**held)
+
+    def newest(self) -> Draft | None:
+        versions = self.versions()
+        return self._record(versions[-1]) if versions else None
+
+    def begin(self, version: int) -> Draft | None:
+        """A draft on top of the newest record; None if `version` has been committed already."""
+        before = self.newest()
+        if before is None:
+            return Draft(version)
+        return Draft(version, copy.deepcopy(before.tables), dict(before.values)) if before.version < version else None
+
+    def commit(self, draft: Draft) -> None:
+        """Publishes the draft, then deletes what no kept record lists."""
+        spark = self.spark
+        before = self.versions()
+        at, fs = _at(spark, f"{self.path}/_commits/_{draft.version}")
+        stream = fs.create(at, True)
+        stream.write(bytearray(json.dumps({"version": draft.version, "tables": draft.tables, "values": draft.values}).encode()))
+        stream.close()
+        fs.rename(at, _at(spark, f"{self.path}/_commits/{draft.version}.json")[0])
+        kept, old = [*before, draft.version][-KEPT:], [*before, draft.version][:-KEPT]
+        live = set().union(*(self._record(v).folders() for v in kept))
+        gone = set().union(*(self._record(v).folders() for v in old)) - live
+        used = {f.split("/part=")[0] for f in live}
+        # A folder none of whose parts is in use goes as a whole.
+        whole = {f.split("/part=")[0] for f in gone} - used
+        rest = {f for f in gone if f.split("/part=")[0] in used}
+        delete_folders(spark, [f"{self.path}/{f}" for f in sorted(whole | rest)])
+        delete_folders(spark, [f"{self.path}/_commits/{v}.json" for v in old])
 
 
 @dataclass(frozen=True)
-class VersionedTable:
-    """Rows by version, nothing merged: match records, events, history."""
-
-    path: str
+class _Table:
+    store: Store
+    name: str
     schema: str
+    #: Columns whose hash deals rows into parts.
+    deal: tuple[str, ...]
+    parts: int
+
+    @property
+    def path(self) -> str:
+        return f"{self.store.path}/{self.name}"
+
+    def with_part(self, rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64(*self.deal), F.lit(self.parts)) if self.deal else F.lit(0)
+        return rows.withColumn("part", part.cast("int"))
+
+    def parts_of(self, rows: DataFrame) -> list[int]:
+        """The parts that hold the rows' keys; `parts` numbers at most."""
+        return sorted(r["part"] for r in self.with_part(rows).select("part").distinct().collect())
 
-    def write(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+    def _empty(self) -> DataFrame:
+        return self.store.spark.createDataFrame([], self.schema)
 
-    def read(self, spark: SparkSession, before: int, since: int = 0) -> DataFrame:
-        paths = [
-            f"{self.path}/version={v}"
-            for v, _ in folder_versions(spark, self.path)
-            if since <= v < before
-        ]
-        reader = spark.read.schema(f"{self.schema}, version int").option("basePath", self.path)
-        if not paths:
-            return spark.createDataFrame([], f"{self.schema}, version int")
-        return reader.parquet(*paths)
+    def _reader(self):
+        return self.store.spark.read.schema(f"{self.schema}, at string, part int").option("basePath", self.path)
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        """A file for each part; large parts are cut further by the number of records."""
+        dealt = self.with_part(rows).repartition("part")
+        dealt.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy("part").parquet(f"{self.path}/at={name}")
 
 
 @dataclass(frozen=True)
-class KeyedState:
-    """The newest row of every key."""
+class KeyedTable(_Table):
+    """One row of every key; `deal` is among the keys."""
 
-    path: str
     keys: tuple[str, ...]
-    schema: str
 
-    def write(self, spark: SparkSession, changed: DataFrame, version: int) -> None:
-        before = [(v, whole) for v, whole in folder_versions(spark, self.path) if v < version]
-        copies = [v for v, whole in before if whole]
-        since = [v for v, _ in before if v >= max(copies, default=0)]
-        whole = len(since) >= COMPACT_EVERY
-        if whole:
-            rest = self._newest(spark, before).join(changed, list(self.keys), "left_anti")
-            changed = rest.unionByName(changed)
-        changed.write.mode("overwrite").parquet(f"{self.path}/version={version}")
-        if whole:
-            jvm = spark._jvm
-            mark = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_whole/{version}")
-            mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
-            retired = [v for v, _ in before if v < max(copies, default=0)]
-            delete_folders(spark, [f"{self.path}/version={v}" for v in retired] + [f"{self.path}/_whole/{v}" for v in retired])
-
-    def read(self, spark: SparkSession, before: int) -> DataFrame:
-        return self._newest(spark, [(v, w) for v, w in folder_versions(spark, self.path) if v < before])
-
-    def _newest(self, spark: SparkSession, versions: list[tuple[int, bool]]) -> DataFrame:
-        if not versions:
-            return spark.createDataFrame([], self.schema)
-        base = max((v for v, whole in versions if whole), default=0)
-        paths = [f"{self.path}/version={v}" for v, _ in versions if v >= base]
-        rows = (
-            spark.read.schema(f"{self.schema}, version int")
-            .option("basePath", self.path)
-            .parquet(*paths)
-        )
-        if len(paths) == 1:
-            return rows.drop("version")
-        values = [c for c in rows.columns if c not in (*self.keys, "version")]
-        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "version").alias("r"))
-        return newest.select(*self.keys, "r.*")
+    def read(self, draft: Draft | None, parts: list[int] | None = None) -> DataFrame:
+        held = draft.tables.get(self.name, {}) if draft else {}
+        wanted = held if parts is None else {str(p): held[str(p)] for p in parts if str(p) in held}
+        if not wanted:
+            return self._empty()
+        paths = [f"{self.path}/at={name}/part={part}" for part, name in wanted.items()]
+        return self._reader().parquet(*paths).drop("at", "part")
+
+    def write(self, draft: Draft, changed: DataFrame, name: str, parts: list[int]) -> None:
+        """Puts the changed rows in place; `parts` has all parts that they belong to."""
+        values = [c for c in changed.columns if c not in self.keys]
+        both = self.read(draft, parts).withColumn("__new", F.lit(0)).unionByName(changed.withColumn("__new", F.lit(1)))
+        rows = both.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "__new").alias("r")).select(*self.keys, "r.*")
+        self._write(rows, name)
+        written = {n.removeprefix("part=") for n in names_in(self.store.spark, f"{self.path}/at={name}") if n.startswith("part=")}
+        draft.tables[self.name] = draft.tables.get(self.name, {}) | dict.fromkeys(sorted(written), name)
+
+
+@dataclass(frozen=True)
+class LogTable(_Table):
+    """All rows that ever came, each with the `version` it came in."""
+
+    def _rows(self, entries: list) -> DataFrame:
+        if not entries:
+            return self._empty()
+        return self._reader().parquet(*[f"{self.path}/at={name}" for name, _, _ in entries]).drop("at")
+
+    def read(self, draft: Draft | None, parts: list[int] | None = None, since: int = 0) -> DataFrame:
+        """Rows of the named parts; folders with nothing from version `since` on are not opened."""
+        entries = [e for e in (draft.tables.get(self.name, []) if draft else []) if e[2] >= since]
+        rows = self._rows(entries)
+        if not entries:
+            return rows
+        return (rows if parts is None else rows.filter(F.col("part").isin(parts))).drop("part")
+
+    def added(self, name: str) -> DataFrame:
+        """The rows of one folder."""
+        return self._rows([(name, 0, 0)]).drop("part")
+
+    def append(self, draft: Draft, rows: DataFrame, name: str, version: int) -> None:
+        self._write(rows.withColumn("version", F.lit(version)), name)
+        entries = [*draft.tables.get(self.name, []), [name, 0, version]]
+        level = 0
+        while len(full := [e for e in entries if e[1] == level]) >= FAN:
+            merged = f"{name}m{level + 1}"
+            self._write(self._rows(full).drop("part"), merged)
+            entries = [e for e in entries if e[1] != level] + [[merged, level + 1, max(e[2] for e in full)]]
+            level += 1
+        draft.tables[self.name] = entries
