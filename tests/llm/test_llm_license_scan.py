@@ -57,6 +57,42 @@ def test_edited_cut_and_missing_notices(spark):
     assert license_scan.licenses(docs, templates.limit(0)).collect() == []
 
 
+def counted(text, name):
+    """Copies of a notice by reading on behind each one that is found whole."""
+    words, notice = tokens(text), tokens(license_scan.TEMPLATES[name])
+    at, starts = 0, []
+    while at <= len(words) - len(notice):
+        if words[at : at + len(notice)] == notice:
+            starts.append(at)
+            at += len(notice)
+        else:
+            at += 1
+    return len(starts), starts[0]
+
+
+def test_copies_side_by_side_are_counted(spark):
+    cases = []
+    for name, template in license_scan.TEMPLATES.items():
+        cases += [(name, (template + " ") * n) for n in (1, 2, 5)]
+        cases += [(name, f"three words before {template} and {template} {template} then " + "more " * 300 + template)]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id long, text string")
+    rows = license_scan.licenses(docs, license_scan.template_table(spark)).collect()
+    found = {(r["doc_id"], r["license"]): (r["occurrences"], r["start"]) for r in rows}
+    for i, (name, text) in enumerate(cases):
+        assert found[(i, name)] == counted(text, name), (name, text[:80])
+    # Grants of a family hold most of one another; only one is whole.
+    assert {(r["doc_id"], r["license"]) for r in rows if r["containment"] == 1} == {(i, name) for i, (name, _) in enumerate(cases)}
+
+
+def test_edited_copies_keep_their_places(spark):
+    words = MIT.split()
+    cut, grown = " ".join(words[:1] + words[2:]), " ".join([*words[:12], "very", *words[12:]])
+    docs = spark.createDataFrame([(1, f"a b {cut} {grown} c {MIT}"), (2, f"{' '.join(words[:14])} {' '.join(words[14:])} {' '.join(words[14:])}")], "doc_id long, text string")
+    rows = {(r["doc_id"], r["license"]): r for r in license_scan.licenses(docs, license_scan.template_table(spark)).collect()}
+    assert rows[(1, "mit-grant")]["occurrences"] == 3 and rows[(1, "mit-grant")]["start"] == 2 + len(words) - 1 + len(words) + 1 + 1
+    assert rows[(2, "mit-grant")]["occurrences"] == 1 and rows[(2, "mit-grant")]["start"] == 0
+
+
 def test_the_main_path_has_no_python(spark, sf_dir):
     plan = license_scan.license_scan(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
