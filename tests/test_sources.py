@@ -4,6 +4,7 @@ import datetime as dt
 
 import league as L
 import pytest
+from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators import graph
@@ -123,3 +124,33 @@ def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert shared_folder(spark) == configured
+
+
+def rows_read(df):
+    """Rows that the scan of a finished query has handed on."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_one_match_is_found_without_reading_its_day(spark, tmp_path):
+    count = 6000
+    ids = spark.range(count, numPartitions=2).select(F.col("id").alias("match_id"))
+    teams = "map(cast(match_id * 2 AS string), named_struct('hasFormation', 1), cast(match_id * 2 + 1 AS string), named_struct('hasFormation', 1))"
+    rows = ids.selectExpr(
+        "match_id", "1 AS seq", "concat('2018-05-0', 1 + match_id % 2, ' 18:00:00') AS dateutc",
+        "concat('T', sha1(cast(match_id AS string)), ' - U, 1 - 0') AS label", "match_id * 2 AS winner", f"{teams} AS teamsData",
+        "repeat(sha2(cast(match_id AS string), 512), 4) AS venue",
+    )
+    path = str(tmp_path / "archive")
+    writers.append_matches(rows, path, group_bytes=1 << 16)
+    wanted = rows.filter("match_id = 1234").first()
+    title = wanted["label"].split(",")[0]
+    by_title = readers.find_matches(spark, path, "2018-05-01", title=title)
+    by_pair = readers.find_matches(spark, path, "2018-05-01", teams=(2469, 2468))
+    assert [r["match_id"] for r in by_title.collect()] == [1234] == [r["match_id"] for r in by_pair.collect()]
+    assert rows_read(by_title) < count / 20 and rows_read(by_pair) < count / 4
+    assert rows_read(readers.find_matches(spark, path, "2018-05-01", teams=(1, 3))) < count / 4
+    assert readers.find_matches(spark, path, "2018-05-02", title=title).count() == 0

@@ -106,5 +106,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def find_matches(spark: SparkSession, path: str, day: str, title: str | None = None, teams: tuple[int, int] | None = None) -> DataFrame:
+    """The archived matches of a day (year-month-day), of a title or of two teams in either order.
+
+    The day picks the folder, the rest reads only the row groups that may hold the match.
+    """
+    rows = spark.read.parquet(path).filter(F.col("match_date") == F.lit(day).cast("date"))
+    if title is not None:
+        rows = rows.filter(F.col("title") == title)
+    if teams is not None:
+        rows = rows.filter(F.col("pair") == "-".join(map(str, sorted(teams))))
+    return rows
+
+
 def read_requests(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.expressions import date_part
+from touchline.functions.expressions import pair_key
+from touchline.operators.matches import titled
 
 
 def write_graph(lists: DataFrame, ranks: DataFrame, path: str) -> None:
@@ -28,10 +29,21 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_matches(matches: DataFrame, path: str) -> None:
-    """Append raw match records to the archive, one folder per match day, which lookups ask for."""
-    dated = matches.withColumn("match_date", date_part(F.col("dateutc")))
-    dated.write.mode("append").partitionBy("match_date").parquet(path)
+def append_matches(matches: DataFrame, path: str, group_bytes: int | None = None) -> None:
+    """Append raw match records, with their title and pair of teams, to the archive for `readers.find_matches`.
+
+    One folder per match day. Within a day rows are sorted by title, so that a row group covers a range of
+    titles, and carry Bloom filters of titles and pairs; `group_bytes` is the size of a row group.
+    """
+    lo, hi = pair_key(F.col("first_team"), F.col("second_team"))
+    keyed = titled(matches).withColumn("pair", F.concat_ws("-", lo, hi)).drop("first_team", "second_team")
+    placed = keyed.repartitionByRange("match_date", "title").sortWithinPartitions("match_date", "title")
+    writer = placed.write.mode("append").partitionBy("match_date")
+    for column in ("title", "pair"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if group_bytes is not None:
+        writer = writer.option("parquet.block.size", group_bytes)
+    writer.parquet(path)
 
 
 def write_answers(answers: DataFrame, path: str) -> None:
