@@ -70,3 +70,46 @@ def test_silent_elements_end_where_they_are_closed_or_with_their_container():
     assert texts("<p>a</p><script>if (x < 1) '</div>'</script><p>b</p><style>no") == ["a", "b"]
     found = html_text.blocks("<div><h2>t<svg/></h2><video>no<h1>no</div>after</div>")
     assert [(b.text, b.heading) for b in found] == [("t", True), ("after", False)]
+
+
+PROSE = [" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma", "delta", "epsilon")]
+ARTICLE = "<article><h1>The title of it</h1>" + "".join(f"<p>{p}</p>" for p in PROSE) + "</article>"
+TEXT = " ".join(["The title of it", *PROSE])
+AROUND = "<nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav>{}<footer>&copy; us and all of ours</footer>"
+
+
+def test_a_container_around_the_page_does_not_outweigh_it():
+    for wrapper in (
+        "<form id='aspnetForm' action='x'>{}</form>",
+        "<div class='header-and-body'>{}</div>",
+        "<div class='meta-content search'>{}</div>",
+        "<section class='related'>{}</section>",
+    ):
+        assert main("<html><body>" + wrapper.format(AROUND.format(ARTICLE)) + "</body></html>") == TEXT, wrapper
+        assert main("<html><body>" + AROUND.format(wrapper.format(ARTICLE)) + "</body></html>") == TEXT, wrapper
+        named = ARTICLE.replace("<article>", "<div class='story'>").replace("</article>", "</div>")
+        assert main("<html><body>" + wrapper.format(AROUND.format(named)) + "</body></html>") == TEXT, wrapper
+
+
+def test_content_names_within_boilerplate_do_not_reset_it():
+    said = "I liked this a lot and would like to say so at some length, thank you for it."
+    for extra in (
+        f"<section class='comments'><article class='entry'><p>{said}</p></article><article class='entry'><p>{said}</p></article></section>",
+        f"<div id='comments'><div class='post'><div class='text'>{said}</div></div></div>",
+        "<section class='comments'>" + f"<article class='entry'><p>{said * 9}</p></article>" * 4 + "</section>",
+        f"<div class='sidebar'><div class='post'>{said}</div></div>",
+        f"<footer><div class='text'>{said}</div></footer>",
+        f"<div class='newsletter'><p class='text'>{said}</p></div>",
+    ):
+        assert main("<html><body>" + AROUND.format(ARTICLE + extra) + "</body></html>") == TEXT, extra[:60]
+        assert main("<html><body><form>" + AROUND.format(ARTICLE + extra) + "</form></body></html>") == TEXT, extra[:60]
+
+
+def test_marked_cells_close_by_nesting():
+    side = "<td class='sidebar'><table><tr><td>Poll of the day</td><td>Yes</td></tr></table>More of the side</td>"
+    for row in (f"<tr>{side}<td>{ARTICLE}</td></tr>", f"<tr><td>{ARTICLE}</td>{side}</tr>", f"<tr>{side.removesuffix('</td>')}<td>{ARTICLE}</tr>"):
+        assert main(f"<html><body><table>{row}</table></body></html>") == TEXT
+
+
+def test_a_quote_in_a_bare_value_is_a_character():
+    assert main("<article><p data-x=reader's>one</p><p title='a > b'>two</p><p title=\"it's\">three</p><p x=5\" y='>'>four</p></article>") == "one two three four"

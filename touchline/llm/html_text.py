@@ -1,9 +1,11 @@
 """Main text of web pages, from flat text blocks and a decision tree.
 
 A page is read once as a flat row of blocks: runs of text between block-level tags. A block has its words,
-the share of them inside links, the same of its neighbours, whether it is a heading, and what kind
-of container is nearest around it, by element name or by a word of its class, id or role. A decision tree,
-grown on the blocks of a few labelled example pages, says which blocks are main text.
+the share of them inside links, the same of its neighbours, whether it is a heading, what kind of container is
+nearest around it, by element name or by a word of its class, id or role, the share of the page's words that
+the innermost boilerplate container around it holds, and whether content or reader comments are anywhere
+around it. A decision tree, grown on the blocks of a few labelled example pages, says which blocks are main
+text: so a form around a whole page does not outweigh its article, nor an article within comments the comments.
 
 Defined results: a null or empty page has an empty text; markup cut off at the end of a page is markup; a closing
 tag without its opening one is ignored, and an element that is never closed ends with its container; rows
@@ -41,11 +43,16 @@ BOILERPLATE_NAMES = frozenset(
     "newsletter notice notices notification pager pagination popup promo promoted promotion recommended related replies reply respond responses search share sharing "
     "sidebar sidenav signup social sponsor sponsored subscribe subscription tags teaser toc toolbar topbar warning widget widgets".split()
 )
+#: What readers write, however it is marked within.
+COMMENT_NAMES = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
+#: Parts of tables and lists that are containers only if they are marked, and what closes them besides their own end.
+CELLS = {"td": ("td", "th", "tr"), "th": ("td", "th", "tr"), "li": ("li",)}
 CONTENT_NAMES = frozenset("article articlebody content entry main maintext post story text".split())
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    # A quote counts only behind an equals sign; elsewhere it is a character like others.
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>=]++|=(?!\s*[\"']))*+)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
     re.DOTALL,
 )
@@ -53,7 +60,7 @@ NAMING = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 NAME = re.compile(r"[a-z0-9]+")
 SPLIT_NAME = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "container", "heading"]
+FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "container", "heading", "share", "content", "comments"]
 
 
 @dataclass
@@ -64,39 +71,82 @@ class Block:
     #: 1 within main content, -1 within boilerplate, 0 if nothing says so.
     container: int
     heading: bool
+    #: Number of the innermost boilerplate container, 0 if there is none, and its share of the page's words.
+    within: int = 0
+    share: float = 0.0
+    #: Whether content, or reader comments, are around it.
+    content: bool = False
+    comments: bool = False
 
 
-def kind_of(name: str, rest: str) -> int | None:
-    """What an element says of its content; None if nothing."""
-    if name in BOILERPLATE_TAGS:
-        return -1
+@dataclass(frozen=True)
+class Place:
+    """An open container, and what it and those around it say."""
+
+    name: str = ""
+    container: int = 0
+    within: int = 0
+    content: bool = False
+    comments: bool = False
+
+
+def kind_of(name: str, rest: str) -> tuple[int | None, bool]:
+    """What an element says of its content, None if nothing, and whether it holds reader comments."""
+    parts = set()
     if "=" in rest and name not in ("html", "body"):
         found = " ".join(next(filter(None, m), "") for m in NAMING.findall(rest))
         parts = set(NAME.findall(SPLIT_NAME.sub(" ", found).lower()))
-        if parts & BOILERPLATE_NAMES:
-            return -1
-        if parts & CONTENT_NAMES:
-            return 1
-    return 1 if name in CONTENT_TAGS else None
+    comments = bool(parts & COMMENT_NAMES)
+    if name in BOILERPLATE_TAGS or parts & BOILERPLATE_NAMES:
+        return -1, comments
+    return (1 if name in CONTENT_TAGS or parts & CONTENT_NAMES else None), comments
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
     found: list[Block] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[Place] = []
+    #: For each boilerplate container the one around it; 0 is none.
+    outer = [0]
     pieces: list[tuple[str, bool]] = []
     heading = False
     links = 0
     hidden = False
+    nowhere = Place()
+
+    def add(text: str, linked: int, at: Place, heading: bool) -> None:
+        if text:
+            found.append(Block(text, text.count(" ") + 1, linked, at.container, heading, at.within, 0.0, at.content, at.comments))
 
     def close() -> None:
         nonlocal pieces
-        text = " ".join("".join(t for t, _ in pieces).split())
-        if text:
-            linked = sum(len(t.split()) for t, in_link in pieces if in_link)
-            found.append(Block(text, text.count(" ") + 1, linked, stack[-1][1] if stack else 0, heading))
+        linked = sum(len(t.split()) for t, in_link in pieces if in_link)
+        add(" ".join("".join(t for t, _ in pieces).split()), linked, stack[-1] if stack else nowhere, heading)
         pieces = []
 
+    def opened(name: str, rest: str) -> Place:
+        around = stack[-1] if stack else nowhere
+        kind, comments = kind_of(name, rest)
+        within = around.within
+        if kind == -1:
+            outer.append(within)
+            within = len(outer) - 1
+        return Place(name, around.container if kind is None else kind, within, around.content or kind == 1, around.comments or comments)
+
+    def leave(name: str) -> None:
+        """Closes the innermost container of a name, and what is open in it."""
+        if any(p.name == name for p in stack):
+            while stack.pop().name != name:
+                pass
+
+    def leave_cell(names: tuple[str, ...]) -> None:
+        """Closes a marked cell of the innermost table or list."""
+        for p in reversed(stack):
+            if p.name in names:
+                return leave(p.name)
+            if p.name in ("table", "ul", "ol"):
+                return None
+
     at, end = 0, len(page)
     while at < end:
         m = MARKUP.search(page, at)
@@ -113,19 +163,18 @@ def blocks(page: str) -> list[Block]:
         name = name.lower()
         closing = bool(m["end"] or m["end2"])
         empty = (m["rest"] or "").endswith("/")
-        if name in SILENT and not closing and empty and (name in FOREIGN or any(n in FOREIGN for n, _ in stack)):
+        if name in SILENT and not closing and empty and (name in FOREIGN or any(p.name in FOREIGN for p in stack)):
             continue
         if name in SILENT and name not in RAW or hidden and name in CONTAINERS:
             # A silent container and what is in it, up to its end or that of a container around it.
             if not closing and not (empty and name in CONTAINERS):
                 if not hidden:
                     close()
-                stack.append((name, 0))
+                stack.append(Place(name))
                 hidden = True
-            elif closing and any(name == n for n, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
-                if hidden and not (hidden := any(n in SILENT for n, _ in stack)) and name in CONTAINERS:
+            elif closing and any(p.name == name for p in stack):
+                leave(name)
+                if hidden and not (hidden := any(p.name in SILENT for p in stack)) and name in CONTAINERS:
                     links, heading = 0, False
             continue
         if hidden and not (name in RAW and not closing):
@@ -146,23 +195,31 @@ def blocks(page: str) -> list[Block]:
                 heading = not closing
             elif name != "br":
                 heading = False
+        rest = m["rest"] or ""
         if name in CONTAINERS:
-            if not closing:
-                if not (m["rest"] or "").endswith("/"):
-                    own = kind_of(name, m["rest"] or "")
-                    stack.append((name, own if own is not None else (stack[-1][1] if stack else 0)))
-            elif any(name == n for n, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
-        elif not closing and name in ("p", "section", "td", "li", "h1", "h2", "h3", "h4", "h5", "h6") and m["rest"] and kind_of(name, m["rest"]) == -1:
+            if closing:
+                leave(name)
+            elif not empty:
+                stack.append(opened(name, rest))
+        elif name in CELLS or name == "tr":
+            leave_cell(CELLS.get(name, CELLS["td"]) if not closing else (name,) if name in CELLS else ("td", "th"))
+            if not closing and rest and kind_of(name, rest)[0] == -1:
+                stack.append(opened(name, rest))
+        elif not closing and name in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and rest and kind_of(name, rest)[0] == -1:
             # A marked block: boilerplate until it closes, or the next one opens.
             over = re.compile(rf"</?{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             stop = over.start() if over else end
-            text = " ".join(html.unescape(MARKUP.sub(" ", page[at:stop])).split())
-            if text:
-                found.append(Block(text, text.count(" ") + 1, 0, -1, False))
+            add(" ".join(html.unescape(MARKUP.sub(" ", page[at:stop])).split()), 0, opened(name, rest), False)
             at = stop
     close()
+    held = [0] * len(outer)
+    for b in found:
+        held[b.within] += b.words
+    total = max(1, sum(held))
+    for k in range(len(outer) - 1, 0, -1):
+        held[outer[k]] += held[k] if outer[k] else 0
+    for b in found:
+        b.share = held[b.within] / total if b.within else 0.0
     return found
 
 
@@ -176,6 +233,8 @@ def features(page: list[Block]) -> np.ndarray:
     table[:-1, 4], table[:-1, 5] = words[1:], density[1:]
     table[:, 6] = [b.container for b in page]
     table[:, 7] = [b.heading for b in page]
+    table[:, 8] = [b.share for b in page]
+    table[:, 9], table[:, 10] = [b.content for b in page], [b.comments for b in page]
     return table
 
 
@@ -244,12 +303,14 @@ EXAMPLES: list[list[tuple[bool, str, int, int]]] = [
         (False, "<header>{}</header>", 3, 0), (False, "<header><p>{}</p></header>", 12, 0), (False, "<nav><ul><li>{}</li></ul></nav>", 1, 1), (False, "<nav><ul><li>{}</li></ul></nav>", 2, 2), (False, "<nav>{}</nav>", 9, 0),
         (False, "<div class='ad'>{}</div>", 8, 0), (True, "<article><h1>{}</h1></article>", 7, 0), (True, "<article><p>{}</p></article>", 40, 0), (True, "<article><p>{}</p></article>", 1, 0), (True, "<article><p>{}</p></article>", 90, 3),
         (True, "<article><p>{}</p></article>", 5, 0), (True, "<article><p>{}</p></article>", 4, 4), (False, "<article><div class='ad'>{}</div></article>", 30, 0), (True, "<article><ul><li>{}</li></ul></article>", 6, 0), (True, "<article><ul><li>{}</li></ul></article>", 2, 1), (False, "<article><aside>{}</aside></article>", 25, 0),
-        (True, "<article><p>{}</p></article>", 200, 0), (False, "<section class='comments'><p>{}</p></section>", 50, 0), (False, "<section class='comments'><p>{}</p></section>", 3, 0), (False, "<form>{}</form>", 4, 0), (False, "<footer>{}</footer>", 20, 0), (False, "<footer>{}</footer>", 3, 3),
+        (True, "<article><p>{}</p></article>", 200, 0), (False, "<section class='comments'><p>{}</p></section>", 50, 0), (False, "<section class='comments'><p>{}</p></section>", 3, 0),
+        (False, "<section class='comments'><article class='entry'><p>{}</p></article></section>", 40, 0), (False, "<div class='sidebar'><div class='post'>{}</div></div>", 15, 0), (False, "<form>{}</form>", 4, 0), (False, "<footer>{}</footer>", 20, 0), (False, "<footer>{}</footer>", 3, 3),
     ],
     # A page whose containers are only named.
     [
         (False, "<div class='cookie-notice'>{}</div>", 30, 2), (False, "<div id='menu'>{}</div>", 5, 5), (False, "<div class='sidebar'>{}</div>", 60, 0), (True, "<div class='post'><h2>{}</h2></div>", 4, 0), (True, "<div class='post'>{}</div>", 12, 0),
-        (True, "<div class='post'><p>{}</p></div>", 70, 12), (True, "<div class='post'><p>{}</p></div>", 3, 0), (False, "<div class='post'><div class='share'>{}</div></div>", 6, 3), (False, "<div id='comments'><p>{}</p></div>", 80, 0), (False, "<div class='footer'>{}</div>", 15, 1),
+        (True, "<div class='post'><p>{}</p></div>", 70, 12), (True, "<div class='post'><p>{}</p></div>", 3, 0), (False, "<div class='post'><div class='share'>{}</div></div>", 6, 3), (False, "<div id='comments'><p>{}</p></div>", 80, 0), (False, "<div id='comments'><div class='text'>{}</div></div>", 60, 0),
+        (False, "<div class='footer'>{}</div>", 15, 1), (False, "<div class='footer'><div class='text'>{}</div></div>", 15, 0),
     ],
     # A page that says nothing of its parts.
     [
@@ -263,28 +324,37 @@ EXAMPLES: list[list[tuple[bool, str, int, int]]] = [
 
 
 #: The first pages' parts say what they are wherever they stand, so they are also shuffled and resized.
-NAMED_PAGES, VARIANTS = 2, 30
+NAMED_PAGES, VARIANTS = 2, 60
+#: Containers that may stand around most of such a page, whatever they are called.
+WRAPPERS = ["<form>{}</form>", "<div class='header-and-body'>{}</div>", "<div class='meta-content search'>{}</div>", "<section class='related'>{}</section>"]
 
 
-def _rendered(parts: list[tuple[bool, str, int, int]]) -> str:
+def _rendered(parts: list[tuple[bool, str, int, int]], wrapper: str = "{}", outside: int = 0) -> str:
+    """The page's markup; its last parts may stand `outside` the wrapper."""
     found = []
     for _, around, words, linked in parts:
         link = f"<a href='/x'>{_prose(linked)}</a> " if linked else ""
         found.append(around.format(link + _prose(words - linked)))
-    return "<html><body>" + "".join(found) + "</body></html>"
+    inside = len(found) - outside
+    return "<html><body>" + wrapper.format("".join(found[:inside])) + "".join(found[inside:]) + "</body></html>"
 
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the example pages' blocks."""
     rng = np.random.default_rng(3)
-    pages = list(EXAMPLES)
+    pages = [(page, _rendered(page)) for page in EXAMPLES]
     for page in EXAMPLES[:NAMED_PAGES]:
-        for _ in range(VARIANTS):
+        for k in range(VARIANTS):
             parts = [page[i] for i in rng.permutation(len(page))]
             scale = np.exp(rng.uniform(-2, 2, len(parts)))
-            pages.append([(k, a, max(1, round(n * x)), min(max(1, round(n * x)), round(m * x))) for (k, a, n, m), x in zip(parts, scale, strict=True)])
-    tables = [features(blocks(_rendered(p))) for p in pages]
-    return np.concatenate(tables), np.array([kept for p in pages for kept, *_ in p])
+            parts = [(k, a, max(1, round(n * x)), min(max(1, round(n * x)), round(m * x))) for (k, a, n, m), x in zip(parts, scale, strict=True)]
+            wrapper = WRAPPERS[k // 2 % len(WRAPPERS)] if k % 2 else "{}"
+            # What stands outside is none of the page's text.
+            parts.sort(key=lambda p: not p[0] and p[2] < 10)
+            small = sum(not p[0] and p[2] < 10 for p in parts)
+            pages.append((parts, _rendered(parts, wrapper, int(rng.integers(0, small + 1)) if k % 2 else 0)))
+    tables = [features(blocks(markup)) for _, markup in pages]
+    return np.concatenate(tables), np.array([kept for p, _ in pages for kept, *_ in p])
 
 
 def trained() -> Tree:
