@@ -62,7 +62,7 @@ def toy():
     return docs, items
 
 
-@pytest.mark.parametrize("settings", [search.Settings(), search.Settings(bits=1, probes=1, levels=2, block_docs=8, items=3, broadcast_rows=0, block_bytes=64), search.Settings(levels=1)])
+@pytest.mark.parametrize("settings", [search.Settings(), search.Settings(bits=1, probes=1, levels=2, block_docs=8, items=3, block_bytes=64), search.Settings(levels=1)])
 def test_all_settings_match_brute_force(spark, settings):
     docs, items = toy()
     table = spark.createDataFrame([(*d, 1, "b") for d in docs], "doc_id long, text string, key int, bound string").repartition(5)

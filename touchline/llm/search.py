@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import body, bounded_batches, mix, portions, row_key, small
+from touchline.llm.common import body, bounded_batches, mix, portions, row_key
 from touchline.llm.near_dedup import powers
 from touchline.session import stored
 
@@ -44,17 +44,15 @@ BLOCK = "width int, docs int, keys binary, lengths binary, slices binary"
 class Settings:
     top: int = 50
     #: Bits of a signature for each of its entries, at least; at most twice as many, as sizes are powers of two.
-    bits: int = 12
+    bits: int = 20
     #: Bits that an entry sets.
-    probes: int = 4
+    probes: int = 10
     #: Frequencies up to 2 ** (levels - 1) have entries of their own.
     levels: int = 5
     block_docs: int = 1024
     block_bytes: int = 1 << 20
     #: Items sent against all documents together.
     items: int = 1000
-    #: (item, document) pairs up to which the documents to score are broadcast.
-    broadcast_rows: int = 1_000_000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,36 +296,71 @@ def _reaching(batches, scorer: Scoring, least: np.ndarray, settings: Settings):
         yield _pairs(item, np.frombuffer(block["keys"], "<i8")[place], found[item, place].astype(np.int64))
 
 
+HELD = "doc_id long, key long, slack long, places array<int>, tf array<int>"
+
+
+def _held(batches, scorer: Scoring, carried: list[str]):
+    """Documents with a term that is asked for: these terms, and how often each occurs."""
+    for batch in batches:
+        starts, places, counts, rows, slacks = [0], [], [], [], []
+        for a, of, terms, tf, lengths in frequencies(batch.column("text").to_pylist()):
+            hit, at = matched(terms, scorer.query)
+            docs, sizes = np.unique(of[hit], return_counts=True)
+            places.append(at)
+            counts.append(tf[hit])
+            rows.append(a + docs)
+            slacks.append(scorer.slack(lengths[docs]))
+            starts += (starts[-1] + np.cumsum(sizes)).tolist()
+        if len(starts) == 1:
+            continue
+        rows, offsets = np.concatenate(rows), pa.array(starts, pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(v), pa.int32())) for v in (places, counts)]
+        kept = [batch.column(c).take(pa.array(rows)) for c in ("doc_id", "key")]
+        more = [batch.column(c).take(pa.array(rows)) for c in carried]
+        slack = pa.array(np.concatenate(slacks), pa.int64())
+        yield pa.RecordBatch.from_arrays([*kept, slack, *lists, *more], ["doc_id", "key", "slack", "places", "tf", *carried])
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each list begins and ends, and the values of all."""
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+
+
 def _scored(batches, scorer: Scoring):
+    row = np.zeros(len(scorer.query.terms), np.int64)
     for batch in batches:
-        texts, wanted, ids = (batch.column(c).to_pylist() for c in ("text", "items", "doc_id"))
-        items, docs, scores = [], [], []
-        for a, of, terms, tf, lengths in frequencies(texts):
-            hit, places = matched(terms, scorer.query)
-            slack = scorer.slack(lengths)
-            gains = scorer.weights[places] * scorer.gain(tf[hit], slack[of[hit]])
-            starts = np.searchsorted(of[hit], np.arange(len(lengths) + 1))
-            row = np.zeros(len(scorer.query.terms), np.int64)
-            for d in range(len(lengths)):
-                own = slice(starts[d], starts[d + 1])
-                row[places[own]] = gains[own]
-                for item in wanted[a + d]:
-                    score = int(row[scorer.query.items[item]].sum())
-                    if score > 0:
-                        items.append(item)
-                        docs.append(ids[a + d])
-                        scores.append(score)
-                row[places[own]] = 0
-        arrays = [pa.array(items, pa.int32()), pa.array(docs, pa.int64()), pa.array(scores, pa.int64())]
+        (at, places), (_, tf), (to, wanted) = (_flat(batch.column(c)) for c in ("places", "tf", "items"))
+        slack = np.repeat(batch.column("slack").to_numpy(), np.diff(at))
+        gains = scorer.weights[places] * scorer.gain(tf.astype(np.int64), slack)
+        scores = np.zeros(len(wanted), np.int64)
+        for d in range(batch.num_rows):
+            own = places[at[d] : at[d + 1]]
+            row[own] = gains[at[d] : at[d + 1]]
+            for k in range(to[d], to[d + 1]):
+                scores[k] = row[scorer.query.items[wanted[k]]].sum()
+            row[own] = 0
+        some = np.flatnonzero(scores)
+        of = np.repeat(np.arange(batch.num_rows), np.diff(to))[some]
+        arrays = [pa.array(wanted[some], pa.int32()), batch.column("doc_id").take(pa.array(of)), pa.array(scores[some], pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, ["item", "doc_id", "score"])
 
 
-def exact(docs: DataFrame, pairs: DataFrame, count: int, scorer: Scoring, settings: Settings) -> DataFrame:
-    """(item, doc_id, score) of the documents that the pairs (item, key) name, where above 0."""
+def exact(docs: DataFrame, pairs: DataFrame, scorer: Scoring, few: bool) -> DataFrame:
+    """(item, doc_id, score) of the documents that the pairs (item, key) name, where above 0.
+
+    `few` pairs, whose number has a bound, are brought to the texts. However many others meet what the
+    documents hold of the query, so that no text is shuffled.
+    """
     wanted = pairs.groupBy("key").agg(F.collect_list("item").alias("items"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), body().alias("text"))
-    rows = rows.join(small(wanted, count, settings.broadcast_rows), "key").select("doc_id", "text", "items")
-    return rows.mapInArrow(partial(_scored, scorer=scorer), "item int, doc_id long, score long")
+    if few:
+        rows = rows.join(F.broadcast(wanted), "key").select("doc_id", "key", "text", "items")
+        held = rows.mapInArrow(partial(_held, scorer=scorer, carried=["items"]), f"{HELD}, items array<int>")
+    else:
+        held = rows.mapInArrow(partial(_held, scorer=scorer, carried=[]), HELD).join(wanted.hint("merge"), "key")
+    held = held.select("doc_id", "slack", "places", "tf", "items")
+    return held.mapInArrow(partial(_scored, scorer=scorer), "item int, doc_id long, score long")
 
 
 def ranked(scores: DataFrame, top: int) -> DataFrame:
@@ -346,12 +379,12 @@ def found(docs: DataFrame, blocks: DataFrame, texts: list[str], settings: Settin
     order = Window.partitionBy("item").orderBy(F.desc("bound"), "key")
     highest = highest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= settings.top)
     highest = stored(highest.select("item", "key"), "search-highest")
-    tried = ranked(exact(docs, highest, settings.top * len(texts), scorer, settings), settings.top)
+    tried = ranked(exact(docs, highest, scorer, True), settings.top)
     least = np.ones(len(texts))
     for r in tried.filter(F.col("rank") == settings.top).select("item", "score").collect():
         least[r["item"]] = r["score"]
     near = stored(blocks.mapInArrow(partial(_reaching, scorer=scorer, least=least, settings=settings), pairs), "search-candidates")
-    return ranked(exact(docs, near, near.count(), scorer, settings), settings.top)
+    return ranked(exact(docs, near, scorer, False), settings.top)
 
 
 def search(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), blocks: DataFrame | None = None) -> DataFrame:
