@@ -233,12 +233,15 @@ def captures(records: DataFrame) -> DataFrame:
     whole = records.filter("whole")
     is_main = F.col("kind").isin("response", "revisit")
     mains, others = whole.filter(is_main), whole.filter(F.col("kind").isin("request", "metadata"))
-    links = others.select(F.col("record_id").alias("part"), F.explode("concurrent").alias("main"))
-    links = links.unionByName(mains.select(F.explode("concurrent").alias("part"), F.col("record_id").alias("main")))
+    # Names alone, so that payloads are not read for each step.
+    names = stored(whole.select("record_id", is_main.alias("is_main"), "kind", "concurrent"), "warc-names")
+    main_ids = names.filter("is_main").select(F.col("record_id").alias("main"))
+    links = names.filter("kind IN ('request', 'metadata')").select(F.col("record_id").alias("part"), F.explode("concurrent").alias("main"))
+    links = links.unionByName(names.filter("is_main").select(F.explode("concurrent").alias("part"), F.col("record_id").alias("main")))
     # A metadata record that names its request belongs where the request does.
     linked = stored(links.distinct(), "warc-links")
-    known = linked.join(mains.select(F.col("record_id").alias("main")), "main", "left_semi")
-    astray = linked.join(mains.select(F.col("record_id").alias("main")), "main", "left_anti")
+    known = linked.join(main_ids, "main", "left_semi")
+    astray = linked.join(main_ids, "main", "left_anti")
     through = astray.withColumnRenamed("main", "via").join(known.withColumnRenamed("part", "via"), "via").select("part", "main")
     linked = known.unionByName(through).distinct()
     text = F.struct("record_id", "target", F.col("block").cast("string").alias("text"))
