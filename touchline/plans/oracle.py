@@ -573,6 +573,7 @@ ORACLE["state_snapshot"] = (
 ORACLE["answer_documents"] = (
     "SELECT request_id, match_found, teams_playing, gameweek FROM (" + ORACLE["match_info"] + ")"
 )
+ORACLE["source_edges_header"] = ORACLE["source_edges"]
 ORACLE["source_doodles"] = ORACLE["doodle_valid_count"]
 ORACLE["source_ranks"] = ORACLE["pagerank_step"]
 ORACLE["source_stroke_stats"] = ORACLE["stroke_country_counts"]

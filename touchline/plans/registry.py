@@ -387,7 +387,7 @@ def training_replace(spark, sf):
     """Rows of the first half of the season replaced by newer ones."""
     rows = model.training_frame(_rated(spark, sf), fx.players(spark, sf), "all")
     rows = rows.select("player_id", "seq", "match_id", "diff", "rating")
-    half = F.lit(19723 + 15)
+    half = rows.agg((F.min("seq") + F.max("seq")) / 2).scalar()
     old = model.latest_per_player(rows.filter(F.col("seq") < half))
     new = model.latest_per_player(rows.filter(F.col("seq") >= half))
     return model.replace_history(old, new).select("player_id", "match_id", "diff", r6("rating"))
@@ -465,19 +465,25 @@ def cluster_silhouette(spark, sf):
 
 
 def _season(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """State after all matches, written to the shared folder as a run of the engine leaves it."""
+    """State after all matches: history and ratings are written, what follows from them is left to the plan that asks."""
     players = fx.players(spark, sf)
     history = _history(spark, sf)
     rated = stored(folds.ratings(history), "rated")
     return {
         "players": players,
-        "profile": stored(_profile(spark, sf, history), "profile"),
-        "ratings": stored(folds.current_ratings(rated), "ratings"),
-        "chemistry": stored(folds.chemistry(rated), "chemistry"),
-        "line": _line(spark, rated, players),
+        "profile": _profile(spark, sf, history),
+        "ratings": folds.current_ratings(rated),
+        "chemistry": folds.chemistry(rated),
+        "line": model.rating_line(model.training_frame(rated, players)),
     }
 
 
+def _clustered_season(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The same for the cluster term, which asks for the profile several times."""
+    season = _season(spark, sf)
+    return season | {"profile": stored(season["profile"], "profile")}
+
+
 @query
 def lineup_validity(spark, sf):
     return rq.lineup_validity(rq.request_lineups(fx.win_requests(spark, sf), fx.players(spark, sf)))
@@ -517,7 +523,7 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def win_chance(spark, sf):
     """With the cluster term."""
-    season = _season(spark, sf)
+    season = _clustered_season(spark, sf)
     groups = model.cluster_players(season["profile"])
     out = rq.win_chance(_requests(spark, sf), **season, clusters=groups)
     return out.select(
@@ -538,7 +544,7 @@ def win_chance_plain(spark, sf):
 
 @query
 def cluster_fallback(spark, sf):
-    season = _season(spark, sf)
+    season = _clustered_season(spark, sf)
     groups = model.cluster_players(season["profile"])
     lineups = rq.request_lineups(fx.win_requests(spark, sf), season["players"])
     coefficients = rq.mean_chemistry(lineups, season["profile"], season["chemistry"])
@@ -553,14 +559,14 @@ def _given_clusters(season: dict[str, DataFrame]) -> DataFrame:
 @query
 def win_chance_given(spark, sf):
     """With the cluster term, for given clusters."""
-    season = _season(spark, sf)
+    season = _clustered_season(spark, sf)
     out = rq.win_chance(_requests(spark, sf), **season, clusters=_given_clusters(season))
     return out.select("request_id", "status", r6("chance_1", 4), r6("chance_2", 4))
 
 
 @query
 def cluster_fallback_given(spark, sf):
-    season = _season(spark, sf)
+    season = _clustered_season(spark, sf)
     lineups = rq.request_lineups(fx.win_requests(spark, sf), season["players"])
     coefficients = rq.mean_chemistry(lineups, season["profile"], season["chemistry"])
     out = rq.cluster_fallback(lineups, season["profile"], coefficients, season["ratings"], _given_clusters(season))
@@ -760,6 +766,14 @@ def source_edges(spark, sf):
     return graph.edge_copies(readers.read_edges(spark, path))
 
 
+@query
+def source_edges_header(spark, sf):
+    """Edges in files that begin with a header line without a mark."""
+    path = scratch_path(spark, "edges")
+    fx.edges(spark, sf).select("src", "dst").write.option("header", True).option("sep", "\t").csv(path)
+    return graph.edge_copies(readers.read_edges(spark, path, header_lines=1))
+
+
 @query
 def source_ranks(spark, sf):
     """Adjacency and ranks written together, the ranks also as text, and read back."""
