@@ -50,7 +50,7 @@ class Settings:
     #: Frequencies up to 2 ** (levels - 1) have entries of their own.
     levels: int = 5
     block_docs: int = 1024
-    block_bytes: int = 1 << 20
+    block_bytes: int = 1 << 18
     #: Items sent against all documents together.
     items: int = 1000
 
@@ -100,7 +100,7 @@ def probed(entries: np.ndarray, width: int | np.ndarray, probes: int) -> np.ndar
     """The bits of each entry, a row for each, in signatures of a power of two of bits."""
     first, step = entries & np.uint64(0xFFFFFFFF), entries >> np.uint64(32) | np.uint64(1)
     mask = np.asarray(width, np.uint64)[..., None] - np.uint64(1)
-    return ((first[:, None] + np.arange(probes, dtype=np.uint64) * step[:, None]) & mask).astype(np.int64)
+    return ((first[:, None] + np.arange(probes, dtype=np.uint64) * step[:, None]) & mask).astype(np.int32 if np.max(width) < 1 << 31 else np.int64)
 
 
 class Pending:
@@ -134,7 +134,7 @@ def _blocks(batches, settings: Settings):
     for batch in batches:
         texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
         full = []
-        for a, of, terms, tf, lengths in frequencies(texts):
+        for a, of, terms, tf, lengths in frequencies(texts, 200_000):
             level = np.minimum(np.log2(tf).astype(np.int64) + 1, settings.levels)
             entries, owner = [], []
             for k in range(settings.levels):
@@ -152,7 +152,7 @@ def _blocks(batches, settings: Settings):
                 place = waiting.setdefault(width, Pending(width, settings))
                 place.keys.append(keys[a + d])
                 place.lengths.append(int(lengths[d]))
-                place.bits.append(np.unique(bits[ends[d] - sizes[d] : ends[d]]))
+                place.bits.append(bits[ends[d] - sizes[d] : ends[d]].flatten())
                 if len(place.keys) >= place.limit:
                     full.append(place.block())
         if full:
@@ -423,16 +423,16 @@ WITH d AS (
 ), q AS (
     SELECT iid, item_id, unnest(terms) AS term FROM i
 ), size AS (
-    SELECT count(*)::BIGINT AS N, sum(len(terms))::BIGINT AS L FROM d WHERE len(terms) > 0
+    SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS length FROM d WHERE len(terms) > 0
 ), tf AS (
-    SELECT rid, doc_id, len(terms)::BIGINT AS n, term, count(*)::BIGINT AS tf
+    SELECT rid, doc_id, len(terms)::BIGINT AS own, term, count(*)::BIGINT AS tf
     FROM (SELECT rid, doc_id, terms, unnest(terms) AS term FROM d)
     WHERE term IN (SELECT term FROM q) GROUP BY rid, doc_id, terms, term
 ), w AS (
-    SELECT term, floor(1000 * ln((2 * any_value(N) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
     FROM tf, size GROUP BY term
 ), s AS (
-    SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * N) // L))))::BIGINT AS score
+    SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * own * docs) // length))))::BIGINT AS score
     FROM q JOIN tf USING (term) JOIN w USING (term), size GROUP BY iid, item_id, rid, doc_id
 ), r AS (
     SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
