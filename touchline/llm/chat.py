@@ -22,6 +22,7 @@ import re
 from dataclasses import dataclass
 from functools import partial
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,19 +84,10 @@ def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]
     return mask
 
 
-def masked_texts(formatted: str, starts: list[int], ends: list[int], mask: list[bool]) -> list[str]:
+def masked_texts(formatted: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarray) -> list[str]:
     """The unescaped text of every run of tokens under the mask."""
-    found, begin, at = [], None, 0
-    for s, e, on in zip(starts, ends, mask, strict=True):
-        if on:
-            begin = s if begin is None else begin
-            at = max(at, e)
-        elif begin is not None:
-            found.append(unescape(formatted[begin:at]))
-            begin = None
-    if begin is not None:
-        found.append(unescape(formatted[begin:at]))
-    return found
+    edge = np.flatnonzero(np.diff(np.asarray(mask, bool), prepend=False, append=False))
+    return [unescape(formatted[int(starts[a]) : int(np.max(ends[a:b]))]) for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
 
 def load(data: str):
@@ -124,9 +116,10 @@ def _formatted(batches, data, settings: Settings):
     def encoded(last: bool):
         text, spans, roles = render(turns)
         e = tokenizer.encode(text, add_special_tokens=False)
-        offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
+        ids = np.array(e.ids, np.int32)
+        offsets = np.fromiter(chain.from_iterable(e.offsets), np.int32, 2 * len(ids)).reshape(-1, 2)
         mask = loss_mask(offsets[:, 0], offsets[:, 1], [s for s, r in zip(spans, roles, strict=True) if r == settings.trained_role])
-        return (conv, piece, last, text, e.ids, offsets[:, 0].astype(np.int32), offsets[:, 1].astype(np.int32), mask)
+        return (conv, piece, last, text, ids, np.ascontiguousarray(offsets[:, 0]), np.ascontiguousarray(offsets[:, 1]), mask)
 
     def flush(rows):
         columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
@@ -163,7 +156,10 @@ def _digested(batches):
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
         rows = []
-        for conv_id, last, formatted, starts, ends, loss in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "last", "formatted", "starts", "ends", "loss")), strict=True):
+        borders = batch.column("starts").offsets.to_numpy()
+        flat = [batch.column(c).values.to_numpy(zero_copy_only=False) for c in ("starts", "ends", "loss")]
+        for k, (conv_id, last, formatted) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("conv_id", "last", "formatted")), strict=True)):
+            starts, ends, loss = (v[borders[k] : borders[k + 1]] for v in flat)
             for role, text in parse(formatted):
                 now["n"] += 1
                 now["turns"].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
@@ -172,7 +168,7 @@ def _digested(batches):
                 now["loss"].update(text.encode("utf-8", "surrogatepass"))
             now["formatted"] += len(formatted)
             now["tokens"] += len(loss)
-            now["masked"] += sum(loss)
+            now["masked"] += int(loss.sum())
             if last:
                 rows.append((conv_id, now["n"], now["turns"].hexdigest(), now["chars"], now["loss"].hexdigest(), now["formatted"], now["tokens"], now["masked"]))
                 now = fresh()
@@ -201,4 +197,22 @@ def chat(spark, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return digests(formatted(rows.unionByName(extra)))
+    return digests(formatted(rows.unionByName(extra))).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+SQL = r"""
+WITH c AS (
+    SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+    -- An escape lengthens a text by one character for each control string, escaped before or not.
+    SELECT *, len(regexp_extract_all(role || chr(0) || text, '<(\\*)s>|<(\\*)t>|<(\\*)/s>|\[(\\*)INST\]|\[(\\*)/INST\]|<(\\*)<SYS>>|<(\\*)</SYS>>|<(\\*)\|endoftext\|>|<(\\*)\|startoftext\|>|<(\\*)\|im_start\|>|<(\\*)\|im_end\|>|<(\\*)unk>|<(\\*)pad>')) AS escapes
+    FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length(role) + length(text) + escapes + 10)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+from touchline.llm.chat import SQL as CHAT_SQL
 from touchline.llm.chat import chat
 from touchline.llm.decontaminate import decontaminate
 from touchline.llm.fingerprint import fingerprint
@@ -16,6 +16,7 @@ from touchline.llm.search import ranked_search
 from touchline.llm.sharding import sharding
 from touchline.llm.spelling import spelling
 from touchline.llm.toxicity import toxicity
+from touchline.llm.twins import DECONTAMINATE, NEAR_DEDUP
 from touchline.llm.warc import SQL as WARC_SQL
 from touchline.llm.warc import warc
 
@@ -33,7 +34,12 @@ QUERIES = {
     "op11_warc": warc,
     "op12_spelling": spelling,
     "op13_search": ranked_search,
-    "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {"op11_warc": WARC_SQL, "op13_search": SEARCH_SQL}
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": DECONTAMINATE,
+    "op5_near_dedup": NEAR_DEDUP,
+    "op9_chat": CHAT_SQL,
+    "op11_warc": WARC_SQL,
+    "op13_search": SEARCH_SQL,
+}
