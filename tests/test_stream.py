@@ -236,6 +236,28 @@ def test_a_match_touches_a_share_of_the_pairs(spark, tmp_path):
     assert len(touched) <= people.count() < 256 / 4
 
 
+def test_a_late_event_reads_the_parts_of_its_match_and_players(spark, tmp_path, monkeypatch):
+    records, events = season(games=4)
+    lines = [json.loads(x) for x in lines_of(records, events)]
+    heads = [i for i, x in enumerate(lines) if "teamsData" in x]
+    late = {**lines[heads[1] - 1], "matchId": records[0]["match_id"], "position": 10**6}
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False, parts=64)
+    engine.process(as_frame(spark, [json.dumps(x) for x in lines if x is not lines[heads[1] - 1]]), 0)
+    read, real = [], S.LogTable.read
+
+    def watched(self, draft, parts=None, since=0):
+        read.append((self.name, parts))
+        return real(self, draft, parts, since)
+
+    monkeypatch.setattr(S.LogTable, "read", watched)
+    engine.process(as_frame(spark, [json.dumps(late)]), 1)
+    parts = dict(read)
+    assert set(parts) == {"event", "match", "history", "rated"}
+    assert len(parts["event"]) == len(parts["match"]) == 1
+    people = {p for r in records for side in r["teamsData"].values() for k in ("lineup", "bench") for p in (e["playerId"] for e in side["formation"][k])}
+    assert len(parts["history"]) <= len(people | {4, 9}) and len(parts["rated"]) <= 3
+
+
 def in_sources(records, events, sources):
     """Every match's lines in the source that `sources` names for it, positions rising over all."""
     out, at = [], 0
