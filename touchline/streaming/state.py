@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 FAN = 8
 KEPT = 2
-PARTS = 32
+#: Parts of a table unless the engine is told otherwise; a part of a large state should hold some hundred megabytes.
+PARTS = 8
 
 
 def _at(spark: SparkSession, path: str):
