@@ -93,3 +93,43 @@ def test_other_numbers_of_shards(spark, shards):
     rows = [(i, "w" * (i * 7 % 50)) for i in range(60)]
     found = sharding.shards(rows_of(spark, rows), sharding.Settings(shards=shards)).collect()
     assert set(checked(rows, found, shards)) == set(range(shards))
+
+
+def test_rebalancing_ends_where_no_edit_helps():
+    size = {s: 1000 + (s * s * 7919) % 99_991 for s in range(3000)}
+    now = sharding.rebalanced({}, size, 16)
+    held = defaultdict(list)
+    for s, shard in now.items():
+        held[shard].append(size[s])
+    sums = {shard: sum(x) for shard, x in held.items()}
+    high, low = max(sums, key=sums.get), min(sums, key=sums.get)
+    gap = sums[high] - sums[low]
+    assert not any(0 < x < gap for x in held[high])
+    assert not any(0 < x - y < gap for x in held[high] for y in held[low])
+
+
+def test_a_slot_with_many_small_rows_is_cut(spark):
+    rows = [(i, None if i % 2 else "") for i in range(2000)] + [(5, "")] * 500 + [(i, f"own text {i} " * 40) for i in range(5000, 6500)]
+    found = sharding.shards(rows_of(spark, rows)).collect()
+    checked(rows, found)
+    per_slot = Counter(r["virtual_slot"] for r in found)
+    assert max(per_slot.values()) * 16 <= len(rows)
+
+
+def test_versions_are_read_back_and_edited(spark, tmp_path):
+    folder = str(tmp_path / "maps")
+    rows = [(i, f"text {i} " * (i % 40)) for i in range(1500)]
+    first = {r["doc_id"]: r for r in sharding.shards(rows_of(spark, rows), folder=folder).collect()}
+    version, one = sharding.newest_map(spark, folder)
+    assert version == 2 and set(one.values()) == set(range(16))
+    # The same rows leave the map as it is.
+    again = {r["doc_id"]: r for r in sharding.shards(rows_of(spark, rows), folder=folder).collect()}
+    version, two = sharding.newest_map(spark, folder)
+    assert version == 3 and two == one and again == first
+    # Rows that come move few of the others.
+    more = rows + [(i, f"more {i} " * (i % 40)) for i in range(2000, 2150)]
+    grown = sharding.shards(rows_of(spark, more), folder=folder).collect()
+    checked(more, grown)
+    moved = sum(r["shard"] != first[r["doc_id"]]["shard"] for r in grown if r["doc_id"] in first)
+    assert moved < len(rows) / 5
+    assert sharding.newest_map(spark, str(tmp_path / "none")) == (0, {})

@@ -1,13 +1,13 @@
 """Sharding by fixed virtual slots.
 
 A record's text is hashed into one of `slots` slots. Bytes and rows are summed per slot, and a slot-to-shard
-map, stored with its version in the shared folder, says where each slot lies. A new version is the one
-before with single slots moved, or exchanged, from the fullest shard to the emptiest until no edit brings
-them nearer. Rows never move except with their slot.
+map, stored with its version, says where each slot lies. The first version deals the slots out in turn. A new
+version is the newest one of its folder, read back, with single slots moved, or exchanged, from the fullest shard
+to the emptiest until no edit brings them nearer. Rows never move except with their slot.
 
-Equal texts share a slot. A slot that holds more than a quarter of a shard is hot: it is cut into `parts`
-slots by the document id and, for a document that repeats, the copy. There are at most four hot slots for
-each shard, so the map has at most slots + 4 * shards * parts rows.
+Equal texts share a slot. A slot that holds more than a quarter of a shard's bytes, or of its rows, is hot: it is
+cut into `parts` slots by the document id and, for a document that repeats, the copy. There are at most eight hot
+slots for each shard, so the map has at most slots + 8 * shards * parts rows.
 
 Defined results: a null text has size 1, crc32 0 and the slot of the empty text; a null id is an id of its own;
 rows that repeat each get a place; no rows in, none out.
@@ -27,19 +27,26 @@ from pyspark.sql.window import Window
 from touchline.llm.common import body, row_key, text_key
 from touchline.session import scratch_path, stored
 
+MAP = "slot_id long, shard int, bytes long, rows long"
+
 
 @dataclass(frozen=True)
 class Settings:
     shards: int = 16
     slots: int = 4096
     parts: int = 64
-    swaps: int = 400
 
 
-def rebalanced(before: dict[int, int], size: dict[int, int], shards: int, swaps: int = 400) -> dict[int, int]:
+def present(spark, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def rebalanced(before: dict[int, int], size: dict[int, int], shards: int) -> dict[int, int]:
     """The next version of the slot-to-shard map: `before`, edited until shard sizes are near equal.
 
-    Slots that `before` lacks start at slot modulo shards; slots of shards that are no more, too.
+    Slots that `before` lacks start at slot modulo shards; slots of shards that are no more, too. Every edit
+    lessens the sum of the squares of the shards' sizes, whole numbers, so edits end.
     """
     now = {s: before[s] if before.get(s, shards) < shards else s % shards for s in size}
     held: list[list[tuple[int, int]]] = [[] for _ in range(shards)]
@@ -64,9 +71,8 @@ def rebalanced(before: dict[int, int], size: dict[int, int], shards: int, swaps:
         if near:
             move(min(near, key=lambda x: abs(2 * x[0] - gap)), high, low)
             continue
-        if not swaps or not held[high] or not held[low]:
+        if not held[high] or not held[low]:
             return now
-        swaps -= 1
         more, less = np.array([b for b, _ in held[high]]), np.array([b for b, _ in held[low]])
         change = more[:, None] - less[None, :]
         off = np.where((change > 0) & (change < gap), np.abs(2 * change - gap), np.iinfo(np.int64).max)
@@ -89,9 +95,11 @@ def records(docs: DataFrame) -> DataFrame:
 def slotted(docs: DataFrame, settings: Settings) -> DataFrame:
     """Records with their virtual slot."""
     found = stored(records(docs).withColumn("base", F.pmod("key", F.lit(settings.slots))), "shard-records")
-    sums = found.groupBy("base").agg(F.sum(F.col("size") * F.col("n")).alias("bytes"))
-    total = sums.agg(F.sum("bytes")).first()[0] or 0
-    hot = sorted(r["base"] for r in sums.filter(F.col("bytes") * settings.shards * 4 > total).collect())
+    # At most `slots` rows.
+    sums = found.groupBy("base").agg(F.sum(F.col("size") * F.col("n")).alias("bytes"), F.sum("n").alias("rows")).collect()
+    total, count = sum(r["bytes"] for r in sums), sum(r["rows"] for r in sums)
+    quarter = 4 * settings.shards
+    hot = sorted(r["base"] for r in sums if r["bytes"] * quarter > total or r["rows"] * quarter > count)
     if not hot:
         return found.select("doc_id", "rid", "size", "text_crc32", "n", F.col("base").alias("slot_id"))
     ranks = F.create_map(*[F.lit(x) for pair in enumerate(hot) for x in reversed(pair)])
@@ -105,25 +113,40 @@ def slotted(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def next_map(slots: DataFrame, settings: Settings, before: dict[int, int] | None = None) -> list[tuple[int, int, int, int]]:
-    """(slot, shard, bytes, rows) of the map after `before`; at most slots + 4 * shards * parts rows pass the driver."""
+    """(slot, shard, bytes, rows) of the map after `before`; at most slots + 8 * shards * parts rows pass the driver."""
     sums = slots.groupBy("slot_id").agg(F.sum(F.col("size") * F.col("n")).alias("bytes"), F.sum("n").alias("rows")).collect()
-    now = rebalanced(before or {}, {r["slot_id"]: r["bytes"] for r in sums}, settings.shards, settings.swaps)
+    now = rebalanced(before or {}, {r["slot_id"]: r["bytes"] for r in sums}, settings.shards)
     return sorted((r["slot_id"], now[r["slot_id"]], r["bytes"], r["rows"]) for r in sums)
 
 
 def store_map(spark, rows: list[tuple[int, int, int, int]], version: int, folder: str) -> DataFrame:
     """Writes a version of the map beside the others and reads it back."""
     at = os.path.join(folder, f"version={version}")
-    spark.createDataFrame(rows, "slot_id long, shard int, bytes long, rows long").coalesce(1).write.parquet(at)
-    return spark.read.parquet(at)
+    spark.createDataFrame(rows, MAP).coalesce(1).write.parquet(at)
+    return spark.read.schema(MAP).parquet(at)
+
 
+def newest_map(spark, folder: str) -> tuple[int, dict[int, int]]:
+    """The newest version in a folder, and its shard of every slot; 0 and nothing if there is none."""
+    if not present(spark, folder):
+        return 0, {}
+    stored_maps = spark.read.schema(f"{MAP}, version int").parquet(folder)
+    version = stored_maps.agg(F.max("version")).first()[0]
+    if version is None:
+        return 0, {}
+    return version, {r["slot_id"]: r["shard"] for r in stored_maps.filter(F.col("version") == version).select("slot_id", "shard").collect()}
 
-def placed(docs: DataFrame, settings: Settings = Settings(), before: dict[int, int] | None = None, version: int = 1, folder: str | None = None) -> DataFrame:
-    """Every row's shard and its place there, gapless from 0: doc_id, rid, size, text_crc32, slot_id, shard, slot."""
+
+def placed(docs: DataFrame, settings: Settings = Settings(), folder: str | None = None) -> DataFrame:
+    """Every row's shard and its place there, gapless from 0: doc_id, rid, size, text_crc32, slot_id, shard, slot.
+
+    The newest map of `folder` is edited into its next version.
+    """
     spark = docs.sparkSession
+    folder = folder or scratch_path(spark, "shard-map")
     slots = stored(slotted(docs, settings), "shard-slots")
-    rows = next_map(slots, settings, before)
-    shard_map = store_map(spark, rows, version, folder or scratch_path(spark, "shard-map"))
+    version, before = newest_map(spark, folder)
+    shard_map = store_map(spark, next_map(slots, settings, before), version + 1, folder)
     above = Window.partitionBy("shard").orderBy("slot_id").rowsBetween(Window.unboundedPreceding, -1)
     shard_map = shard_map.select("slot_id", "shard", F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("base"))
     within = Window.partitionBy("slot_id").orderBy("doc_id", "text_crc32", "rid").rowsBetween(Window.unboundedPreceding, -1)
@@ -139,8 +162,13 @@ def write_shards(docs: DataFrame, places: DataFrame, path: str) -> None:
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
-def shards(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    found = placed(docs, settings)
+def shards(docs: DataFrame, settings: Settings = Settings(), folder: str | None = None) -> DataFrame:
+    """Every row's shard and place by the map of `folder`, whose first version deals the fixed slots out in turn."""
+    spark = docs.sparkSession
+    folder = folder or scratch_path(spark, "shard-map")
+    if not present(spark, folder):
+        store_map(spark, [(s, s % settings.shards, 0, 0) for s in range(settings.slots)], 1, folder)
+    found = placed(docs, settings, folder)
     return found.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("slot_id").alias("virtual_slot")
     )
