@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -169,3 +170,54 @@ def test_a_signature_that_cannot_be_filled_is_refused():
     one = np.zeros(2, np.int64)
     with pytest.raises(ValueError):
         near_dedup.prob_minhash(one, np.arange(2, dtype=np.uint64), np.ones(2), 1, 1 << 21, 1)
+
+
+def test_alike_sets_are_at_most_one_level_apart():
+    for threshold in (0.5, 0.8, 0.95):
+        for size in [*range(1, 3000), 10**6, 10**9]:
+            assert near_dedup.level(size, threshold) - near_dedup.level(math.ceil(size * (threshold - 1e-6)), threshold) <= 1
+
+
+def hot_band(spark, texts, chunk):
+    """Members of one band, its blocks, and pairs of texts that some block compares, counted once a block."""
+    settings = near_dedup.Settings(chunk=chunk)
+    rows = [(n, len(t), near_dedup.level(len(shingles(t)), settings.threshold), 1) for n, t in enumerate(texts)]
+    entries = spark.createDataFrame(rows, "node long, chars long, level int, key long")
+    blocks = defaultdict(list)
+    for r in near_dedup.blocks_of(near_dedup.shared(entries, settings), settings).collect():
+        blocks[r["key"], r["i"], r["j"]].append(r["node"])
+    return list(blocks.values())
+
+
+def test_a_hot_band_of_many_lengths_is_not_compared_in_all_pairs(spark):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(int(6 * 1.0045**n))) for n in range(1600)]
+    blocks = hot_band(spark, texts, 16)
+    met = {(a, b) for block in blocks for a in block for b in block if a < b}
+    sizes = [len(shingles(t)) for t in texts]
+    # Every pair that can be alike meets.
+    assert all((a, b) in met for a in range(len(texts)) for b in range(a + 1, len(texts)) if min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b]))
+    assert len(met) < len(texts) ** 2 / 10
+    # Nor is a block larger than two chunks of random filling, or a pair met in blocks without end.
+    assert max(map(len, blocks)) <= 4 * 16
+
+
+def test_small_bands_and_one_length_meet_whole(spark):
+    for count, words in ((2, 9), (20, 9), (33, 9), (100, 9)):
+        blocks = hot_band(spark, [f"{n} " * words for n in range(count)], 16)
+        met = {(a, b) for block in blocks for a in block for b in block if a < b}
+        assert len(met) == count * (count - 1) // 2
+
+
+def test_levels_of_a_hot_band_match_brute_force(spark):
+    rng = random.Random(8)
+    head = [f"h{i}" for i in range(40)]
+    rows = []
+    for n in range(160):
+        words = head + [f"t{i}" for i in range(rng.randrange(120))]
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = f"c{n}"
+        rows.append((n, " ".join(words)))
+    want = brute(rows)
+    for chunk in (4, 512):
+        assert got(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string"), near_dedup.Settings(chunk=chunk))) == want

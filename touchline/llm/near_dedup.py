@@ -10,8 +10,10 @@ the exact Jaccard similarity of the two shingle sets reaches the threshold.
 
 Bands that hold the same texts are verified once. The texts of a band are dealt by hash into chunks of
 bounded number and length; a task gets two chunks, compares all their texts by products of their
-incidence matrix, and returns not the links but a forest of them, at most a row per text. So every
-candidate pair is verified, whatever the band's size, and no list of pairs is ever made.
+incidence matrix, and returns not the links but a forest of them, at most a row per text. Two sets alike
+at the threshold differ in size by no more than it says, so the texts of a band of many chunks are dealt into
+levels by their number of shingles, and only chunks of a level and the next one meet. So every candidate
+pair that can be a link is verified, whatever the band's size, and no list of pairs is ever made.
 
 Defined results: a null text counts as empty; equal texts, empty ones too, are one class; a text of
 fewer than five words is one shingle; a text without words is like its equals only; rows that repeat
@@ -21,6 +23,7 @@ its ids are null. No rows in, no rows out.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,8 +32,9 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from touchline.llm.common import body, bounded_batches, free_name, memo, mix, portions, row_key, text_key
 from touchline.llm.components import components
@@ -165,8 +169,13 @@ def prob_minhash(doc, item, weight, texts: int, size: int, seed: int) -> np.ndar
     return signature.reshape(texts, size)
 
 
-def band_keys(texts: list[str], settings: Settings) -> list[np.ndarray]:
-    """For each text its band keys; none for a text without words."""
+def level(size: int, threshold: float) -> int:
+    """A step of the size of a set; sets alike at `threshold` are at most one level apart."""
+    return math.floor(math.log(max(1, size)) / math.log(1.01 / threshold))
+
+
+def band_keys(texts: list[str], settings: Settings) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each text its band keys, none for a text without words, and the number of its shingles."""
     doc, item, count = shingles(texts, settings.width)
     weight = settings.heaviest - (settings.heaviest - 1) / count
     signature = prob_minhash(doc, item, weight, len(texts), settings.bands * settings.rows, settings.seed)
@@ -174,20 +183,22 @@ def band_keys(texts: list[str], settings: Settings) -> list[np.ndarray]:
     keys = np.broadcast_to(mix(np.arange(1, settings.bands + 1, dtype=np.uint64) * STEP), parts.shape[:2])
     for k in range(settings.rows):
         keys = mix((keys ^ parts[:, :, k]) + STEP)
-    filled = np.bincount(doc, minlength=len(texts)) > 0
-    return [keys[i].view(np.int64) if filled[i] else keys[i, :0].view(np.int64) for i in range(len(texts))]
+    sizes = np.bincount(doc, minlength=len(texts))
+    return [keys[i].view(np.int64) if sizes[i] else keys[i, :0].view(np.int64) for i in range(len(texts))], sizes
 
 
 def _signed(batches, settings: Settings):
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        rows = []
+        rows, levels = [], []
         for a, b in portions(texts, 400_000):
-            rows += band_keys(texts[a:b], settings)
+            keys, sizes = band_keys(texts[a:b], settings)
+            rows += keys
+            levels += [level(int(n), settings.threshold) for n in sizes]
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         values = np.concatenate([*rows, np.zeros(0, np.int64)])
-        names = ["doc_id", "node", "rid", "chars"]
-        kept = [batch.column(c) for c in names]
+        names = ["doc_id", "node", "rid", "chars", "level"]
+        kept = [*[batch.column(c) for c in names[:-1]], pa.array(levels, pa.int32())]
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
         yield pa.RecordBatch.from_arrays([*kept, lists], [*names, "bands"])
 
@@ -238,32 +249,53 @@ def _linked(table: pa.Table, settings: Settings) -> pa.Table:
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, node (stands for the text), rid (for the row), chars and bands of every row."""
+    """doc_id, node (stands for the text), rid (for the row), chars, level and bands of every row."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("node"), row_key().alias("rid"), F.length(body()).cast("long").alias("chars"), body().alias("text"))
-    return rows.mapInArrow(partial(_signed, settings=settings), "doc_id long, node long, rid long, chars long, bands array<long>")
+    return rows.mapInArrow(partial(_signed, settings=settings), "doc_id long, node long, rid long, chars long, level int, bands array<long>")
 
 
-def linked(signed: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """(node, root) of every text that is linked to another."""
-    nodes = signed.groupBy("node").agg(F.first("chars").alias("chars"), F.first("bands").alias("bands"))
-    entries = nodes.select("node", "chars", F.explode("bands").alias("key"))
-    same = ["n", "lo", "hi", "mark"]
+def chunks_of(settings: Settings) -> Column:
+    """Chunks of a group of rows with `chars`."""
+    return F.greatest(F.ceil(F.count("*") / settings.chunk), F.ceil(F.sum("chars") / settings.chunk_chars), F.lit(1)).cast("long")
+
+
+def shared(entries: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of `entries` (node, chars, level, key) whose band holds several texts, and its chunks; one band of those with equal texts."""
     groups = entries.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum("chars").alias("chars"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("mark")
+        F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("mark"), chunks_of(settings).alias("chunks")
     ).filter("lo < hi")
-    groups = groups.groupBy(*same).agg(F.min("key").alias("key"), F.max("chars").alias("chars"))
-    chunks = F.greatest(F.ceil(F.col("n") / settings.chunk), F.ceil(F.col("chars") / settings.chunk_chars)).cast("int")
+    groups = groups.groupBy("n", "lo", "hi", "mark").agg(F.min("key").alias("key"), F.max("chunks").alias("chunks"))
     # Merge joins whatever the sizes: the texts and band keys of a corpus are never few.
-    members = entries.select("node", "key").join(groups.select("key", chunks.alias("chunks")).hint("merge"), "key")
-    members = members.withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    # A chunk meets every other one; one alone meets itself.
-    members = members.filter("own != other or chunks = 1")
-    blocks = stored(members.select("node", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "dedup-blocks")
-    texts = docs.select(text_key().alias("node"), body().alias("text")).join(blocks.select("node").distinct().hint("merge"), "node", "left_semi")
+    return entries.join(groups.select("key", "chunks").hint("merge"), "key")
+
+
+def blocks_of(members: DataFrame, settings: Settings) -> DataFrame:
+    """(node, key, i, j): the blocks, pairs of chunks, that verify the bands of `members`."""
+    # Up to two chunks are one block.
+    few = members.filter("chunks <= 2").select("node", "key", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
+    many = members.filter("chunks > 2").drop("chunks")
+    # Chunks of a band are numbered level after level; its levels are as few as a size has digits.
+    levels = many.groupBy("key", "level").agg(chunks_of(settings).alias("chunks"))
+    order = Window.partitionBy("key").orderBy("level")
+    step = F.struct("level", "chunks")
+    levels = levels.withColumns({"below": F.lag(step).over(order), "above": F.lead(step).over(order), "base": F.sum("chunks").over(order) - F.col("chunks")})
+    below, above = (F.when(F.col(c)["level"] == F.col("level") + by, F.col(c)["chunks"]).otherwise(0) for c, by in (("below", -1), ("above", 1)))
+    levels = levels.select("key", "level", "chunks", "base", (F.col("base") - below).alias("least"), (F.col("base") + F.col("chunks") + above - 1).alias("most"))
+    many = many.join(levels, ["key", "level"]).withColumn("own", F.col("base") + F.pmod(F.xxhash64("node"), "chunks"))
+    many = many.withColumn("other", F.explode(F.sequence("least", "most")))
+    # A chunk meets the others of its level and of the next ones; one alone meets itself.
+    many = many.filter("own != other or least = most")
+    return few.unionByName(many.select("node", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+
+
+def linked(signed: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """(node, root) of every text that is linked to another."""
+    nodes = signed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("chars", "level", "bands")])
+    members = stored(shared(nodes.select("node", "chars", "level", F.explode("bands").alias("key")), settings), "dedup-members")
+    texts = docs.select(text_key().alias("node"), body().alias("text")).join(members.select("node").distinct().hint("merge"), "node", "left_semi")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    grouped = blocks.join(texts, "node").groupBy("key", "i", "j")
+    grouped = blocks_of(members, settings).join(texts, "node").groupBy("key", "i", "j")
 
     def forest_of(table: pa.Table) -> pa.Table:
         return _linked(table, settings)
