@@ -75,3 +75,24 @@ def test_odd_inputs(spark):
     assert toxicity.fitted(docs, marks.limit(0), ~toxicity.held_out()) is None
     assert {r["score"] for r in toxicity.scores(docs, None).collect()} == {0.0}
     assert toxicity.scores(docs.limit(0), model).collect() == []
+
+
+def test_the_sample_is_of_the_least_hashes_and_only_its_texts_are_fetched(spark, monkeypatch):
+    texts, labels = corpus(90, 4)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 2, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels)], "doc_id long, toxic int")
+    seen = {}
+
+    def keep(texts, labels, class_weight, settings):
+        seen.update(texts=texts, labels=labels.tolist(), weight=class_weight)
+
+    monkeypatch.setattr(toxicity, "train", keep)
+    settings = toxicity.Settings(sample_docs=20, sample_chars=500)
+    toxicity.fitted(docs, marks, ~toxicity.held_out(), settings)
+    learnable = docs.filter(~toxicity.held_out()).join(marks, "doc_id").withColumn("key", toxicity.row_key()).collect()
+    hashed = {r["key"]: h for r, h in zip(learnable, spark.createDataFrame([(r["key"],) for r in learnable], "key long").selectExpr(f"pmod(xxhash64(key, {settings.seed}), {1 << 30}) AS h").collect(), strict=True) for h in [h["h"]]}
+    counts = np.bincount([r["toxic"] for r in learnable], minlength=2)
+    for y in (0, 1):
+        fits = sorted(((hashed[r["key"]], r["key"], r["text"]) for r in learnable if r["toxic"] == y and len(r["text"]) <= 500))
+        fits = [f for f in fits if f[0] / (1 << 30) < 1.5 * 20 / counts[y]]
+        assert [t for t, l in zip(seen["texts"], seen["labels"], strict=True) if l == y] == [t for *_, t in fits[:20]]

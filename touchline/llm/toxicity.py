@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import body, remainder, row_key
+from touchline.session import stored
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W_]+")
@@ -147,20 +148,23 @@ def train(texts: list[str], labels: np.ndarray, class_weight: np.ndarray, settin
 def fitted(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings = Settings()) -> Model | None:
     """A model of the labelled rows of `docs` where `learn` holds; None if they lack a class."""
     toxic = labels.filter(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    rows = docs.filter(learn).select("doc_id", row_key().alias("key"), body().alias("text")).join(toxic, "doc_id")
-    counts = {r["toxic"]: r["count"] for r in docs.filter(learn).select("doc_id").join(toxic, "doc_id").groupBy("toxic").count().collect()}
+    learnable = docs.filter(learn)
+    rows = learnable.select("doc_id", row_key().alias("key"), F.length(body()).alias("chars")).join(toxic, "doc_id")
+    rows = stored(rows.select("key", "chars", "toxic"), "toxicity-rows")
+    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    fits = rows.filter(F.length("text") <= settings.sample_chars)
+    fits = rows.filter(F.col("chars") <= settings.sample_chars)
     drawn = F.pmod(F.xxhash64("key", F.lit(settings.seed)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, min(1.0, 1.5 * settings.sample_docs / counts[1])).otherwise(min(1.0, 1.5 * settings.sample_docs / counts[0]))
     sample = fits.withColumn("u", drawn).filter(F.col("u") < share)
-    # Exactly the bound of each class, the least hashes first.
-    texts, found = [], []
-    for y in (0, 1):
-        part = sample.filter(F.col("toxic") == y).select("u", "key", "text").orderBy("u", "key").limit(settings.sample_docs).collect()
-        texts += [r["text"] for r in part]
-        found += [y] * len(part)
+    # Exactly the bound of each class, the least hashes first; only what is drawn is fetched as text.
+    keys = {y: [r["key"] for r in sample.filter(F.col("toxic") == y).orderBy("u", "key").limit(settings.sample_docs).select("key").collect()] for y in (0, 1)}
+    wanted = docs.sparkSession.createDataFrame([(k,) for k in {*keys[0], *keys[1]}], "key long")
+    texts_of = learnable.select(row_key().alias("key"), body().alias("text")).join(F.broadcast(wanted), "key", "left_semi")
+    text_of = {r["key"]: r["text"] for r in texts_of.dropDuplicates(["key"]).collect()}
+    texts = [text_of[k] for y in (0, 1) for k in keys[y]]
+    found = [y for y in (0, 1) for _ in keys[y]]
     if len(set(found)) < 2:
         return None
     drawn_of = np.bincount(found, minlength=2)
