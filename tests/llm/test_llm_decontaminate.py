@@ -77,3 +77,21 @@ def test_odd_inputs(spark):
 def test_the_main_path_has_no_python(spark, sf_dir):
     plan = decontaminate.decontaminate(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_items_as_whole_runs(spark):
+    items = [(1, "Too short"), (2, "short"), (3, "a b c d e"), (4, "a b c d e f"), (5, None), (6, "?!"), (7, "too SHORT!"), (8, "b a b a")]
+    rows = [(1, "It is too, short."), (1, "It is too, short."), (2, "too long to be short"), (3, "x a b c d"), (4, "a b c d e"), (5, "b a b a b a b"), (6, None), (7, ""), (None, "a b c d e f"), (8, "short " * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(rows, items) | {
+        (i, k) for i, text in rows for k, item in items if 0 < len(tokens(item)) < 6 and f" {' '.join(tokens(item))} " in f" {' '.join(tokens(text))} "
+    }
+    for bound in (0, 1_000_000):
+        settings = decontaminate.Settings(short_items=True, broadcast_rows=bound)
+        assert pairs(decontaminate.leaked(docs, benchmark, settings)) == want and len(want) == 10
+    kept = decontaminate.decontaminated(docs, benchmark, decontaminate.Settings(short_items=True))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 6, 7]
+    assert decontaminate.leaked(docs, benchmark.limit(0), decontaminate.Settings(short_items=True)).collect() == []
+    start = {(r["doc_id"], r["item_id"]): (r["start"], r["matched"]) for r in decontaminate.leaked(docs, benchmark, decontaminate.Settings(short_items=True)).collect()}
+    assert start[5, 8] == (0, 4) and start[2, 2] == (4, 1)

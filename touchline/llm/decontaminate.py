@@ -13,7 +13,8 @@ Tokens are runs of letters and digits in lower case. Only DataFrame operations a
 the benchmark are broadcast if their counted rows are within a bound, else joined by a shuffle.
 
 Defined results: null texts count as empty and leak nothing; an item of fewer than six tokens is too
-short to prove a leak; equal items all count; rows that repeat give one result; no rows in, none out.
+short to prove a leak, unless `short_items` asks for such items too: then a text leaks one if it holds all of its
+tokens in a row, which hashes of the text's runs of as many tokens tell; equal items all count; rows that repeat give one result; no rows in, none out.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ class Settings:
     share: float = 0.8
     #: Seeds, of 24 bytes, up to which the benchmark is broadcast.
     broadcast_rows: int = 1_000_000
+    #: Whether items below six tokens count, as whole runs of tokens.
+    short_items: bool = False
 
 
 def least_seeds(stretch: int, share: float) -> int:
@@ -120,9 +123,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     laid = laid.filter(F.col("overlap") >= settings.share - 1e-12)
     best = F.max(F.struct("overlap", "matched", -F.col("start"))).alias("best")
     found = laid.groupBy("node", "item", "length").agg(best)
-    return found.select(
+    found = found.select(
         "node", "item", (-F.col("best.col3")).alias("start"), F.col("best.matched").alias("matched"), "length", F.col("best.overlap").alias("overlap")
     )
+    return found.unionByName(short_leaks(docs, benchmark, settings)) if settings.short_items else found
+
+
+def short_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> DataFrame:
+    """Like `leaks`, of items below six tokens that a text holds whole; start is the first place."""
+    items = benchmark.select(text_key().alias("item"), item_tokens(body()).alias("h")).filter((F.size("h") > 0) & (F.size("h") < SPAN))
+    items = stored(items.select("item", F.size("h").alias("length"), F.xxhash64("h").alias("run")).distinct(), "decontamination-short")
+    counts = {r["length"]: r["count"] for r in items.groupBy("length").count().collect()}
+
+    def runs(length: int) -> Column:
+        # No run of a text that is shorter; a sequence from 1 to 0 would count down.
+        last = F.size("h") - length
+        places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda k: F.struct(F.lit(length).alias("length"), k.alias("start"), F.xxhash64(F.slice("h", k + 1, length)).alias("run")))
+
+    texts = docs.select(text_key().alias("node"), tokens(body()).alias("h"))
+    none = F.array().cast("array<struct<length: int, start: int, run: bigint>>")
+    texts = texts.select("node", F.explode_outer(F.concat(none, *map(runs, sorted(counts)))).alias("r")).select("node", "r.*")
+    hits = texts.join(small(items, sum(counts.values()), settings.broadcast_rows), ["length", "run"])
+    found = hits.groupBy("node", "item", "length").agg(F.min("start").alias("start"))
+    return found.select("node", "item", "start", F.col("length").alias("matched"), "length", F.lit(1.0).alias("overlap"))
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
