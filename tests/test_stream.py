@@ -181,6 +181,24 @@ def test_log_table_merges_folders(spark, tmp_path):
     assert "(part#" in plan.split("PartitionFilters")[-1] or "(part#" in plan.split("rtitionFilters")[-1]
 
 
+def test_a_large_part_is_written_by_several_tasks(spark, tmp_path):
+    """The reject table is one part, whatever its size."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    store = S.Store(spark, str(tmp_path))
+    table, draft = S.LogTable(store, "log", "a bigint, text string, version int", (), 1), S.Draft(0)
+    spark.conf.set(size, "100k")
+    try:
+        table.append(draft, spark.range(0, 60000, 1, 8).select(F.col("id").alias("a"), F.sha2(F.col("id").cast("string"), 256).alias("text")), "0", 0)
+    finally:
+        spark.conf.unset(size)
+    files = [f for f in (tmp_path / "log" / "at=0" / "part=0").iterdir() if f.suffix == ".parquet"]
+    assert len(files) > 4
+    rows = table.read(draft)
+    assert rows.count() == 60000 and rows.agg(F.sum("a")).first()[0] == 60000 * 59999 // 2
+    largest = rows.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert largest < 30000
+
+
 def test_readers_see_whole_batches_only(spark, tmp_path, monkeypatch, batch):
     records, events = season(games=6)
     lines = lines_of(records, events)

@@ -142,9 +142,18 @@ class _Table:
         return self.store.spark.read.schema(f"{self.schema}, at string, part int").option("basePath", self.path)
 
     def _write(self, rows: DataFrame, name: str) -> None:
-        """A file for each part; large parts are cut further by the number of records."""
-        dealt = self.with_part(rows).repartition("part")
-        dealt.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy("part").parquet(f"{self.path}/at={name}")
+        """The rows of a part come together, but a part too large for one task is written by several.
+
+        How many that are follows from the bytes shuffled. A table of one part is not sorted by part, so its
+        tasks hold no rows.
+        """
+        dealt, path = self.with_part(rows).hint("rebalance", "part"), f"{self.path}/at={name}"
+        only = self.parts == 1
+        writer = (dealt.drop("part") if only else dealt).write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
+        if only:
+            writer.parquet(f"{path}/part=0")
+        else:
+            writer.partitionBy("part").parquet(path)
 
 
 @dataclass(frozen=True)
