@@ -155,6 +155,42 @@ def test_namesakes_all_take_part(spark):
     assert {(r["side"], r["player_id"]) for r in lineups} == {(1, 1), (1, 2), (2, 3)}
 
 
+@pytest.mark.parametrize("made_up_to", [64, 3, 0])
+@pytest.mark.parametrize("traversal", ["all", "alternate"])
+def test_mean_chemistry_of_small_and_large_sides(spark, monkeypatch, made_up_to, traversal):
+    monkeypatch.setattr(rq, "MADE_UP_TO", made_up_to, raising=False)
+    sides = {(1, 1): [1, 2, 4], (1, 2): [4, 7, 11, 12, 15, 17], (2, 1): [1]}
+    rows = [(r, s, p) for (r, s), ids in sides.items() for p in ids]
+    lineups = spark.createDataFrame(rows, "request_id bigint, side int, player_id bigint")
+    given = state(spark)
+    got = rq.mean_chemistry(lineups, given["profile"], given["chemistry"], traversal)
+    got = {(r["request_id"], r["side"], r["player_id"]): r["coeff"] for r in got.collect()}
+    want = {}
+    for (r, s), ids in sides.items():
+        left = list(ids)
+        for pos, p in enumerate(ids):
+            if traversal == "alternate" and pos % 2:
+                continue
+            left.remove(p)
+            others = list(left) if traversal == "alternate" else [q for q in ids if q != p]
+            if others and MATCHES[p] >= 5:
+                want[r, s, p] = sum(CHEM.get((min(p, q), max(p, q)), 0.5) for q in others) / len(others)
+    assert got == pytest.approx(want)
+
+
+def test_small_sides_do_not_open_all_stored_pairs_of_their_players(spark):
+    """Two players who met 3,000 others each: what meets the stored pairs is the one pair of their side."""
+    lineups = spark.createDataFrame([(1, 1, 1), (1, 1, 2)], "request_id bigint, side int, player_id bigint")
+    pairs = spark.range(2, 3002).select(F.explode(F.array(F.lit(1), F.lit(2))).alias("p_lo"), F.col("id").alias("p_hi"), F.lit(0.25).alias("chem"))
+    pairs = pairs.filter("p_lo < p_hi").withColumn("p_lo", F.col("p_lo").cast("bigint"))
+    placed = rq._placed(lineups)
+    met = rq._met(placed, pairs)
+    assert [(r["p_lo"], r["p_hi"], r["chem"]) for r in met.collect()] == [(1, 2, 0.25)]
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    with_pairs = [line for line in plan.splitlines() if "Join Inner" in line and "p_lo" in line and "request_id" not in line]
+    assert with_pairs and all("p_hi" in line for line in with_pairs)
+
+
 @pytest.mark.parametrize(
     ("roles", "valid"),
     [

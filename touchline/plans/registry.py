@@ -567,7 +567,7 @@ def win_chance_given(spark, sf):
 @query
 def cluster_fallback_given(spark, sf):
     season = _clustered_season(spark, sf)
-    lineups = rq.request_lineups(fx.win_requests(spark, sf), season["players"])
+    lineups = stored(rq.request_lineups(fx.win_requests(spark, sf), season["players"]), "lineups")
     coefficients = rq.mean_chemistry(lineups, season["profile"], season["chemistry"])
     out = rq.cluster_fallback(lineups, season["profile"], coefficients, season["ratings"], _given_clusters(season))
     return out.select("request_id", "side", r6("term", 5))

@@ -17,6 +17,9 @@ RETIRED_BELOW = 0.2
 TEAM_SIZE = 11
 NORM_FACTOR = 8
 
+#: Players of a side up to which its pairs are made and looked up; of larger ones the stored pairs are tried.
+MADE_UP_TO = 64
+
 SIDE = ["request_id", "side"]
 
 
@@ -89,8 +92,7 @@ def mean_chemistry(
         raise ValueError("traversal is 'all' or 'alternate'")
     if coefficient not in ("mean", "mean_minus_one"):
         raise ValueError("coefficient is 'mean' or 'mean_minus_one'")
-    placed = _placed(lineups)
-    size = placed.groupBy(*SIDE).agg(F.count("*").alias("size"))
+    placed = stored(_placed(lineups), "placed")
     met = _met(placed, chemistry)
     sums = met.select(
         *SIDE,
@@ -108,27 +110,43 @@ def mean_chemistry(
         mates = F.col("size") - F.floor(F.col("pos") / 2) - 1
     sums = sums.groupBy(*SIDE, "player_id").agg(F.sum(F.col("chem") - START_CHEMISTRY).alias("above"))
     seasoned = profile.filter(F.col("matches") >= min_matches).select("player_id")
-    scored = placed.join(seasoned, "player_id", "left_semi").join(size, SIDE).withColumn("mates", mates).filter("mates > 0")
+    scored = placed.dropna(subset=SIDE).join(seasoned, "player_id", "left_semi").withColumn("mates", mates).filter("mates > 0")
     shift = START_CHEMISTRY if coefficient == "mean" else START_CHEMISTRY - 1
     above = F.coalesce("above", F.lit(0.0)) / F.col("mates")
     return scored.join(sums, [*SIDE, "player_id"], "left").select(*SIDE, "player_id", (above + F.lit(shift)).alias("coeff"))
 
 
 def _met(placed: DataFrame, chemistry: DataFrame) -> DataFrame:
-    """The stored pairs within each side, with the places of both; pairs that never met are not made.
+    """The stored pairs within each side, with the places of both; `placed` had better be a written table.
 
-    A player's stored pairs are reached by the lower id, and kept if the higher one is on the side too.
+    A side of up to MADE_UP_TO players makes its pairs, fewer than that for each player, and looks them up. On a larger
+    one, of names that many share, the pairs would grow with the square: there a player's stored pairs are
+    reached by the lower id, and kept if the higher one is on the side too.
     """
-    lo = placed.select(*SIDE, F.col("player_id").alias("p_lo"), F.col("pos").alias("lo_pos"))
-    hi = placed.select(*SIDE, F.col("player_id").alias("p_hi"), F.col("pos").alias("hi_pos"))
-    pairs = lo.join(chemistry.select("p_lo", "p_hi", "chem"), "p_lo")
-    return pairs.join(hi, [*SIDE, "p_hi"])
+    columns = [*SIDE, "p_lo", "p_hi", "lo_pos", "hi_pos", "chem"]
+    chem = chemistry.select("p_lo", "p_hi", "chem")
+
+    def ends(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return tuple(rows.select(*SIDE, F.col("player_id").alias(f"p_{end}"), F.col("pos").alias(f"{end}_pos")) for end in ("lo", "hi"))
+
+    large = F.col("size") > MADE_UP_TO
+    any_large = not placed.filter(large).isEmpty()
+    if any_large:
+        # Both ways read it.
+        chem = stored(chem, "chemistry")
+    lo, hi = ends(placed.filter(~large))
+    met = lo.join(hi, SIDE).filter(F.col("p_lo") < F.col("p_hi")).join(chem, ["p_lo", "p_hi"]).select(*columns)
+    if not any_large:
+        return met
+    lo, hi = ends(placed.filter(large))
+    return met.unionByName(lo.join(chem, "p_lo").join(hi, [*SIDE, "p_hi"]).select(*columns))
 
 
 def _placed(lineups: DataFrame) -> DataFrame:
-    """Place of each player in the side's id order, from 0."""
-    w = Window.partitionBy(*SIDE).orderBy("player_id")
-    return lineups.select(*SIDE, "player_id", (F.row_number().over(w) - 1).alias("pos"))
+    """Place of each player in the side's id order, from 0, and the size of the side."""
+    side = Window.partitionBy(*SIDE)
+    place = (F.row_number().over(side.orderBy("player_id")) - 1).alias("pos")
+    return lineups.select(*SIDE, "player_id", place, F.count("*").over(side).alias("size"))
 
 
 def cluster_fallback(
