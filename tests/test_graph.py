@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators import graph
 from touchline.session import stored_in_buckets
@@ -129,3 +130,31 @@ def test_ranks_by_changes_come_to_rest_and_move_ever_fewer_rows(spark):
     assert moved[0] == len(out) and moved[-1] == 0 and moved[len(moved) // 2] < moved[0]
     # The leaves have nothing new to pass on after the second round.
     assert moved[2] <= moved[0] - 50
+
+
+def test_later_rounds_read_only_links_among_nodes_that_can_move(spark, monkeypatch):
+    """Leaves that nobody links to and targets without a rank: their links are read in the first two rounds only."""
+    ring = [(f"n{i}", f"n{(i + 1) % 5}") for i in range(5)] + [("n0", "n3"), ("n0", "n3"), (None, "n1"), ("n2", None)]
+    rows = ring + [(f"leaf{i}", f"n{i % 3}") for i in range(40)] + [(f"n{i % 5}", f"lost{i}") for i in range(30)]
+    links, real = [], graph._sent
+
+    def watched(lists, parts, ranks):
+        links.append(lists.agg(F.sum(F.size("targets"))).first()[0])
+        return real(lists, parts, ranks)
+
+    monkeypatch.setattr(graph, "_sent", watched)
+    got = ranks_of(graph.rank_by_changes(spark.createDataFrame(rows, "src string, dst string"), tol=1e-9, part_size=4))
+    # The link from a missing name is in no list.
+    assert links[0] == links[1] == len(set(rows)) - 1 and set(links[2:]) == {6}
+    out = {}
+    for s, _ in rows:
+        out[s] = out.get(s, 0) + 1
+    want = dict.fromkeys(out, 1.0)
+    for _ in range(300):
+        sums = dict.fromkeys(out, 0.0)
+        for s, d in rows:
+            # A missing name is no node to send to or from, as in any join.
+            if s is not None and d is not None and d in sums:
+                sums[d] += want[s] / out[s]
+        want = {n: 0.15 + 0.85 * x for n, x in sums.items()}
+    assert got == pytest.approx(want, abs=1e-6)

@@ -51,7 +51,10 @@ def adjacency(edges: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
 
 
 def _lists(copies: DataFrame, part_size: int) -> DataFrame:
-    degrees = out_degrees(copies, part_size)
+    return _spread(copies, out_degrees(copies, part_size))
+
+
+def _spread(copies: DataFrame, degrees: DataFrame) -> DataFrame:
     joined = join_with_hot_keys(copies, degrees, "src", F.col("distinct") > HOT_TARGETS)
     spread = joined.withColumn("part", _part_of(F.col("dst"), F.col("parts")))
     return spread.groupBy("src", "part").agg(
@@ -125,15 +128,34 @@ def list_parts(lists: DataFrame) -> DataFrame:
     return lists.groupBy("src").agg(F.max("parts").alias("parts"))
 
 
-def _prepared(edges: DataFrame, part_size: int) -> tuple[DataFrame, DataFrame]:
-    """Lists written in buckets of bounded bytes, and the number of parts of each."""
+def _prepared(edges: DataFrame, part_size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edge copies, their lists written in buckets of bounded bytes, and the number of parts of each."""
     copies = stored(edge_copies(edges), "edge-copies")
-    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, -(-copies.count() * TARGET_BYTES // BUCKET_BYTES))
-    lists = stored_in_buckets(_lists(copies, part_size), "adjacency", ["src", "part"], buckets)
+    return copies, *_in_buckets(_lists(copies, part_size), copies.count())
+
+
+def _in_buckets(lists: DataFrame, targets: int) -> tuple[DataFrame, DataFrame]:
+    least = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, -(-targets * TARGET_BYTES // BUCKET_BYTES))
+    lists = stored_in_buckets(lists, "adjacency", ["src", "part"], buckets)
     return lists, cut(list_parts(lists))
 
 
+def _lively(copies: DataFrame, part_size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lists and parts of the ranked nodes that ranked nodes link to, with ranked targets only, and these nodes.
+
+    The targets left out still count in the out-degrees.
+    """
+    ranked = cut(copies.select("src").distinct())
+    linked = cut(copies.select(F.col("dst").alias("src")).distinct().join(ranked, "src", "left_semi"))
+    own = copies.join(linked, "src", "left_semi")
+    degrees = out_degrees(own, part_size)
+    to_ranked = own.join(ranked.withColumnRenamed("src", "dst"), "dst", "left_semi").select("src", "dst", "copies")
+    kept = stored(to_ranked, "edge-copies")
+    lists, parts = _in_buckets(_spread(kept, degrees), kept.count())
+    return lists, parts, linked.withColumnRenamed("src", "node")
+
+
 def rank_by_changes(
     edges: DataFrame,
     tol: float = 1e-6,
@@ -149,22 +171,31 @@ def rank_by_changes(
     and no others, and small changes wait until they add up. Every rank is then within
     damping * tol * (links received) / (1 - damping) of the fixed point, in sum over the links. `moved` is
     given the number of active nodes of each round.
+
+    A node that no ranked node links to is at rest after the second round, and what unranked nodes receive is lost.
+    From the third round on only the other nodes and the links among them are read (see `_lively`).
     """
-    lists, parts = _prepared(edges, part_size)
+    copies, lists, parts = _prepared(edges, part_size)
     state = cut(initial_ranks(edges).select("node", "rank", F.lit(0.0).alias("got"), F.lit(0.0).alias("passed")))
     active = F.abs(F.col("rank") - F.col("passed")) >= tol
-    for _ in range(max_iter):
+    resting = None
+    for turn in range(max_iter):
         count = state.filter(active).count()
         if moved is not None:
             moved.append(count)
         if not count:
             break
+        if turn == 2:
+            lists, parts, linked = _lively(copies, part_size)
+            resting = cut(state.join(linked, "node", "left_anti").select("node", "rank"))
+            state = cut(state.join(linked, "node", "left_semi"))
         changes = state.filter(active).select("node", (F.col("rank") - F.col("passed")).alias("rank"))
         received = _sent(lists, parts, changes)
         after = state.withColumn("passed", F.when(active, F.col("rank")).otherwise(F.col("passed"))).join(received, "node", "left")
         got = F.col("got") + F.coalesce("received", F.lit(0.0))
         state = cut(after.select("node", (F.lit(BASE) + F.lit(damping) * got).alias("rank"), got.alias("got"), "passed"))
-    return state.select("node", "rank")
+    ranks = state.select("node", "rank")
+    return ranks if resting is None else ranks.unionByName(resting)
 
 
 def rank_iterate(
@@ -181,7 +212,7 @@ def rank_iterate(
     bytes, so a round moves ranks and sums but never edges. Every round is checkpointed: the plan stays one step long and a
     lost executor costs at most one round.
     """
-    lists, parts = _prepared(edges, part_size)
+    _, lists, parts = _prepared(edges, part_size)
     ranks = cut(initial_ranks(edges))
     for _ in range(max_iter):
         new = cut(rank_step_on(lists, parts, ranks, damping, round_digits))
