@@ -276,6 +276,18 @@ def test_a_late_event_reads_the_parts_of_its_match_and_players(spark, tmp_path,
     assert len(parts["history"]) <= len(people | {4, 9}) and len(parts["rated"]) <= 3
 
 
+def test_a_late_event_folds_only_the_players_whose_row_it_changes(spark, tmp_path):
+    records, events = season(games=3)
+    lines = [json.loads(x) for x in lines_of(records, events)]
+    heads = [i for i, x in enumerate(lines) if "teamsData" in x]
+    held = lines[heads[1] - 1]
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False)
+    engine.process(as_frame(spark, [json.dumps(x) for x in lines if x is not held]), 0)
+    engine.process(as_frame(spark, [json.dumps({**held, "matchId": records[0]["match_id"], "position": 10**6})]), 1)
+    anew = {r["player_id"] for r in engine.rated.added(str(ingest.PER_BATCH + ingest.ANEW)).collect()}
+    assert anew == {held["playerId"]}
+
+
 def in_sources(records, events, sources):
     """Every match's lines in the source that `sources` names for it, positions rising over all."""
     out, at = [], 0

@@ -140,8 +140,8 @@ def _opposite_direction(x: Column, y: Column) -> Column:
     return ((x <= 0) & (y >= 0)) | ((x >= 0) & (y <= 0))
 
 
-def chemistry_steps(rated: DataFrame, first_team_delta: str = "sum") -> DataFrame:
-    """The chemistry step of every roster pair of every match.
+def chemistry_steps(rated: DataFrame, first_team_delta: str = "sum", of: DataFrame | None = None) -> DataFrame:
+    """The chemistry step of every roster pair of every match, or only of pairs with a player out of `of` (player_id).
 
     A pair is two people of one match record, so the self-join on match_id grows with the square of
     a roster, not of the data.
@@ -149,12 +149,18 @@ def chemistry_steps(rated: DataFrame, first_team_delta: str = "sum") -> DataFram
     if first_team_delta not in ("sum", "diff"):
         raise ValueError("first_team_delta is 'sum' or 'diff'")
     people = rated.filter("on_roster").select("match_id", "seq", "team_ord", "player_id", "change")
+    if of is None:
+        people = people.withColumn("wanted", F.lit(True))
+    else:
+        wanted = of.select("player_id").distinct().withColumn("__wanted", F.lit(True))
+        people = people.join(wanted, "player_id", "left").withColumn("wanted", F.col("__wanted").isNotNull())
     left = people.select(
         "match_id",
         "seq",
         F.col("team_ord").alias("t1"),
         F.col("player_id").alias("p1"),
         F.col("change").alias("d1"),
+        F.col("wanted").alias("w1"),
     )
     right = people.select(
         "match_id",
@@ -162,9 +168,10 @@ def chemistry_steps(rated: DataFrame, first_team_delta: str = "sum") -> DataFram
         F.col("team_ord").alias("t2"),
         F.col("player_id").alias("p2"),
         F.col("change").alias("d2"),
+        F.col("wanted").alias("w2"),
     )
     # Both sides carry the same columns, so they are shuffled once.
-    pairs = left.join(right, ["match_id", "seq"]).filter(F.col("p1") < F.col("p2"))
+    pairs = left.join(right, ["match_id", "seq"]).filter(F.col("p1") < F.col("p2")).filter("w1 OR w2")
     d1, d2 = F.col("d1"), F.col("d2")
     spread = F.abs(F.abs(d1) - F.abs(d2)) / 2
     joint = (F.abs(d1) + F.abs(d2)) / 2
@@ -188,15 +195,18 @@ def chemistry(
     first_team_delta: str = "sum",
     saved: DataFrame | None = None,
     limit: int = LIMIT,
+    of: DataFrame | None = None,
 ) -> DataFrame:
     """Chemistry of every pair that met; a pair that never met stands at the start value.
 
+    With `of` (player_id) only pairs with one of these players.
+
     Steps are clamped to [0, 1] one after the other in match order. `saved` (p_lo, p_hi, chem, meetings)
     continues an earlier run; only pairs that met in this one are returned.
     """
     fold = clamped_sum()
     pair = ["p_lo", "p_hi"]
-    steps = chemistry_steps(rated, first_team_delta)
+    steps = chemistry_steps(rated, first_team_delta, of)
     often = long_keys(rated.filter("on_roster"), ["player_id"], limit)
     if often is not None:
         # A pair meets at most as often as either of the two appears.

@@ -218,11 +218,17 @@ class Engine:
         return self.history.added(str(version)).drop("version")
 
     def _fold_anew(self, late: DataFrame, draft: Draft, version: int) -> None:
-        """Fold the players of finished matches anew, and their pairs, after late events of these matches."""
+        """Fold players anew, and their pairs, whose part in a finished match late events have changed."""
         if late.isEmpty():
             return
         name = str(version)
-        people = stored(self._histories(late, draft, version).select("player_id").distinct(), "stream-people")
+        now = self._histories(late, draft, version)
+        before = self.history.read(draft, self.history.parts_of(now)).filter(F.col("version") < version)
+        before = self._newest(before.join(late, "match_id", "left_semi"), ["match_id", "player_id"])
+        changed = now.subtract(before.select(*now.columns))
+        people = stored(changed.select("player_id").distinct(), "stream-people")
+        if people.isEmpty():
+            return
         parts = self.history.parts_of(people)
         history = self.history.read(draft, parts).join(people, "player_id", "left_semi")
         history = stored(self._newest(history, ["match_id", "player_id"]), "stream-history")
@@ -230,11 +236,8 @@ class Engine:
         own = self.rated.added(name).drop("version")
         theirs = own.select("match_id").distinct()
         met = self.rated.read(draft, self.rated.parts_of(theirs)).join(theirs, "match_id", "left_semi")
-        pairs = folds.chemistry(stored(self._newest(met, ["match_id", "player_id"]), "stream-met"))
-        touched = pairs.join(people.select(F.col("player_id").alias("p_lo")), "p_lo", "left_semi").unionByName(
-            pairs.join(people.select(F.col("player_id").alias("p_hi")), "p_hi", "left_semi")
-        )
-        touched = stored(touched.distinct(), "stream-pairs")
+        met = stored(self._newest(met, ["match_id", "player_id"]), "stream-met")
+        touched = stored(folds.chemistry(met, of=people), "stream-pairs")
         _together(
             lambda: self.chemistry.write(draft, touched, name, self.chemistry.parts_of(touched)),
             lambda: self.totals.write(draft, metrics.profile_totals(history), name, parts),
