@@ -10,6 +10,7 @@ from test_folds import KNOWN, season
 
 from touchline.operators import folds, metrics, model
 from touchline.operators import matches as M
+from touchline.plans import fixtures
 from touchline.streaming import framing, ingest
 from touchline.streaming import state as S
 
@@ -374,6 +375,57 @@ def test_positions_follow_the_lines_of_a_split_file(spark, tmp_path):
     assert [v for _, v in rows] == [f"line {i}" for i in range(5000)] and len({p for p, _ in rows}) == 5000
 
 
+def test_lines_are_placed_without_a_shuffle_of_their_text(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    columns = ["value", "_metadata.file_path AS file", "_metadata.file_block_start AS start", "monotonically_increasing_id() AS at"]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # Lines and blocks too large to be broadcast unasked.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        spark.read.text(str(tmp_path / "a.txt")).selectExpr(*columns).write.parquet(str(tmp_path / "lines"))
+        placed = framing.in_file_order(spark.read.parquet(str(tmp_path / "lines")))
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert [(r["value"], r["position"]) for r in placed.orderBy("position").collect()] == [("one", 0), ("two", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_a_batch_keeps_the_text_of_rejects_only(spark, tmp_path, monkeypatch):
+    seen, real = [], ingest.Engine._step
+
+    def watched(self, arrived, draft):
+        seen.extend((r["reason"], r["text"]) for r in arrived.select("reason", "text").collect())
+        real(self, arrived, draft)
+
+    monkeypatch.setattr(ingest.Engine, "_step", watched)
+    engine = ingest.Engine(spark, str(tmp_path / "state"), L.players(spark, KNOWN), retrain=False)
+    event = '{"source": "a", "position": 1, "eventId": 8, "playerId": 3}'
+    engine.process(as_frame(spark, [event, "no json"]), 0)
+    assert sorted(seen, key=str) == [("malformed", "no json"), (None, None)]
+    rejected = sorted((r["reason"], json.loads(r["text"]) if r["position"] else r["text"]) for r in engine.rejected().collect())
+    assert rejected == [(framing.HEADERLESS, {"eventId": 8, "playerId": 3}), (framing.MALFORMED, "no json")]
+
+
+def test_saved_pairs_that_did_not_meet_are_kept(spark):
+    people = [(1, 5, 0, 10, True, 0.1), (1, 5, 0, 11, True, 0.3), (1, 5, 1, 12, True, -0.1)]
+    rated = spark.createDataFrame(people, "match_id bigint, seq int, team_ord int, player_id bigint, on_roster boolean, change double")
+    saved = spark.createDataFrame([(10, 11, 0.25, 4), (7, 9, 0.75, 2)], "p_lo bigint, p_hi bigint, chem double, meetings bigint")
+    met = {tuple(r) for r in folds.chemistry(rated, saved=saved).collect()}
+    assert {(lo, hi, n) for lo, hi, _, n in met} == {(10, 11, 5), (10, 12, 1), (11, 12, 1)}
+    assert {tuple(r) for r in folds.chemistry(rated, saved=saved, keep=True).collect()} == met | {(7, 9, 0.75, 2)}
+
+
+def test_match_records_are_built_by_several_tasks(spark, tmp_path):
+    """The days of a season fit one task, but not the records of all teams on them."""
+    columns = ["id AS event_id", "id * 20 AS user_id", "timestamp_ntz'2024-01-01 12:00:00' + make_dt_interval(id % 3) AS ts"]
+    spark.range(0, 300).selectExpr(*columns).write.parquet(str(tmp_path / "events.parquet"))
+    teams = fixtures.team_count(spark, str(tmp_path))
+    rows = fixtures.matches(spark, str(tmp_path)).select("match_id", F.spark_partition_id().alias("task")).collect()
+    assert len({r["match_id"] for r in rows}) == len(rows) == 3 * teams // 2 > 3 * fixtures.PAIRS_PER_TASK
+    assert len({r["task"] for r in rows}) > 1
+
+
 def test_records_without_a_place_are_refused(spark):
     lines = as_frame(spark, ['{"eventId": 8, "playerId": 3}'])
     with pytest.raises(Exception, match="no source"):

@@ -196,13 +196,15 @@ def chemistry(
     saved: DataFrame | None = None,
     limit: int = LIMIT,
     of: DataFrame | None = None,
+    keep: bool = False,
 ) -> DataFrame:
     """Chemistry of every pair that met; a pair that never met stands at the start value.
 
     With `of` (player_id) only pairs with one of these players.
 
     Steps are clamped to [0, 1] one after the other in match order. `saved` (p_lo, p_hi, chem, meetings)
-    continues an earlier run; only pairs that met in this one are returned.
+    continues an earlier run; only pairs that met in this one are returned, or with `keep` the other saved
+    ones too, as they are.
     """
     fold = clamped_sum()
     pair = ["p_lo", "p_hi"]
@@ -228,11 +230,12 @@ def chemistry(
     old = saved.select(
         "p_lo", "p_hi", F.col("chem").alias("__old"), F.col("meetings").alias("__n")
     )
-    both = maps.join(old, ["p_lo", "p_hi"], "left")
-    start = F.coalesce("__old", F.lit(START_CHEMISTRY))
+    both = maps.join(old, ["p_lo", "p_hi"], "full" if keep else "left")
+    start, none = F.coalesce("__old", F.lit(START_CHEMISTRY)), F.lit(0).cast("bigint")
+    met = F.col("__map").isNotNull()
     return both.select(
         "p_lo",
         "p_hi",
-        fold.apply(F.col("__map"), start).alias("chem"),
-        (F.coalesce("__n", F.lit(0).cast("bigint")) + F.col("__map.n")).alias("meetings"),
+        F.when(met, fold.apply(F.col("__map"), start)).otherwise(F.col("__old")).alias("chem"),
+        (F.coalesce("__n", none) + F.coalesce("__map.n", none)).alias("meetings"),
     )

@@ -15,6 +15,9 @@ FIRST_DAY = "2024-01-01"
 PLAYERS_PER_TEAM = 18
 STARTERS = 11
 
+#: Pairs of teams whose match records, of all days, one task builds.
+PAIRS_PER_TASK = 100
+
 # Event type to event kind, and to a drawing's word.
 EVENT_KINDS = {"click": 8, "view": 1, "signup": 3, "purchase": 10, "error": 2}
 
@@ -170,6 +173,9 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("i") * 2).alias("first"),
         ((F.col("i") * 2 + 1 + 2 * (F.col("day") % half)) % teams).alias("second"),
     )
+    if half > PAIRS_PER_TASK:
+        # The days fit one task, but not the records of all teams on them.
+        games = games.repartition(-(-half // PAIRS_PER_TASK), "day", "i")
     squads = _squads(spark, sf_dir, teams)
     one = squads.select(F.col("team").alias("first"), F.col("ids").alias("ids1"))
     two = squads.select(F.col("team").alias("second"), F.col("ids").alias("ids2"))

@@ -53,11 +53,11 @@ def in_file_order(lines: DataFrame) -> DataFrame:
     """Give lines read from files (value, file, start, at) their source, the file, and their position in it.
 
     `start` is the offset of a line's block in the file and `at` a number that rises within the block. A
-    line takes at least a byte, so start + rank in the block is unique and in order. Only one row per block
-    is aggregated and joined.
+    line takes at least a byte, so start + rank in the block is unique and in order. One row per block, its
+    first number, goes to all tasks: shuffled, the lines would meet in no more tasks than there are blocks.
     """
     base = lines.groupBy("file", "start").agg(F.min("at").alias("__base"))
-    placed = lines.join(base, ["file", "start"])
+    placed = lines.join(F.broadcast(base), ["file", "start"])
     position = F.col("start") + F.col("at") - F.col("__base")
     return placed.select("value", F.col("file").alias("source"), position.alias("position"))
 

@@ -124,7 +124,9 @@ class Engine:
             # Row order within a block is known only while the block is read.
             lines.withColumn("at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{landed}/lines")
             lines = in_file_order(spark.read.parquet(f"{landed}/lines"))
-        read_lines(lines).write.mode("overwrite").parquet(f"{landed}/records")
+        # The text is kept of lines that are no records; the others have been read.
+        records = read_lines(lines).withColumn("text", F.when(F.col("reason").isNotNull(), F.col("text")))
+        records.write.mode("overwrite").parquet(f"{landed}/records")
         arrived = spark.read.schema(_ARRIVED).parquet(f"{landed}/records")
         with scratch_scope(spark):
             self._step(arrived, draft)
@@ -148,7 +150,9 @@ class Engine:
         bad = F.col("reason").isNotNull()
         records = arrived.filter(~bad).drop("reason", "text")
         carried = self.open.read(draft)
-        framed = frame(self._with_open(records, carried))
+        # Events and rejects both read it; headers are taken from the records.
+        framed = frame(self._with_open(records, carried)).filter("NOT is_match AND NOT is_end")
+        framed = stored(framed.drop("teamsData"), "stream-framed")
         shown = ["source", "position", "reason", "text"]
         early = headerless(framed).withColumn("reason", F.lit(HEADERLESS))
         early = early.withColumn("text", F.to_json(F.struct("eventId", "subEventId", "playerId", "eventSec", "tags")))
@@ -300,11 +304,12 @@ class Engine:
         )
         self.rated.append(draft, rated, name, version)
         rated = self.rated.added(name).drop("version")
-        chemistry = folds.chemistry(rated, saved=self.chemistry.read(draft, parts))
+        # Old and new pairs meet once, where the new ones are folded, not again where they are written.
+        chemistry = folds.chemistry(rated, saved=self.chemistry.read(draft, parts), keep=True)
         here = self.totals.read(draft, parts).join(history.select("player_id").distinct(), "player_id", "left_semi")
         totals = metrics.profile_totals(history, here)
         _together(
-            lambda: self.chemistry.write(draft, chemistry, name, parts),
+            lambda: self.chemistry.replace(draft, chemistry, name),
             lambda: self.totals.write(draft, totals, name, parts),
             lambda: self._train(draft, rated, name, parts),
             lambda: self.ratings.write(draft, folds.current_ratings(rated), name, parts),

@@ -174,7 +174,10 @@ class KeyedTable(_Table):
         """Puts the changed rows in place; `parts` has all parts that they belong to."""
         values = [c for c in changed.columns if c not in self.keys]
         both = self.read(draft, parts).withColumn("__new", F.lit(0)).unionByName(changed.withColumn("__new", F.lit(1)))
-        rows = both.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "__new").alias("r")).select(*self.keys, "r.*")
+        self.replace(draft, both.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "__new").alias("r")).select(*self.keys, "r.*"), name)
+
+    def replace(self, draft: Draft, rows: DataFrame, name: str) -> None:
+        """Writes parts anew; `rows` has all rows that these are to hold, one of every key."""
         self._write(rows, name)
         written = {n.removeprefix("part=") for n in names_in(self.store.spark, f"{self.path}/at={name}") if n.startswith("part=")}
         draft.tables[self.name] = draft.tables.get(self.name, {}) | dict.fromkeys(sorted(written), name)
